@@ -1,7 +1,7 @@
 """All DuckDB texts by query name."""
 
-from checks import metric_sql
+from checks import feed_sql, metric_sql, scalar_sql
 
 
 def all_sql():
-    return {**metric_sql.SQL}
+    return {**metric_sql.SQL, **scalar_sql.SQL, **feed_sql.SQL}

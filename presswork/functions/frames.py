@@ -74,3 +74,9 @@ def canonical_json(**fields: Column) -> Column:
 def wire_bytes(json_text: Column) -> Column:
     """Size of a JSON event on the wire, frame included."""
     return F.octet_length(json_text) + F.lit(FRAME_BYTES)
+
+
+def base64_text(value: Column) -> Column:
+    """Base64 on one line; null bytes count as empty."""
+    bare = F.base64(F.coalesce(value, F.encode(F.lit(""), "UTF-8")))
+    return F.replace(bare, F.lit("\r\n"), F.lit(""))

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presswork.functions.binding import let
+
 # Python's str whitespace: Unicode White_Space plus the four separators.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
@@ -107,45 +109,53 @@ def rfc2822_datetime(value: Column) -> Column:
     a date without a usable zone counts as UTC.
     """
 
-    def part(i):
-        return F.regexp_extract(value, _RFC2822, i)
-
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(2)))
-    short_year = part(3).try_cast("int")
-    year = (
-        F.when(F.length(part(3)) == 4, short_year)
-        .when(short_year > 68, short_year + 1900)
-        .otherwise(short_year + 2000)
-    )
-    zone_map = F.create_map(*[F.lit(x) for kv in RFC2822_ZONES.items() for x in kv])
-    zone = (
-        F.when(part(7).rlike("^[+-]"), part(7))
-        .otherwise(F.try_element_at(zone_map, F.upper(part(7))))
-    )
-    zone = F.coalesce(F.when(zone != "-0000", zone), F.lit("+0000"))
-    offset = F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2))
-    local = F.concat(
-        F.lpad(year.cast("string"), 4, "0"), F.lit("-"),
-        F.lpad(month.cast("string"), 2, "0"), F.lit("-"),
-        F.lpad(part(1), 2, "0"), F.lit("T"),
-        F.lpad(part(4), 2, "0"), F.lit(":"), part(5), F.lit(":"),
-        F.when(part(6) == "", F.lit("00")).otherwise(part(6)),
+    months = F.array(*[F.lit(m) for m in MONTHS])
+    zones = F.create_map(*[F.lit(x) for kv in RFC2822_ZONES.items() for x in kv])
+
+    def year(p):
+        number = p.try_cast("int")
+        return (
+            F.when(F.length(p) == 4, number)
+            .when(number > 68, number + 1900)
+            .otherwise(number + 2000)
+        )
+
+    def offset(p):
+        zone = F.when(p.rlike("^[+-]"), p).otherwise(F.try_element_at(zones, F.upper(p)))
+        return F.regexp_replace(
+            F.coalesce(F.nullif(zone, F.lit("-0000")), F.lit("+0000")), r"(\d{2})$", ":$1"
+        )
+
+    def iso(p):
+        two = lambda i: F.lpad(p[i], 2, "0")
+        month = F.lpad(F.array_position(months, F.lower(p[1])).cast("string"), 2, "0")
+        seconds = F.when(p[5] == "", F.lit("00")).otherwise(p[5])
+        return F.concat(
+            F.lpad(year(p[2]).cast("string"), 4, "0"), F.lit("-"), month, F.lit("-"), two(0),
+            F.lit("T"), two(3), F.lit(":"), p[4], F.lit(":"), seconds, offset(p[6]),
+        )
+
+    # One match yields all seven groups, one per list element.
+    groups = F.when(value.rlike(_RFC2822), F.regexp_replace(value, _RFC2822, "$1|$2|$3|$4|$5|$6|$7"))
+    return let(
+        let(F.split(groups, r"\|"), iso),
+        lambda text: F.when(
+            text.try_cast("timestamp").isNotNull(),
+            F.struct(text.try_cast("timestamp").alias("at"), text.alias("iso")),
+        ),
     )
-    iso = F.concat(local, offset)
-    at = F.when(value.rlike(_RFC2822) & (month > 0), iso.try_cast("timestamp"))
-    return F.when(at.isNotNull(), F.struct(at.alias("at"), iso.alias("iso")))
 
 
 def iso_datetime(value: Column) -> Column:
     """Timestamp of an ISO 8601 date or date-time; naive values count as UTC."""
     shape = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-    text = F.regexp_replace(strip(value), r"([+-]\d{2})(\d{2})$", "$1:$2")
-    text = F.regexp_replace(text, r"([T ]\d{2})(?=$|Z|[+-])", "$1:00")
-    date_only = r"^\d{4}-\d{2}-\d{2}$"
-    return F.when(
-        strip(value).rlike(shape),
-        F.when(strip(value).rlike(date_only), strip(value)).otherwise(text).try_cast("timestamp"),
-    )
+
+    def read(text):
+        text = F.regexp_replace(text, r"(:\d{2}|T\d{2})([+-]\d{2})(\d{2})$", "$1$2:$3")
+        text = F.regexp_replace(text, r"([T ]\d{2})(?=$|Z|[+-])", "$1:00")
+        return text.try_cast("timestamp")
+
+    return let(strip(value), lambda text: F.when(text.rlike(shape), read(text)))
 
 
 def article_datetime(*values: Column) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from presswork.plans import metric_queries
+from presswork.plans import feed_queries, metric_queries, scalar_queries
 
 
 def all_queries():
-    return {**metric_queries.QUERIES}
+    return {**metric_queries.QUERIES, **scalar_queries.QUERIES, **feed_queries.QUERIES}

@@ -107,15 +107,20 @@ def current_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+UNCHANGED_SOURCES = ("src5", "src6")
+
+
 def previous_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """What an earlier poll saw: labelled documents (poor ones under an old
-    title) and the benchmark items, which are gone by now."""
+    title) and the benchmark items, which are gone by now. Two sources have not
+    changed since."""
+    same = F.col("source_id").isin(*UNCHANGED_SOURCES)
     seen = (
         feed_items(spark, folder)
-        .filter(F.col("quality").isNotNull())
+        .filter(F.col("quality").isNotNull() | same)
         .withColumn(
             "title",
-            F.when(F.col("quality") == 0, F.concat("title", F.lit(" (old)")))
+            F.when((F.col("quality") == 0) & ~same, F.concat("title", F.lit(" (old)")))
             .otherwise(F.col("title")),
         )
         .drop("quality")
@@ -132,6 +137,54 @@ def previous_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return seen.unionByName(gone).withColumn("article_url", urls.norm_url(F.col("link")))
 
 
+def raw_feed_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The current poll before any cleaning: labelled documents come twice (once
+    under a tracking link) and conversations are items without a link."""
+    cur = current_snapshot(spark, folder).drop("article_url")
+    again = cur.join(table(spark, folder, "labels").select(F.col("doc_id").alias("pos")), "pos",
+                     "left_semi").select(
+        "source_id", "feed_id", (F.col("pos") + 10**12).alias("pos"),
+        F.concat(F.split("link", "#")[0], F.lit("&utm_medium=again")).alias("link"),
+        F.concat(F.lit("again "), "title").alias("title"), "summary", "published_iso",
+    )
+    unlinked = table(spark, folder, "conversations").select(
+        F.lit("src1").alias("source_id"), F.lit("en").alias("feed_id"),
+        (F.col("conv_id") * 1000 + F.col("turn") + 2 * 10**12).alias("pos"),
+        F.lit("").alias("link"), text.norm_text(F.col("text")).alias("title"),
+        F.lit("").alias("summary"), F.lit("").alias("published_iso"),
+    )
+    return cur.unionByName(again).unionByName(unlinked)
+
+
+def feed_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """One poll result per feed: status code and validators."""
+    feeds = table(spark, folder, "documents").select(
+        F.col("source").alias("source_id"), F.col("lang").alias("feed_id")
+    ).distinct()
+    return feeds.select(
+        "source_id", "feed_id",
+        F.when(F.col("source_id").isin("src3", "src4"), 304).otherwise(200).alias("status_code"),
+        F.concat(F.lit("etag-"), "source_id").alias("etag"),
+        F.lit("Mon, 01 Jan 2024 00:00:00 GMT").alias("last_modified"),
+    )
+
+
+def feed_validators(spark: SparkSession, folder: str) -> DataFrame:
+    """What the last poll of each feed left behind besides its item hashes:
+    French feeds were stored but never published, English ones have no etag and
+    src9 was never polled."""
+    feeds = table(spark, folder, "documents").select(
+        F.col("source").alias("source_id"), F.col("lang").alias("feed_id")
+    ).distinct()
+    return feeds.filter(F.col("source_id") != "src9").select(
+        "source_id", "feed_id",
+        (F.col("feed_id") != "fr").alias("events_published"),
+        F.when(F.col("feed_id") != "en", F.lit("etag-old")).alias("etag"),
+        F.lit("Sun, 31 Dec 2023 00:00:00 GMT").alias("last_modified"),
+        F.lit("2023-12-31").cast("timestamp").alias("observed_at"),
+    )
+
+
 def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """One RSS payload per document; its lines are the feed's items.
 
