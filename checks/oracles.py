@@ -1,7 +1,10 @@
 """All DuckDB texts by query name."""
 
-from checks import feed_sql, metric_sql, scalar_sql
+from checks import event_sql, feed_sql, fetch_sql, metric_sql, scalar_sql
 
 
 def all_sql():
-    return {**metric_sql.SQL, **scalar_sql.SQL, **feed_sql.SQL}
+    out = {}
+    for group in (metric_sql, scalar_sql, feed_sql, fetch_sql, event_sql):
+        out.update(group.SQL)
+    return out

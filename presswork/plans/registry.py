@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
-from presswork.plans import feed_queries, metric_queries, scalar_queries
+from presswork.plans import (
+    event_queries,
+    feed_queries,
+    fetch_queries,
+    metric_queries,
+    scalar_queries,
+)
 
 
 def all_queries():
-    return {**metric_queries.QUERIES, **scalar_queries.QUERIES, **feed_queries.QUERIES}
+    out = {}
+    for group in (metric_queries, scalar_queries, feed_queries, fetch_queries, event_queries):
+        out.update(group.QUERIES)
+    return out
