@@ -6,7 +6,7 @@ expressions do the rest, and nothing is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.functions import text as tx
@@ -20,6 +20,7 @@ from presswork.functions.selectors import (
     fixed_match,
     text_list,
 )
+from presswork.operators.ordering import first_per_key
 from presswork.sources.rss import first_in_array
 
 EXTRACTOR_VERSION = "html_article_blocks_v1"
@@ -503,3 +504,73 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         "rejection_reason",
         F.lit(EXTRACTOR_VERSION).alias("extractor_version"),
     )
+
+
+def _page_frame(pages: DataFrame, of_nodes) -> DataFrame:
+    """pages without payload and extraction, plus of_nodes(dom, nodes, cuts)."""
+    rest = [c for c in pages.columns if c not in ("payload", "extraction")]
+    walked = pages.select(*rest, "extraction", flatten_html("payload").alias("dom"))
+
+    def parts(dom):
+        kept = let(_marked(dom["nodes"], F.col("extraction")), _unwrapped_removed)
+        return let(kept, lambda nodes: let(
+            _outermost(F.filter(nodes, lambda x: x["unwanted"])),
+            lambda cuts: of_nodes(dom, nodes, cuts),
+        ))
+
+    return walked.select(*rest, F.inline(F.array(let(F.col("dom"), parts))))
+
+
+def remaining_text(pages: DataFrame) -> DataFrame:
+    """Page text once unwanted nodes are gone."""
+    def shown(dom, nodes, cuts):
+        texts = F.filter(_remaining_texts(dom["texts"], cuts), lambda t: t != "")
+        return F.struct(
+            F.size(cuts).alias("removed_nodes"),
+            tx.norm_text(F.array_join(texts, " ")).alias("remaining"),
+        )
+
+    return _page_frame(pages, shown)
+
+
+def container_rows(pages: DataFrame) -> DataFrame:
+    """One row per content container, with its selector's place and its text."""
+    def shown(dom, nodes, cuts):
+        texts = _remaining_texts(dom["texts"], cuts)
+        homes = _containers(nodes, cuts)
+        own = lambda h: F.get(F.filter(nodes, lambda x: x["n"] == h["n"]), F.lit(0))
+        return let(texts, lambda t: F.struct(
+            F.transform(homes, lambda h, i: F.struct(
+                i.alias("ordinal"), h["place"].alias("place"), own(h)["tag"].alias("tag"),
+                _text_of(own(h), t).alias("text"),
+            )).alias("homes")
+        ))
+
+    framed = _page_frame(pages, shown)
+    return framed.select(*[c for c in framed.columns if c != "homes"], F.inline("homes"))
+
+
+def metadata(pages: DataFrame) -> DataFrame:
+    """Metadata columns of pages, without their content."""
+    rest = [c for c in pages.columns if c not in ("payload", "extraction")]
+    walked = pages.select(*rest, flatten_html("payload").alias("dom"))
+    return walked.select(*rest, F.inline(F.array(let(F.col("dom"), page_metadata))))
+
+
+def dedupe_blocks(blocks: DataFrame, article: str) -> DataFrame:
+    """Blocks as rows (article, pos, text): boilerplate dropped, first of equal
+    texts kept, ordinals dense. Windows span one article."""
+    good = blocks.filter(~tx.block_skip(F.col("text"))).withColumn("_key", tx.block_key(F.col("text")))
+    kept = first_per_key(good, [article, "_key"], ["pos"]).drop("_key")
+    dense = F.row_number().over(Window.partitionBy(article).orderBy("pos")) - 1
+    return kept.withColumn("ordinal", dense)
+
+
+def join_bodies(blocks: DataFrame, article: str) -> DataFrame:
+    """Body text per article: its blocks in order, a blank line between them."""
+    ordered = F.array_sort(F.collect_list(F.struct("ordinal", "text")))
+    return blocks.groupBy(article).agg(ordered.alias("_b")).select(
+        article,
+        F.array_join(F.transform("_b", lambda b: b["text"]), "\n\n").alias("body_text"),
+        F.size("_b").alias("block_count"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from presswork.plans import (
+    article_queries,
     event_queries,
     feed_queries,
     fetch_queries,
@@ -13,6 +14,7 @@ from presswork.plans import (
 
 def all_queries():
     out = {}
-    for group in (metric_queries, scalar_queries, feed_queries, fetch_queries, event_queries):
+    for group in (metric_queries, scalar_queries, feed_queries, fetch_queries, event_queries,
+                  article_queries):
         out.update(group.QUERIES)
     return out
