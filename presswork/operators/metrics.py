@@ -35,11 +35,11 @@ GROUP_LAG_TOTAL = "ConsumerGroupLagTotal"
 METRIC_BATCH = 50
 MIN_REJECTIONS = 3
 
-_COUNT_KEYS = ["window_start", "family", "name", "unit", "source_id", "stage", "entries"]
+_COUNT_KEYS = ["window", "family", "name", "unit", "source_id", "stage", "entries"]
 
 
 def flush_window(ts: Column, interval: str = "1 day") -> Column:
-    return F.window(ts, interval)["start"]
+    return F.window(ts, interval)
 
 
 def rename_metrics(observed: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def rename_metrics(observed: DataFrame) -> DataFrame:
 def observations(records: DataFrame) -> DataFrame:
     """One row per record that counts, with the key it is counted under.
 
-    ``records``: window_start, topic_key, source_id, stage, error_class,
+    ``records``: window struct, topic_key, source_id, stage, error_class,
     service, metric_name, metric_value, metric_unit, dimensions map. Columns
     that do not apply to a topic may be null.
     """
@@ -78,7 +78,7 @@ def observations(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("dimensions"), F.create_map().cast("map<string,string>")),
     )
     return records.filter(family.isNotNull()).select(
-        "window_start",
+        "window",
         family.alias("family"),
         F.when(topic == "article_fetched", FETCH_SUCCESS)
         .when(topic == "article_extracted", EXTRACTION_SUCCESS)
@@ -98,11 +98,16 @@ def observations(records: DataFrame) -> DataFrame:
 
 
 def metric_counts(records: DataFrame) -> DataFrame:
-    """Counters of every flush window (see _COUNT_KEYS) with their total."""
+    """Counters of every flush window (see _COUNT_KEYS) with their total.
+
+    Works on streams too: give the event time a watermark before its window is
+    taken, and closed windows come out in append mode.
+    """
     return (
         observations(records)
         .groupBy(*_COUNT_KEYS)
         .agg(F.sum("amount").cast("double").alias("value"))
+        .select(F.col("window.start").alias("window_start"), *_COUNT_KEYS[1:], "value")
     )
 
 

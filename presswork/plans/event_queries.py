@@ -55,7 +55,7 @@ def encode_framed_events(spark, folder):
     )
 
 
-def _routable(spark, folder):
+def routable(spark, folder):
     """Bus events with the columns message keys are made of."""
     key = F.when(F.col("k") == 99, F.lit("mystery")).otherwise(F.col("topic_key"))
     return C.bus_events(spark, folder).select(
@@ -69,7 +69,7 @@ def _routable(spark, folder):
 
 
 def route_events(spark, folder):
-    return bus.route(_routable(spark, folder)).select("event_id", "topic", "message_key", "verdict")
+    return bus.route(routable(spark, folder)).select("event_id", "topic", "message_key", "verdict")
 
 
 def topic_lookup(spark, folder):
@@ -211,20 +211,26 @@ def article_content_select(spark, folder):
     )
 
 
-def consumed_records(spark, folder):
+def as_consumed(log, offset=None):
     """Crawl results as consumed records with their error structs."""
-    log = C.crawl_log(spark, folder).withColumn("cls", errors.status_class(F.col("status")))
+    log = log.withColumn("cls", errors.status_class(F.col("status")))
     error = errors.error_struct(
         F.lit("article_fetch"), F.lit("HTTPStatusError"), F.concat(F.lit("status "), "status"),
         F.col("cls") == "retryable", F.col("status"), F.col("untyped"),
     )
     return log.select(
         "event_id", "ts", "source_id", F.lit("news.article_fetch_requested").alias("topic"),
-        (F.col("user_id") % 3).cast("int").alias("partition"), "untyped",
-        F.when(F.col("cls") != "ok", error).alias("error"), F.col("ts").alias("observed_at"),
+        (F.col("user_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset") if offset is None else offset,
+        "untyped", F.when(F.col("cls") != "ok", error).alias("error"),
+        F.col("ts").alias("observed_at"),
     )
 
 
+def consumed_records(spark, folder):
+    return as_consumed(C.crawl_log(spark, folder))
+
+
 def three_way_route(spark, folder):
     return routing.with_route(consumed_records(spark, folder)).select(
         "event_id", "route", "advances", F.col("error.stage").alias("stage")

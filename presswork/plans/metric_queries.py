@@ -25,7 +25,7 @@ def metric_records(events: DataFrame, interval: str = "1 day") -> DataFrame:
         F.col("k") % 10 == 3, F.map_concat(dims, F.create_map(F.lit("service"), F.lit("override")))
     ).otherwise(dims)
     return events.select(
-        M.flush_window(F.col("ts"), interval).alias("window_start"),
+        M.flush_window(F.col("ts"), interval).alias("window"),
         "topic_key", "source_id", "stage", "error_class", "service", "metric_name",
         F.col("value").alias("metric_value"), F.lit("count").alias("metric_unit"),
         F.when(F.col("topic_key") == "pipeline_metric", dims).otherwise(no_map).alias("dimensions"),

@@ -9,12 +9,13 @@ from presswork.plans import (
     fetch_queries,
     metric_queries,
     scalar_queries,
+    stream_queries,
 )
 
 
 def all_queries():
     out = {}
     for group in (metric_queries, scalar_queries, feed_queries, fetch_queries, event_queries,
-                  article_queries):
+                  article_queries, stream_queries):
         out.update(group.QUERIES)
     return out

@@ -29,9 +29,14 @@ def pick(index: Column, *values: str) -> Column:
 
 def bus_events(spark: SparkSession, folder: str) -> DataFrame:
     """events as records of the event bus."""
+    return as_bus_events(events(spark, folder))
+
+
+def as_bus_events(rows: DataFrame) -> DataFrame:
+    """Batch or streaming rows of events as bus records."""
     topics = F.create_map(*[F.lit(x) for kv in TOPIC_BY_EVENT_TYPE.items() for x in kv])
     k = F.get_json_object("props", "$.k").cast("int")
-    return events(spark, folder).select(
+    return rows.select(
         "event_id",
         "ts",
         "user_id",
@@ -53,7 +58,10 @@ def bus_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def framed_events(spark: SparkSession, folder: str) -> DataFrame:
     """bus_events as framed bytes, some of them damaged in different ways."""
-    pe = bus_events(spark, folder)
+    return as_framed(bus_events(spark, folder))
+
+
+def as_framed(pe: DataFrame) -> DataFrame:
     body = F.concat(
         F.lit('{"article_id":"'), F.col("article_id"), F.lit('","k":'), F.col("k"),
         F.lit(',"source_id":"'), F.col("source_id"), F.lit('"}'),
@@ -249,7 +257,10 @@ def document_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def crawl_log(spark: SparkSession, folder: str) -> DataFrame:
     """bus_events as responses of feed and article requests."""
-    pe = bus_events(spark, folder)
+    return as_crawl_log(bus_events(spark, folder))
+
+
+def as_crawl_log(pe: DataFrame) -> DataFrame:
     status = F.element_at(
         F.array(*[F.lit(s) for s in (200, 200, 200, 304, 404, 408, 425, 428, 429, 500, 503)]),
         (F.col("k") % 11 + 1).cast("int"),

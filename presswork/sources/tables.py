@@ -10,6 +10,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A driver table as a file stream."""
+    return (
+        spark.readStream.schema(table(spark, folder, name).schema)
+        .option("pathGlobFilter", f"{name}.parquet")
+        .parquet(folder)
+    )
+
+
+def stream_events(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """events with a zoned event time, which watermarks need."""
     return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
