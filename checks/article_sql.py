@@ -3,7 +3,8 @@
 from checks.duck_views import norm_text, stable_id
 from checks.fetch_sql import PAGES
 
-_ENT = "replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+_ENT = ("regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), "
+        "'&quot;?', '\"', 'g'), '&amp;?', '&', 'g')")
 
 
 def _plain(markup):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presswork.functions.binding import let
 from presswork.functions.text import strip
 
 DIMENSION_CHARS = 128
@@ -17,32 +18,37 @@ def clean_dimension(value: Column) -> Column:
 
 def clean_dimension_name(name: Column) -> Column:
     """snake_case to camelCase."""
-    parts = F.split(strip(name), "_")
     capital = lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.lower(F.substring(p, 2, 2**31 - 1)))
-    return F.concat(
-        parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), capital), "")
+    return let(
+        F.split(strip(name), "_"),
+        lambda parts: F.concat(
+            parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), capital), "")
+        ),
     )
 
 
 def _last_wins(entries: Column) -> Column:
     """Entries whose key does not come again later in the array."""
-    return F.filter(
+    return let(
         entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
+        lambda bound: F.filter(
+            bound,
+            lambda e, i: ~F.exists(
+                F.slice(bound, i + 2, F.size(bound)), lambda later: later["key"] == e["key"]
+            ),
         ),
     )
 
 
 def clean_dimensions(dimensions: Column) -> Column:
     """map<string,string> -> array<struct<key,value>> of clean entries by key."""
-    entries = F.transform(
-        F.filter(F.map_entries(dimensions), lambda e: clean_dimension(e["value"]) != ""),
+    cleaned = F.transform(
+        F.map_entries(dimensions),
         lambda e: F.struct(
             clean_dimension_name(e["key"]).alias("key"), clean_dimension(e["value"]).alias("value")
         ),
     )
-    return F.array_sort(_last_wins(entries))
+    return F.sort_array(_last_wins(F.filter(cleaned, lambda e: e["value"] != "")))
 
 
 def override(base: Column, extra: Column) -> Column:
@@ -70,4 +76,4 @@ def dimension_entries(**values: Column) -> Column:
 def event_dimensions(dimensions: Column) -> Column:
     """Dimensions of a metric event: null and empty values dropped, sorted."""
     kept = F.map_filter(dimensions, lambda _, v: v.isNotNull() & (v != ""))
-    return F.map_from_entries(F.array_sort(F.map_entries(kept)))
+    return F.map_from_entries(F.sort_array(F.map_entries(kept)))

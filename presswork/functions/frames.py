@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presswork.functions.binding import let
+
 FRAME_BYTES = 5
 
 
@@ -26,20 +28,26 @@ def json_root(text: Column) -> Column:
     return F.schema_of_variant(F.try_parse_json(text))
 
 
-def is_json_object(text: Column) -> Column:
-    return F.coalesce(json_root(text).startswith("OBJECT"), F.lit(False))
-
-
 def frame_verdict(value: Column, allowed_ids: Column | None = None) -> Column:
     """First failing check of a frame, null when it decodes.
 
     ``allowed_ids`` is array<bigint> of known schema ids; null skips that check.
     """
     schema_id = frame_schema_id(value)
-    body = F.when(F.is_valid_utf8(frame_body(value)), frame_body(value).cast("string"))
     known = F.lit(True) if allowed_ids is None else (
         allowed_ids.isNull() | F.array_contains(allowed_ids, schema_id)
     )
+    # The body is cut out, checked and parsed once, and only behind a good frame.
+    content = let(
+        frame_body(value),
+        lambda body: F.when(~F.is_valid_utf8(body), F.lit("not_utf8")).otherwise(
+            let(
+                json_root(body.cast("string")),
+                lambda root: F.when(root.isNull(), F.lit("not_json"))
+                .when(~root.startswith("OBJECT"), F.lit("not_an_object")),
+            )
+        ),
+    )
     return (
         F.when(value.isNull(), F.lit("empty_payload"))
         .when(
@@ -48,9 +56,7 @@ def frame_verdict(value: Column, allowed_ids: Column | None = None) -> Column:
         )
         .when(schema_id <= 0, F.lit("bad_schema_id"))
         .when(~known, F.lit("unexpected_schema_id"))
-        .when(body.isNull(), F.lit("not_utf8"))
-        .when(F.try_parse_json(body).isNull(), F.lit("not_json"))
-        .when(~is_json_object(body), F.lit("not_an_object"))
+        .otherwise(content)
     )
 
 

@@ -9,6 +9,7 @@ from presswork.functions import frames
 from presswork.functions.dims import event_dimensions
 from presswork.functions.ids import stable_id
 from presswork.functions.text import iso_micros
+from presswork.operators.settle import settle
 
 # Topic key -> schema version of its events.
 TOPIC_SCHEMAS = {
@@ -95,10 +96,10 @@ def decode(records: DataFrame, registry: DataFrame | None = None) -> DataFrame:
         known = records.join(allowed_schema_ids(registry), "topic", "left").withColumn(
             "allowed_ids", F.coalesce("allowed_ids", F.array().cast("array<bigint>"))
         )
-    return known.select(
-        *records.columns,
-        frames.frame_schema_id(F.col("value")).alias("schema_id"),
-        frames.frame_verdict(F.col("value"), F.col("allowed_ids")).alias("verdict"),
+    return settle(
+        known, records.columns,
+        schema_id=frames.frame_schema_id(F.col("value")),
+        verdict=frames.frame_verdict(F.col("value"), F.col("allowed_ids")),
     ).withColumn(
         "json",
         F.when(F.col("verdict").isNull(), frames.frame_body(F.col("value")).cast("string")),

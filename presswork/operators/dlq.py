@@ -9,6 +9,7 @@ from presswork.functions import frames
 from presswork.functions.ids import stable_id
 from presswork.functions.text import iso_micros
 from presswork.operators import bus
+from presswork.operators.settle import settle
 
 
 def dlq_events(failures: DataFrame, service: Column, now: Column) -> DataFrame:
@@ -60,16 +61,12 @@ def read_payload(dlq: DataFrame) -> DataFrame:
     The JSON text is parsed once, to a variant; types are kept apart, so a
     numeric source id does not pass for a text.
     """
-    payload = F.try_parse_json("payload")
-    parts = dlq.withColumn("_p", payload).withColumns(
+    parts = settle(dlq, _p=F.try_parse_json("payload")).withColumns(
         {
             "_failed": F.try_variant_get("_p", "$.failed_event", "variant"),
             "_stage": F.try_variant_get("_p", "$.stage", "variant"),
-        }
-    ).withColumns(
-        {
-            "_encoding": F.try_variant_get("_failed", "$.encoding", "variant"),
-            "_value": F.try_variant_get("_failed", "$.value", "variant"),
+            "_encoding": F.try_variant_get("_p", "$.failed_event.encoding", "variant"),
+            "_value": F.try_variant_get("_p", "$.failed_event.value", "variant"),
         }
     )
     is_json = _variant_is(F.col("_encoding"), "STRING") & (
@@ -121,7 +118,7 @@ def replay_verdict(dlq: DataFrame) -> DataFrame:
         .when(~F.col("failed_schema").eqNullSafe(expected), F.lit("schema_mismatch"))
         .when(~complete, F.lit("invalid_event"))
     )
-    return read.withColumn("verdict", verdict)
+    return settle(read, verdict=verdict)
 
 
 def dispose(

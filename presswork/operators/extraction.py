@@ -21,6 +21,7 @@ from presswork.functions.selectors import (
     text_list,
 )
 from presswork.operators.ordering import first_per_key
+from presswork.operators.settle import settle
 from presswork.sources.rss import first_in_array
 
 EXTRACTOR_VERSION = "html_article_blocks_v1"
@@ -266,7 +267,7 @@ def _containers(nodes: Column, cuts: Column) -> Column:
         kept = F.filter(
             found, lambda x: ~F.exists(found, lambda o: _inside(x, o) & (o["place"] <= x["place"]))
         )
-        ordered = F.array_sort(
+        ordered = F.sort_array(
             F.transform(kept, lambda x: F.struct(
                 x["place"].alias("place"), x["n"].alias("n"), x["end"].alias("end")))
         )
@@ -415,14 +416,20 @@ def _page_parts(dom: Column, cfg: Column) -> Column:
 
 def content_rejection(body: Column, blocks: Column, cfg: Column) -> Column:
     """Why extracted content is not good enough; null when it is."""
-    hits = F.aggregate(
-        cfg["markers"], F.lit(0),
-        lambda acc, m: acc + F.floor(
-            (F.char_length(F.lower(body)) - F.char_length(F.replace(F.lower(body), m, F.lit(""))))
-            / F.char_length(m)
-        ).cast("int"),
+    def count(lowered, marker):
+        removed = F.char_length(lowered) - F.char_length(F.replace(lowered, marker, F.lit("")))
+        return F.floor(removed / F.char_length(marker)).cast("int")
+
+    # Long bodies are never boilerplate dominated, so only short ones are searched.
+    short = F.when(F.char_length(body) < 1000, F.lower(body))
+    hits = let(
+        short,
+        lambda text: F.aggregate(cfg["markers"], F.lit(0), lambda acc, m: acc + count(text, m)),
+    )
+    return let(
+        F.struct(F.char_length(body).alias("chars"), hits.alias("hits")),
+        lambda m: quality_verdict(m["chars"], F.size(blocks), m["hits"], cfg),
     )
-    return quality_verdict(F.char_length(body), F.size(blocks), hits, cfg)
 
 
 def quality_verdict(chars: Column, blocks: Column, marker_hits: Column, cfg: Column) -> Column:
@@ -489,9 +496,11 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     )
     fallback = F.when(~F.col("require_canonical"), F.col("fallback_url"))
     dates = [F.get("meta.dates", F.lit(i)) for i in range(4)]
-    return found.withColumn(
-        "rejection_reason",
-        content_rejection(F.col("body"), F.col("content_blocks"), F.col("extraction")),
+    return settle(
+        found,
+        rejection_reason=content_rejection(
+            F.col("body"), F.col("content_blocks"), F.col("extraction")
+        ),
     ).select(
         *rest,
         F.coalesce("meta.canonical", fallback).alias("canonical_url"),
@@ -560,7 +569,9 @@ def metadata(pages: DataFrame) -> DataFrame:
 def dedupe_blocks(blocks: DataFrame, article: str) -> DataFrame:
     """Blocks as rows (article, pos, text): boilerplate dropped, first of equal
     texts kept, ordinals dense. Windows span one article."""
-    good = blocks.filter(~tx.block_skip(F.col("text"))).withColumn("_key", tx.block_key(F.col("text")))
+    good = settle(blocks, text=F.col("text"), _key=tx.block_key(F.col("text"))).filter(
+        ~tx.block_skip(F.col("text"))
+    )
     kept = first_per_key(good, [article, "_key"], ["pos"]).drop("_key")
     dense = F.row_number().over(Window.partitionBy(article).orderBy("pos")) - 1
     return kept.withColumn("ordinal", dense)
@@ -568,7 +579,7 @@ def dedupe_blocks(blocks: DataFrame, article: str) -> DataFrame:
 
 def join_bodies(blocks: DataFrame, article: str) -> DataFrame:
     """Body text per article: its blocks in order, a blank line between them."""
-    ordered = F.array_sort(F.collect_list(F.struct("ordinal", "text")))
+    ordered = F.sort_array(F.collect_list(F.struct("ordinal", "text")))
     return blocks.groupBy(article).agg(ordered.alias("_b")).select(
         article,
         F.array_join(F.transform("_b", lambda b: b["text"]), "\n\n").alias("body_text"),

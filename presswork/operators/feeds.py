@@ -15,6 +15,7 @@ from presswork.functions import ids
 from presswork.functions.text import iso_micros
 from presswork.functions.urls import norm_url, url_verdict
 from presswork.operators.ordering import first_per_key
+from presswork.operators.settle import settle
 from presswork.sources.rss import item_valid
 
 FEED = ["source_id", "feed_id"]
@@ -27,9 +28,7 @@ FLAT_HASH_ITEMS = 10_000
 def classify_items(raw: DataFrame) -> DataFrame:
     """raw items with ``valid`` and the normalised ``article_url`` of valid ones."""
     valid = item_valid(F.col("title"), F.col("link"))
-    return raw.withColumn("valid", valid).withColumn(
-        "article_url", F.when(F.col("valid"), norm_url(F.col("link")))
-    )
+    return settle(raw, valid=valid, article_url=F.when(valid, norm_url(F.col("link"))))
 
 
 def dedupe_items(classified: DataFrame) -> DataFrame:
@@ -64,13 +63,11 @@ def all_or_nothing(items: DataFrame, domains: DataFrame) -> DataFrame:
 
 def with_hashes(items: DataFrame) -> DataFrame:
     """Items with their stable id and the hash of what readers see."""
-    return items.withColumn(
-        "feed_item_id",
-        ids.feed_item_id(F.col("source_id"), F.col("feed_id"), F.col("article_url")),
-    ).withColumn(
-        "record_hash",
-        ids.record_hash(F.col("article_url"), F.col("title"), F.col("summary"),
-                        F.col("published_iso")),
+    return settle(
+        items,
+        feed_item_id=ids.feed_item_id(F.col("source_id"), F.col("feed_id"), F.col("article_url")),
+        record_hash=ids.record_hash(F.col("article_url"), F.col("title"), F.col("summary"),
+                                    F.col("published_iso")),
     )
 
 
@@ -101,7 +98,7 @@ def semantic_hash(hashed: DataFrame, flat_items: int = FLAT_HASH_ITEMS) -> DataF
         hashed.select(*FEED, entry.alias("entry"))
         .join(ordinary, FEED)
         .groupBy(*FEED)
-        .agg(F.first("items").alias("items"), F.array_sort(F.collect_list("entry")).alias("entries"))
+        .agg(F.first("items").alias("items"), F.sort_array(F.collect_list("entry")).alias("entries"))
         .select(
             *FEED, "items",
             F.sha2(F.concat(F.lit("{"), F.array_join("entries", ","), F.lit("}")), 256)

@@ -97,7 +97,7 @@ def address_screen(resolved: DataFrame, ipv6: bool = False) -> DataFrame:
     once = resolved.distinct()
     seen = once.groupBy("host").agg(
         F.count("address").alias("addresses"),
-        F.array_sort(F.collect_set(F.when(~is_global, F.col("address")))).alias("blocked"),
+        F.sort_array(F.collect_set(F.when(~is_global, F.col("address")))).alias("blocked"),
     )
     verdict = (
         F.when(F.col("addresses") == 0, F.lit("no_addresses"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from presswork.functions import dims, errors, frames, ids, text, urls
 from presswork.functions.summary import summary_text as summary_of
 from presswork.operators.ordering import number_rows
+from presswork.operators.settle import settle
 from presswork.sources import carriers as C
 from presswork.sources.tables import table
 
@@ -170,7 +171,7 @@ def error_struct(spark, folder):
 
 def base64_payload(spark, folder):
     framed = C.framed_events(spark, folder)
-    return framed.withColumn("verdict", frames.frame_verdict(F.col("value"))).filter(
+    return settle(framed, verdict=frames.frame_verdict(F.col("value"))).filter(
         F.col("verdict").isNotNull()
     ).select(
         "offset", "verdict",

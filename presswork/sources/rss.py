@@ -9,6 +9,7 @@ from presswork.functions.binding import let
 from presswork.functions.summary import summary_text
 from presswork.functions.text import norm_text, rfc2822_datetime
 from presswork.functions.urls import is_http_url, norm_url
+from presswork.operators.settle import settle
 
 _RSS = (
     "channel struct<item: array<struct<title: string, link: string, description: string,"
@@ -34,8 +35,8 @@ def first_in_array(entries: Column, key: str) -> Column:
     def firsts(ordered):
         return F.filter(ordered, lambda x, i: (i == 0) | (x["k"] != F.get(ordered, i - 1)["k"]))
 
-    chosen = let(F.array_sort(F.transform(entries, keyed)), firsts)
-    by_pos = F.array_sort(F.transform(chosen, lambda x: F.struct(x["p"].alias("p"), x["e"].alias("e"))))
+    chosen = let(F.sort_array(F.transform(entries, keyed)), firsts)
+    by_pos = F.sort_array(F.transform(chosen, lambda x: F.struct(x["p"].alias("p"), x["e"].alias("e"))))
     return F.transform(by_pos, lambda x: x["e"])
 
 
@@ -45,42 +46,45 @@ def parse_feeds(payloads: DataFrame) -> DataFrame:
     ``payloads``: key columns plus ``payload`` text. Parsing, checks and
     first-wins dedupe all happen inside the row, so nothing is shuffled.
     """
+    keys = [c for c in payloads.columns if c != "payload"]
     rss = F.when(
         F.regexp_extract("payload", _ROOT, 1) == "rss", F.from_xml("payload", _RSS)
     )
-    found = F.coalesce(rss["channel"]["item"], F.array())
-    raw = F.transform(
-        found,
-        lambda it, i: F.struct(
+    # Settled, so that the XML is parsed once whatever reads it below.
+    read = settle(payloads, keys, channel=rss["channel"])
+
+    def entry(it, i):
+        return F.struct(
             i.cast("bigint").alias("pos"),
             norm_text(it["title"]).alias("title"),
             norm_text(it["link"]).alias("link"),
             it["description"].alias("description"),
             it["pubDate"].alias("pub_date"),
-        ),
-    )
-    valid = F.transform(
-        F.filter("raw", lambda it: item_valid(it["title"], it["link"])),
-        lambda it: it.withField("article_url", norm_url(it["link"])),
-    )
-    keys = [c for c in payloads.columns if c != "payload"]
-    return (
-        payloads.select(*keys, rss["channel"].isNotNull().alias("is_rss"), raw.alias("raw"))
-        .select(*keys, "is_rss", F.size("raw").alias("seen"), valid.alias("valid"))
-        .select(
-            *keys, "is_rss", "seen", F.size("valid").alias("linked"),
-            first_in_array(F.col("valid"), "article_url").alias("items"),
         )
-        .select(
-            *keys,
-            F.when(~F.col("is_rss"), F.lit("not_rss"))
-            .when(F.size("items") == 0, F.lit("no_valid_items"))
-            .alias("verdict"),
-            F.size("items").alias("parsed"),
-            (F.col("seen") - F.col("linked")).alias("skipped"),
-            (F.col("linked") - F.size("items")).alias("duplicates"),
-            "items",
+
+    def checked(entries):
+        linked = F.transform(
+            F.filter(entries, lambda it: item_valid(it["title"], it["link"])),
+            lambda it: it.withField("article_url", norm_url(it["link"])),
         )
+        return let(linked, lambda valid: F.struct(
+            F.size(valid).alias("linked"), first_in_array(valid, "article_url").alias("items")))
+
+    found = F.coalesce(F.col("channel.item"), F.array())
+    counted = settle(
+        read, [*keys, "channel"], seen=F.size(found),
+        checked=let(F.transform(found, entry), checked),
+    )
+    items, linked = F.col("checked.items"), F.col("checked.linked")
+    return counted.select(
+        *keys,
+        F.when(F.col("channel").isNull(), F.lit("not_rss"))
+        .when(F.size(items) == 0, F.lit("no_valid_items"))
+        .alias("verdict"),
+        F.size(items).alias("parsed"),
+        (F.col("seen") - linked).alias("skipped"),
+        (linked - F.size(items)).alias("duplicates"),
+        items.alias("items"),
     )
 
 
