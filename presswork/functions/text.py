@@ -13,6 +13,8 @@ from presswork.functions.binding import let
 
 # Python's str whitespace: Unicode White_Space plus the four separators.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+# The runs that change when runs become one space: all but single spaces.
+UNEVEN_SPACE = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 
 # Lines that are never article text. Matched case-insensitively
 # with Unicode word rules.
@@ -24,7 +26,8 @@ BOILERPLATE_PATTERNS = (
     r"^\s*chia sẻ\s*$",
     r"^\s*google news\s*$",
 )
-BOILERPLATE = "(?iU)" + "|".join(f"(?:{p})" for p in BOILERPLATE_PATTERNS)
+# One leading anchor: a search then gives up at once everywhere but at the start.
+BOILERPLATE = "(?iU)^(?:" + "|".join(p.removeprefix("^") for p in BOILERPLATE_PATTERNS) + ")"
 
 MIN_BLOCK_CHARS = 20
 CAPTION_CHARS = (5, 500)
@@ -37,7 +40,7 @@ def strip(value: Column) -> Column:
 
 def norm_text(value: Column) -> Column:
     """Runs of whitespace become one space, ends trimmed, null becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), WHITESPACE, " "))
+    return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), UNEVEN_SPACE, " "))
 
 
 @F.pandas_udf(T.StringType())

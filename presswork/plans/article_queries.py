@@ -9,7 +9,7 @@ from presswork.operators import extraction as E
 from presswork.plans import article_flow
 from presswork.sources import carriers as C
 from presswork.sources.landing import article_payload_uri
-from presswork.sources.tables import table
+from presswork.sources.tables import spread_table, table
 
 
 def now():
@@ -71,7 +71,7 @@ def document_pages(spark, folder):
         spark.createDataFrame([("all",)], "config string")
     )
     return (
-        table(spark, folder, "documents")
+        spread_table(spark, folder, "documents")
         .select("doc_id", "source", F.encode(html, "UTF-8").alias("payload"),
                 F.lit("https://news.example.com/x/y.html").alias("fallback_url"),
                 F.lit(True).alias("require_canonical"), F.lit("all").alias("config"))

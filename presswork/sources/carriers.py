@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from presswork.functions import text, urls
 from presswork.functions.frames import frame
-from presswork.sources.tables import events, table
+from presswork.sources.tables import events, spread_table, table
 
 TOPIC_BY_EVENT_TYPE = {
     "view": "article_fetched",
@@ -87,7 +87,7 @@ def as_framed(pe: DataFrame) -> DataFrame:
 
 def feed_items(spark: SparkSession, folder: str) -> DataFrame:
     """documents as the items of one feed per (source, language)."""
-    docs = table(spark, folder, "documents").join(
+    docs = spread_table(spark, folder, "documents").join(
         table(spark, folder, "labels"), "doc_id", "left"
     )
     off_domain = (F.col("toxic") == 1) & (F.col("lang") == "de")
@@ -220,7 +220,7 @@ def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
     )
     rss = F.concat(F.lit('<rss version="2.0"><channel>'), F.array_join(items, ""),
                    F.lit("</channel></rss>"))
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents").select(
         F.col("source").alias("source_id"),
         F.col("doc_id").alias("feed_id"),
         F.when(F.size(lines) == 1, F.lit("<html><body>Blocked</body></html>"))
@@ -232,7 +232,7 @@ def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
     """pages as fetched responses; the claimed hash of every tenth is wrong."""
     html = F.encode("html", "UTF-8")
     claimed = F.when(F.col("page_id") % 10 == 0, F.concat(html, F.encode(F.lit("x"), "UTF-8")))
-    return table(spark, folder, "pages").select(
+    return spread_table(spark, folder, "pages").select(
         "page_id",
         F.regexp_extract(urls.url_host(F.col("url")), r"(example\.[a-z]+)$", 1).alias("source_id"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 30).cast("int"))
@@ -250,7 +250,7 @@ def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
     """documents exploded to lines with their position."""
-    return table(spark, folder, "documents").select(
+    return spread_table(spark, folder, "documents").select(
         "doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     )
 

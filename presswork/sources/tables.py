@@ -10,6 +10,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row.
+
+    A file with few row groups would keep most cores idle, so such a scan is
+    dealt out to all of them first. A scan that already has a partition per
+    core, as any large table does, is left alone: no shuffle is added.
+    """
+    scan = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A driver table as a file stream."""
     return (
@@ -25,4 +37,4 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """events with a zoned event time, which watermarks need."""
-    return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return spread_table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
