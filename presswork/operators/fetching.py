@@ -107,11 +107,3 @@ def fetched_events(responses: DataFrame, observed_at: Column) -> DataFrame:
         "content_hash",
         F.lit("success").alias("fetch_status"),
     )
-
-
-def completions_of(fetched: DataFrame, revisions: DataFrame) -> DataFrame:
-    """Completion state written for fetched events and the requests they answer."""
-    return fetched.join(revisions, ["article_id"]).select(
-        *COMPLETION, F.lit("published").alias("status"), "source_id", "source_document_id",
-        "payload_uri", "status_code", "content_type", "content_length_bytes", "content_hash",
-    )

@@ -95,13 +95,17 @@ def select_content(latest: DataFrame, side: DataFrame, pages: DataFrame) -> Data
     payload_uri. side: extracted_payload_uri, side_text. pages: payload_uri, html.
     """
     best = first_per_key(latest, ["article_id"], [F.desc(stage_rank(F.col("stage")))])
-    return (
-        best.join(side, "extracted_payload_uri", "left")
-        .join(pages, "payload_uri", "left")
-        .select(
-            "article_id", "stage",
-            F.when(F.col("stage") == "extracted",
-                   F.coalesce(F.nullif("body_text", F.lit("")), "side_text"))
-            .otherwise(F.col("html")).alias("content"),
-        )
+    extracted = F.col("stage") == "extracted"
+    inline = F.coalesce(F.col("body_text"), F.lit("")) != ""
+    # Three branches, so that rows without an address are not all sent to the
+    # one partition where null join keys meet.
+    here = best.filter(extracted & inline).select(
+        "article_id", "stage", F.col("body_text").alias("content")
     )
+    aside = best.filter(extracted & ~inline).join(side, "extracted_payload_uri", "left").select(
+        "article_id", "stage", F.col("side_text").alias("content")
+    )
+    raw = best.filter(~extracted).join(pages, "payload_uri", "left").select(
+        "article_id", "stage", F.col("html").alias("content")
+    )
+    return here.unionByName(aside).unionByName(raw)

@@ -132,14 +132,21 @@ def count_points(counts: DataFrame, *families: int) -> DataFrame:
 
 
 def failing_sources(counts: DataFrame, min_rejections: int = MIN_REJECTIONS) -> DataFrame:
-    """Sources with enough extraction rejects and no extraction at all."""
+    """Sources with enough extraction rejects and no extraction at all.
+
+    The conditions sit inside the sums, not in a filter before them: the counts
+    then come from the same shuffle as the other points, not from a second scan.
+    """
     rejects = F.sum(
-        F.when((F.col("family") == 3) & F.col("stage").startswith("article_extract"), F.col("value"))
+        F.when(
+            (F.col("family") == 3) & (F.col("source_id") != "unknown")
+            & F.col("stage").startswith("article_extract"),
+            F.col("value"),
+        )
     )
     successes = F.sum(F.when(F.col("family") == 2, F.col("value")).otherwise(0))
     return (
-        counts.filter(F.col("family").isin(2, 3) & (F.col("source_id") != "unknown"))
-        .groupBy("window_start", "source_id")
+        counts.groupBy("window_start", "source_id")
         .agg(rejects.alias("rejects"), successes.alias("successes"))
         .filter((F.col("rejects") >= min_rejections) & (F.col("successes") == 0))
         .select("window_start", "source_id", F.col("rejects").cast("bigint").alias("rejects"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presswork.functions import urls
 from presswork.functions.text import strip
 
 # IPv4 networks that are not globally reachable.
@@ -49,6 +50,12 @@ HTML_TYPES = ("text/html", "application/xhtml+xml")
 MARKER_WINDOW_BYTES = 65_536
 
 
+def screen_urls(frame: DataFrame, url: str, domains: Column) -> DataFrame:
+    """Adds ``host`` (IDNA form) and the allow-list ``verdict`` of a URL column."""
+    hosts = frame.withColumn("host", urls.ascii_host(urls.url_host(F.col(url))))
+    return hosts.withColumn("verdict", urls.url_verdict(F.col(url), domains, F.col("host")))
+
+
 def ipv4_number(address: Column) -> Column:
     """Dotted IPv4 as a number, null for anything else."""
     octets = F.split(address, r"\.")

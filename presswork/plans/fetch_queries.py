@@ -44,8 +44,9 @@ def fetched(spark, folder):
 
 def url_allowlist(spark, folder):
     pages = C.landed_pages(spark, folder).join(sites(spark), "source_id", "left")
-    verdict = urls.url_verdict(F.col("requested_url"), F.array("domain"))
-    return pages.select("page_id", "source_id", verdict.alias("verdict"))
+    return screening.screen_urls(pages, "requested_url", F.array("domain")).select(
+        "page_id", "source_id", "verdict"
+    )
 
 
 def address_screen(spark, folder):

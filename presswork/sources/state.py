@@ -37,6 +37,19 @@ def write_version(state: DataFrame, root: str, version: int) -> str:
     return folder
 
 
+def read_deltas(spark: SparkSession, root: str, before: int, schema: str) -> DataFrame:
+    """Rows that versions below ``before`` added to an insert-only state.
+
+    Each version holds its own additions only, so a batch writes as much as it
+    brings, however large the state has become. The version is a partition
+    column: later folders, left by a batch that is being repeated, are not read.
+    """
+    if before <= 0:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(f"{schema}, version bigint").parquet(root)
+    return stored.filter(F.col("version") < before).drop("version")
+
+
 def read_version(spark: SparkSession, root: str, version: int, schema: str) -> DataFrame:
     """State of a version; version -1 is the empty state."""
     if version < 0:

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from presswork.functions.errors import consumer_retry_delay
 from presswork.operators import bus, feeds, fetching, metrics, routing
-from presswork.operators.ordering import first_per_key
 from presswork.plans import article_flow
-from presswork.sources.state import read_version, write_version
+from presswork.sources.state import read_deltas, read_version, write_version
 from presswork.streaming.runner import run_batches, write_batch
 
 
@@ -140,15 +139,15 @@ def completion_stream(
     requests: DataFrame, root: str, out: str, checkpoint: str, trigger: dict | None = None
 ) -> None:
     """First request per (article, revision) is processed; later ones answer
-    already_processed."""
+    already_processed. The state is insert-only: a batch adds its own firsts."""
     def complete(batch: DataFrame, batch_id: int) -> None:
-        done = read_version(batch.sparkSession, root, batch_id - 1, COMPLETION_STATE)
-        firsts = first_per_key(
-            batch.join(done, fetching.COMPLETION, "left_anti"), fetching.COMPLETION, ["event_id"]
-        ).select(*fetching.COMPLETION, F.col("event_id").alias("completed_by"))
-        after = done.unionByName(firsts)
-        write_version(after, root, batch_id)
-        state = read_version(batch.sparkSession, root, batch_id, COMPLETION_STATE)
+        spark = batch.sparkSession
+        done = read_deltas(spark, root, batch_id, COMPLETION_STATE)
+        firsts = fetching.new_fetches(batch, done).select(
+            *fetching.COMPLETION, F.col("event_id").alias("completed_by")
+        )
+        write_version(firsts, root, batch_id)
+        state = read_deltas(spark, root, batch_id + 1, COMPLETION_STATE)
         answered = batch.join(state, fetching.COMPLETION).withColumn(
             "status",
             F.when(F.col("completed_by") == F.col("event_id"), F.lit("published"))
