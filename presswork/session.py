@@ -21,6 +21,7 @@ def local_session(cpus: int | str = 8, name: str = "presswork") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.sql.parquet.compression.codec", "zstd")
         .getOrCreate()
     )
