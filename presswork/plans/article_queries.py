@@ -146,7 +146,7 @@ def fetched_pages(spark, folder):
         .alias("payload_uri"),
         "content_hash", "fetch_status", "payload",
     )
-    landed = events.select("payload_uri", "payload")
+    landed = events.select("payload_uri", "ingest_date", "payload")
     settings = E.compile_config(site_config(spark))
     return events.drop("payload").join(settings, "source_id"), landed
 

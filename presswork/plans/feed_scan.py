@@ -34,7 +34,8 @@ def scan_feeds(
     observed_at, events_published, etag and last_modified per feed.
     """
     classified = X.classify_items(raw)
-    hashed = X.with_hashes(X.dedupe_items(classified))
+    # Hashed before the dedupe: what only needs hashes then shuffles no text.
+    hashed = X.dedupe_items(X.with_hashes(classified.filter("valid")))
     hashes = X.semantic_hash(hashed)
     changed = X.diff_items(hashed, remembered)
     outcomes = X.feed_status(

@@ -58,12 +58,20 @@ def absent_payloads(incoming: DataFrame, landed: DataFrame) -> DataFrame:
     return once.join(landed.select("payload_uri"), "payload_uri", "left_anti")
 
 
-def write_if_absent(incoming: DataFrame, folder: str) -> None:
+def write_if_absent(incoming: DataFrame, folder: str, days: list[str] | None = None) -> None:
     """Appends absent payloads to the landing table, zstd-compressed and
-    partitioned by source and day."""
+    partitioned by source and day.
+
+    Addresses carry their day. A caller that knows the days of its payloads
+    names them, and only those partitions are read; of them, only the addresses.
+    """
     spark = incoming.sparkSession
     try:
-        landed = spark.read.schema("payload_uri string").parquet(folder)
+        landed = spark.read.schema(
+            "payload_uri string, source_id string, ingest_date string"
+        ).parquet(folder)
+        if days is not None:
+            landed = landed.filter(F.col("ingest_date").isin(days))
         fresh = absent_payloads(incoming, landed)
     except Exception as error:  # first write: the table does not exist yet
         if "PATH_NOT_FOUND" not in str(error):

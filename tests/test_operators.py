@@ -307,7 +307,7 @@ def test_write_if_absent(spark, tmp_path):
     more = spark.createDataFrame([("u1", "h", "s", "2026-01-01", b"1"), ("u2", "h", "s", "2026-01-02", b"2")], row)
     landing.write_if_absent(first, folder)
     landing.write_if_absent(more, folder)
-    landing.write_if_absent(more, folder)
+    landing.write_if_absent(more, folder, days=["2026-01-01", "2026-01-02"])
     stored = spark.read.parquet(folder)
     assert sorted(r.payload_uri for r in stored.collect()) == ["u1", "u2"]
     asked = spark.createDataFrame(
