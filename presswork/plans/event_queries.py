@@ -146,14 +146,18 @@ def dlq_disposition(spark, folder):
     return replayed.filter("committed").unionByName(closed).unionByName(seen)
 
 
+def staged_events(spark, folder):
+    return C.bus_events(spark, folder, *lookup.STAGE_TOPICS.values())
+
+
 def stage_union(spark, folder):
-    return lookup.stage_records(C.bus_events(spark, folder)).select(
+    return lookup.stage_records(staged_events(spark, folder)).select(
         "event_id", "article_id", "stage"
     )
 
 
 def latest_per_stage(spark, folder):
-    latest = lookup.latest_per_stage(lookup.stage_records(C.bus_events(spark, folder)))
+    latest = lookup.latest_per_stage(lookup.stage_records(staged_events(spark, folder)))
     return latest.select("article_id", "stage", "event_id")
 
 
@@ -165,14 +169,14 @@ def time_range_read(spark, folder):
 
 
 def article_lineage(spark, folder):
-    paths = lookup.lineage(lookup.stage_records(C.bus_events(spark, folder)))
+    paths = lookup.lineage(lookup.stage_records(staged_events(spark, folder)))
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
     return paths.select("article_id", "fetched", "extracted", stamp("first_fetched"),
                         stamp("last_extracted"))
 
 
 def record_summary(spark, folder):
-    pe = C.bus_events(spark, folder)
+    pe = C.bus_events(spark, folder, "article_extracted")
     block = F.struct(F.lit("paragraph").alias("type"), F.lit("text").alias("text"))
     records = lookup.stage_records(pe, "extracted").select(
         "stage", bus.topic_name(F.col("topic_key")).alias("topic"), "partition", "offset",

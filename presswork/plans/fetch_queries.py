@@ -132,15 +132,14 @@ def redirect_chain(spark, folder):
 
 
 def _requests(spark, folder):
-    pe = C.bus_events(spark, folder)
-    return pe.filter(F.col("topic_key") == "article_fetch_requested").select(
+    return C.bus_events(spark, folder, "article_fetch_requested").select(
         "event_id", "article_id", F.concat(F.lit("rev"), F.col("k") % 2).alias("request_revision")
     )
 
 
 def _completions(spark, folder):
     """Per article and revision the outcome of its first fetch."""
-    pe = C.bus_events(spark, folder).filter(F.col("topic_key") == "article_fetched")
+    pe = C.bus_events(spark, folder, "article_fetched")
     return pe.groupBy(
         "article_id", F.concat(F.lit("rev"), F.col("k") % 2).alias("request_revision")
     ).agg(F.concat(F.lit("doc_"), F.min("event_id")).alias("source_document_id"))

@@ -33,10 +33,7 @@ def metric_records(events: DataFrame, interval: str = "1 day") -> DataFrame:
 
 
 def _records(spark: SparkSession, folder: str, *topics: str) -> DataFrame:
-    events = C.bus_events(spark, folder)
-    if topics:
-        events = events.filter(F.col("topic_key").isin(*topics))
-    return metric_records(events)
+    return metric_records(C.bus_events(spark, folder, *topics))
 
 
 def _shown(points: DataFrame) -> DataFrame:
@@ -62,9 +59,7 @@ def observed_metric_sum(spark, folder):
 
 
 def metric_name_filter(spark, folder):
-    kept = M.rename_metrics(
-        C.bus_events(spark, folder).filter(F.col("topic_key") == "pipeline_metric")
-    )
+    kept = M.rename_metrics(C.bus_events(spark, folder, "pipeline_metric"))
     return kept.select("event_id", "metric_name")
 
 

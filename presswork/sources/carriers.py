@@ -27,9 +27,18 @@ def pick(index: Column, *values: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
 
-def bus_events(spark: SparkSession, folder: str) -> DataFrame:
-    """events as records of the event bus."""
-    return as_bus_events(events(spark, folder))
+def bus_events(spark: SparkSession, folder: str, *topics: str) -> DataFrame:
+    """events as records of the event bus, of some topics or of all.
+
+    Topics are told apart by a plain column of the table, so choosing some is a
+    filter the parquet scan applies.
+    """
+    rows = events(spark, folder)
+    if topics:
+        rows = rows.filter(
+            F.col("event_type").isin([t for t, key in TOPIC_BY_EVENT_TYPE.items() if key in topics])
+        )
+    return as_bus_events(rows)
 
 
 def as_bus_events(rows: DataFrame) -> DataFrame:

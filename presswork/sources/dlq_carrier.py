@@ -14,7 +14,7 @@ FAILED_TOPICS = (
 
 
 def dlq_rows(spark: SparkSession, folder: str) -> DataFrame:
-    e = bus_events(spark, folder).filter(F.col("topic_key") == "dlq")
+    e = bus_events(spark, folder, "dlq")
     failed_topic = pick(F.col("k") + F.col("event_id"), *FAILED_TOPICS)
     kind = F.col("k") % 10
     version = F.when(F.col("k") % 7 == 0, F.lit("other.v9")).otherwise(
