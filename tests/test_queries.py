@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, duck
+from checks.oracles import all_sql
+from presswork.plans.registry import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {n: entry.queries()[n] for n in all_queries()}, all_sql()
 
 
 @pytest.fixture(scope="module")
