@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from presswork.llm import simhash_dedup
+from presswork.llm import bpe, simhash_dedup
 
 QUERIES = {
+    "op1_byte_bpe": bpe.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
 }
 
