@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, simhash_dedup
+from presswork.llm import bpe, decontaminate, simhash_dedup
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
+    "op8_fm_decontaminate": decontaminate.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
 }
 
 #: DuckDB texts, for the queries SQL can express in reasonable time.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_fm_decontaminate": decontaminate.SQL,
+}
