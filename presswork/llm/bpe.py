@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import in_arrow, read
+from presswork.llm.common import carried, parts, read
 
 #: Texts encoded together, in bytes; words contracted together, in bytes.
 SLICE, WORDS_SLICE = 4 << 20, 400_000
@@ -193,37 +193,6 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
-def parts(sizes: list[int], most: int):
-    """(from, to) of consecutive rows whose sizes sum to about ``most``."""
-    start = total = 0
-    for i, size in enumerate(sizes):
-        if total and total + size > most:
-            yield start, i
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
-def _carried(frame: DataFrame, source: str, new: str, kind: str, work) -> DataFrame:
-    """``frame`` with column ``new``: ``work`` maps batches of ``source`` to arrays.
-
-    Columns travel under plain names, as Spark refuses dots in them here."""
-    kept = [c for c in frame.columns if c.lower() != new.lower()]
-    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
-    rows = frame.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(kept)], quoted(source).alias("source"))
-    names = [*rows.columns[:-1], "made"]
-
-    def run(batches):
-        for batch in batches:
-            for a, b, made in work(batch.column(len(kept))):
-                cut = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*cut.columns[:-1], made], names)
-
-    schema = ", ".join([*(f"{n} {t}" for n, t in rows.dtypes[:-1]), f"made {kind}"])
-    return in_arrow(rows, run, schema).toDF(*kept, new)
-
-
 def encode(frame: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``frame`` with the token ids of its texts."""
 
@@ -234,7 +203,7 @@ def encode(frame: DataFrame, path: str, pattern: str, text: str = "text", ids: s
             offsets = np.cumsum([0, *(len(x) // 4 for x in made)]).astype("i4")
             yield a, b, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), "<i4")))
 
-    return _carried(frame, text, ids, "array<int>", work)
+    return carried(frame, text, ids, "array<int>", work)
 
 
 def decode(frame: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -247,7 +216,7 @@ def decode(frame: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
             flat = column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype("i4")
             yield a, b, pa.array(tool.decode(flat, np.array(sizes[a:b], "i8")), pa.binary())
 
-    return _carried(frame, ids, out, "binary", work)
+    return carried(frame, ids, out, "binary", work)
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -52,10 +52,38 @@ def in_arrow(frame: DataFrame, work, schema: str) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def parts(sizes: list[int], most: int):
+    """(from, to) of consecutive rows whose sizes sum to about ``most``."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if total and total + size > most:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def carried(frame: DataFrame, source: str, new: str, kind: str, work) -> DataFrame:
+    """``frame`` with column ``new``: ``work`` maps batches of ``source`` to arrays.
+
+    Columns travel under plain names, as Spark refuses dots in them here."""
+    kept = [c for c in frame.columns if c.lower() != new.lower()]
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    rows = frame.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(kept)], quoted(source).alias("source"))
+    names = [*rows.columns[:-1], "made"]
+
+    def run(batches):
+        for batch in batches:
+            for a, b, made in work(batch.column(len(kept))):
+                cut = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*cut.columns[:-1], made], names)
+
+    schema = ", ".join([*(f"{n} {t}" for n, t in rows.dtypes[:-1]), f"made {kind}"])
+    return in_arrow(rows, run, schema).toDF(*kept, new)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of every text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
-
-def long_ids(frame: DataFrame, column: str) -> DataFrame:
-    return frame.withColumn(column, F.col(column).cast("long"))

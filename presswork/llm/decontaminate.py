@@ -24,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.bpe import parts
-from presswork.llm.common import in_arrow, read, text_bytes
+from presswork.llm.common import in_arrow, parts, read, text_bytes
 from presswork.llm.fm_index import FMIndex
 
 WIDTH = 13

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, simhash_dedup
+from presswork.llm import bpe, decontaminate, simhash_dedup, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
+    "op5_noisy_channel_toxicity": toxicity.query,
     "op8_fm_decontaminate": decontaminate.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
 }
