@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, simhash_dedup, toxicity
+from presswork.llm import bpe, decontaminate, line_dedup, simhash_dedup, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
+    "op2_line_dedup": line_dedup.query,
     "op5_noisy_channel_toxicity": toxicity.query,
     "op8_fm_decontaminate": decontaminate.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
@@ -13,5 +14,6 @@ QUERIES = {
 
 #: DuckDB texts, for the queries SQL can express in reasonable time.
 SQL: dict[str, str] = {
+    "op2_line_dedup": line_dedup.SQL,
     "op8_fm_decontaminate": decontaminate.SQL,
 }
