@@ -341,12 +341,12 @@ def score(docs: DataFrame, model: tuple, text: str = "text", out: str = "score")
 _worker: dict = {}
 
 
-def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with score: model, fit and scoring in one."""
     grams = char_model(docs, text)
     rows = saved(training_rows(docs, labels, id, text), "toxicity-sample")
     chances = fit(rows, grams)
-    return score(docs, (grams, chances, calibrate(rows, grams, chances)), text)
+    return score(docs, (grams, chances, calibrate(rows, grams, chances)), text, out)
 
 
 def query(spark, folder: str) -> DataFrame:
