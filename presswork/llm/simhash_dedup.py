@@ -7,8 +7,8 @@ variant); fingerprints that meet in an equality join on such a variant are
 verified by their Hamming distance inside the join.
 
 Only what decides connectivity is joined. Each bucket first links its members to
-its smallest one, which contracts dense groups in linear work; afterwards only
-members outside a bucket's largest component meet the others of that bucket.
+four pivots (the ends of two orders), which contracts dense groups in linear work;
+afterwards only members outside a bucket's largest component meet the others of it.
 
 Defined results: null text counts as empty; a text without words has fingerprint
 zero; repeated rows give repeated result rows; a null id never names a component
@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.llm.common import in_arrow, saved, text_bytes
@@ -66,60 +66,57 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
 
 
 def variants(fps: DataFrame, segments: int = 3) -> DataFrame:
-    """(tag, key, fp): each bit's segment of fp with that bit cleared."""
-    edges = [round(64 * i / segments) for i in range(segments + 1)]
-    masks = []
+    """``fps`` with a row per bit of column fp and its key: the number of the bit
+    and the bit's segment of fp with that bit cleared."""
+    edges, keys = [round(64 * i / segments) for i in range(segments + 1)], []
     for low, high in zip(edges, edges[1:]):
-        whole = ((1 << high) - 1) ^ ((1 << low) - 1)
-        masks += [whole & ~(1 << bit) for bit in range(low, high)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])
-    return fps.select("fp", F.posexplode(keys).alias("tag", "key")).select(
-        F.col("tag").cast("byte").alias("tag"), "key", "fp"
-    )
+        part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+        for bit in range(low, high):
+            # the number of the bit stands above the segment; segments have at most 32 bits
+            keys.append(part.bitwiseAND(F.lit(~(1 << (bit - low)))).bitwiseOR(F.lit(bit << 32)))
+    return fps.select("*", F.explode(F.array(*keys)).alias("key"))
 
 
 def _near(a: str, b: str, max_bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
 
 
+def _stars(fps: DataFrame, max_bits: int, segments: int) -> DataFrame:
+    """Links (a, b) of bucket members to their bucket's pivots."""
+    bucket = Window.partitionBy("key")
+    mixed = F.xxhash64("fp")
+    pivots = {
+        "p0": F.min("fp"), "p1": F.max("fp"), "p2": F.min_by("fp", mixed), "p3": F.max_by("fp", mixed),
+    }
+    at = variants(fps.select("fp"), segments).select("fp", *[x.over(bucket).alias(n) for n, x in pivots.items()])
+    for n in pivots:
+        at = at.withColumn(n, F.when((F.col("fp") != F.col(n)) & _near("fp", n, max_bits), F.col(n)))
+    at = at.filter(" OR ".join(f"{n} IS NOT NULL" for n in pivots))
+    each = F.explode(F.array_compact(F.array(*pivots)))
+    return at.select(F.col("fp").alias("a"), each.alias("b")).distinct()
+
+
 def classes(fps: DataFrame, max_bits: int = 4, segments: int = 3) -> DataFrame:
     """(node, label) for every fingerprint of ``fps`` (distinct, column fp) that
     links to another one: label is the smallest fingerprint reachable."""
-    if segments * 2 <= max_bits:
-        raise ValueError("some segment must differ by at most one bit")
-    each = variants(fps, segments)
-    pivots = each.groupBy("tag", "key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("_last"))
-    shared = saved(
-        each.join(pivots.filter("pivot <> _last").drop("_last"), ["tag", "key"]), "simhash-buckets"
-    )
-    stars = saved(
-        shared.filter("fp <> pivot").filter(_near("fp", "pivot", max_bits))
-        .select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct(),
-        "simhash-stars",
-    )
-    first = saved(components(stars), "simhash-first")
-    placed = (
-        shared.drop("pivot")
-        .join(first.select(F.col("node").alias("fp"), "label"), "fp", "left")
-        .withColumn("label", F.coalesce("label", "fp"))
-    )
-    counts = placed.groupBy("tag", "key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
-        counts.groupBy("tag", "key")
-        .agg(F.max(F.struct("n", "label")).alias("_top"), F.min("label").alias("_low"), F.max("label").alias("_high"))
-        .filter("_low <> _high")
-        .select("tag", "key", F.col("_top.label").alias("most"))
-    )
-    open_ = saved(placed.join(mixed, ["tag", "key"]), "simhash-open")
-    few = open_.filter("label <> most").select(
-        "tag", "key", F.col("fp").alias("fp2"), F.col("label").alias("label2")
+    if segments < 2 or segments * 2 <= max_bits:
+        raise ValueError("some segment of at most 32 bits must differ by at most one bit")
+    first = saved(components(_stars(fps, max_bits, segments)), "simhash-first")
+    nodes = fps.select("fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    placed = variants(nodes.withColumn("label", F.coalesce("label", "fp")), segments)
+    bucket, part = Window.partitionBy("key"), Window.partitionBy("key", "label")
+    open_ = saved(
+        placed.withColumn("n", F.count(F.lit(1)).over(part))
+        .withColumn("most", F.max(F.struct("n", "label")).over(bucket)["label"])
+        .withColumn("mixed", F.min("label").over(bucket) != F.max("label").over(bucket))
+        .filter("mixed").select("key", "fp", "label", "most"),
+        "simhash-open",
     )
+    few = open_.filter("label <> most").select("key", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
     rest = (
         few.join(
             open_.drop("most"),
-            (few.tag == open_.tag) & (few.key == open_.key) & (F.col("label") != F.col("label2"))
-            & _near("fp", "fp2", max_bits),
+            (few.key == open_.key) & (F.col("label") != F.col("label2")) & _near("fp", "fp2", max_bits),
         )
         .select(F.col("label").alias("a"), F.col("label2").alias("b")).distinct()
     )
