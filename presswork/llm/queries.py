@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, iblt, line_dedup, simhash_dedup, toxicity
+from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, simhash_dedup, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
     "op2_line_dedup": line_dedup.query,
+    "op4_tag_path_text": html_text.query,
     "op5_noisy_channel_toxicity": toxicity.query,
     "op6_iblt_fingerprints": iblt.query,
     "op8_fm_decontaminate": decontaminate.query,
