@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, simhash_dedup, toxicity
+from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, simhash_dedup, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_tag_path_text": html_text.query,
     "op5_noisy_channel_toxicity": toxicity.query,
     "op6_iblt_fingerprints": iblt.query,
+    "op7_warc_index_first": warc.query,
     "op8_fm_decontaminate": decontaminate.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
 }
@@ -17,5 +18,6 @@ QUERIES = {
 #: DuckDB texts, for the queries SQL can express in reasonable time.
 SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
+    "op7_warc_index_first": warc.SQL,
     "op8_fm_decontaminate": decontaminate.SQL,
 }
