@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, simhash_dedup, toxicity, warc
+from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, secrets, simhash_dedup, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_iblt_fingerprints": iblt.query,
     "op7_warc_index_first": warc.query,
     "op8_fm_decontaminate": decontaminate.query,
+    "op10_secret_forest": secrets.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
 }
 
