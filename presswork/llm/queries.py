@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, secrets, simhash_dedup, toxicity, warc
+from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, secrets, simhash_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
     "op2_line_dedup": line_dedup.query,
+    "op3_edit_token_counts": token_counts.query,
     "op4_tag_path_text": html_text.query,
     "op5_noisy_channel_toxicity": toxicity.query,
     "op6_iblt_fingerprints": iblt.query,
