@@ -84,7 +84,7 @@ SQL = {
         failed_topic AS replay_topic_key,
         CASE WHEN k % 10 IN (6, 7, 8) THEN NULL ELSE version END AS failed_schema, verdict FROM judged""",
     "dlq_take_n": f"""WITH {DLQ} SELECT id AS event_id, "partition" AS source_partition,
-        "offset" AS source_offset FROM letters ORDER BY "partition", "offset" LIMIT 25""",
+        "offset" AS source_offset FROM letters ORDER BY "partition", "offset", source_topic LIMIT 25""",
     "dlq_disposition": f"""WITH {DLQ} SELECT id AS event_id, source_topic,
         "partition" AS source_partition, "offset" AS source_offset, error_class, 'desk' AS operator_id,
         action AS disposition_action,

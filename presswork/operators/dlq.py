@@ -156,4 +156,4 @@ def still_open(dlq: DataFrame, dispositions: DataFrame) -> DataFrame:
 
 def take_in_order(dlq: DataFrame, count: int) -> DataFrame:
     """The first ``count`` DLQ events in bus order (a distributed top-k)."""
-    return dlq.orderBy("source_partition", "source_offset").limit(count)
+    return dlq.orderBy("source_partition", "source_offset", "source_topic").limit(count)

@@ -20,9 +20,8 @@ from presswork.sources.rss import item_valid
 
 FEED = ["source_id", "feed_id"]
 ITEM = [*FEED, "feed_item_id"]
+# The fixed number of items that a bounded checkpoint remembers.
 MAX_REMEMBERED = 1000
-# Feeds up to this size hash their sorted item list as one text.
-FLAT_HASH_ITEMS = 10_000
 
 
 def classify_items(raw: DataFrame) -> DataFrame:
@@ -71,41 +70,21 @@ def with_hashes(items: DataFrame) -> DataFrame:
     )
 
 
-def semantic_hash(hashed: DataFrame, flat_items: int = FLAT_HASH_ITEMS) -> DataFrame:
+def semantic_hash(hashed: DataFrame) -> DataFrame:
     """Hash of a feed's set of (item, record hash), blind to item order.
 
-    Feeds of ordinary size hash the compact JSON object {item id: record hash}
-    with sorted keys. Larger ones would need a whole feed in one task for that,
-    so they hash the item count and the sums of the items' own digests, which
-    combine before the shuffle. Size alone decides, so equal feeds always hash
-    alike.
+    It covers the item count and the sums of the items' own digests, which combine
+    before the shuffle; the same definition holds for feeds of any size.
     """
-    entry = F.concat(F.lit('"'), "feed_item_id", F.lit('":"'), "record_hash", F.lit('"'))
-    digest = F.sha2(entry, 256)
+    digest = F.sha2(F.concat_ws(":", "feed_item_id", "record_hash"), 256)
     sums = [
         F.sum(F.conv(F.substring(digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)"))
         .alias(f"_s{i}")
         for i in range(4)
     ]
     totals = hashed.groupBy(*FEED).agg(F.count(F.lit(1)).alias("items"), *sums)
-    wide = totals.filter(F.col("items") > flat_items).select(
-        *FEED, "items",
-        F.sha2(F.concat_ws(":", "items", *[F.col(f"_s{i}") for i in range(4)]), 256)
-        .alias("content_hash"),
-    )
-    ordinary = totals.filter(F.col("items") <= flat_items).select(*FEED, "items")
-    flat = (
-        hashed.select(*FEED, entry.alias("entry"))
-        .join(ordinary, FEED)
-        .groupBy(*FEED)
-        .agg(F.first("items").alias("items"), F.sort_array(F.collect_list("entry")).alias("entries"))
-        .select(
-            *FEED, "items",
-            F.sha2(F.concat(F.lit("{"), F.array_join("entries", ","), F.lit("}")), 256)
-            .alias("content_hash"),
-        )
-    )
-    return flat.unionByName(wide)
+    whole = F.concat_ws(":", "items", *[F.col(f"_s{i}").cast("string") for i in range(4)])
+    return totals.select(*FEED, "items", F.sha2(whole, 256).alias("content_hash"))
 
 
 def diff_items(hashed: DataFrame, remembered: DataFrame) -> DataFrame:
@@ -139,13 +118,15 @@ def merge_items(remembered: DataFrame, hashed: DataFrame) -> DataFrame:
     )
 
 
-def retain_items(merged: DataFrame, keep: int = MAX_REMEMBERED) -> DataFrame:
-    """The last ``keep`` items of each feed.
+def retain_items(merged: DataFrame, keep: int | None = MAX_REMEMBERED) -> DataFrame:
+    """The last ``keep`` items of each feed; None keeps them all.
 
     State is saved with sorted keys, so known items stand in id order, before
     the new ones in document order. The rank limit is applied before the
     shuffle as well, so a huge feed sends ``keep`` rows per partition.
     """
+    if keep is None:
+        return merged
     old_place = F.when(~F.col("is_new"), F.col("feed_item_id"))
     new_place = F.when(F.col("is_new"), F.col("pos"))
     back = Window.partitionBy(*FEED).orderBy(

@@ -92,11 +92,20 @@ def observations(records: DataFrame) -> DataFrame:
         .when(is_metric, clean_dimensions(merged))
         .otherwise(by_source)
         .alias("entries"),
-        F.when(is_metric, F.col("metric_value")).otherwise(1).cast("decimal(28,6)")
-        .alias("amount"),
+        F.when(is_metric, F.col("metric_value").cast("double")).alias("amount"),
     )
 
 
+def _total() -> Column:
+    """Rows without an amount count as one. Ordinary amounts are added exactly, so the
+    order of rows does not show; very large ones as floating point."""
+    amount = F.col("amount")
+    plain = F.abs(amount) < 1e9
+    exact = F.sum(F.when(plain, amount).cast("decimal(38,18)")).cast("double")
+    parts = (F.count_if(amount.isNull()).cast("double"), exact, F.sum(F.when(~plain, amount)))
+    return sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0))
+
+
 def metric_counts(records: DataFrame) -> DataFrame:
     """Counters of every flush window (see _COUNT_KEYS) with their total.
 
@@ -106,7 +115,7 @@ def metric_counts(records: DataFrame) -> DataFrame:
     return (
         observations(records)
         .groupBy(*_COUNT_KEYS)
-        .agg(F.sum("amount").cast("double").alias("value"))
+        .agg(_total().alias("value"))
         .select(F.col("window.start").alias("window_start"), *_COUNT_KEYS[1:], "value")
     )
 
@@ -187,8 +196,13 @@ def lag_totals(groups: DataFrame, lag: DataFrame) -> DataFrame:
     )
 
 
-def lag_points(committed: DataFrame, latest: DataFrame, window_start: Column) -> DataFrame:
-    """Lag and lag totals as metric points of the window they were read in."""
+def lag_points(
+    committed: DataFrame, latest: DataFrame, window_start: Column, groups: DataFrame | None = None
+) -> DataFrame:
+    """Lag and lag totals as metric points of the window they were read in.
+
+    ``groups``: the configured groups (group_id); by default those that ever committed.
+    """
     lag = consumer_lag(committed, latest)
     each = lag.select(
         window_start.alias("window_start"), F.col("lag").cast("double").alias("value"),
@@ -196,7 +210,7 @@ def lag_points(committed: DataFrame, latest: DataFrame, window_start: Column) ->
         dimension_entries(consumerGroup=F.col("group_id"), topic=F.col("topic"),
                           partition=F.col("partition")).alias("entries"),
     )
-    total = lag_totals(committed, lag).select(
+    total = lag_totals(committed if groups is None else groups, lag).select(
         window_start.alias("window_start"), F.col("total_lag").cast("double").alias("value"),
         F.lit("count").alias("unit"),
         dimension_entries(consumerGroup=F.col("group_id")).alias("entries"),

@@ -130,23 +130,32 @@ def media_type(content_type: Column) -> Column:
     return F.lower(strip(F.substring_index(content_type, ";", 1)))
 
 
-def document_marker(payload: Column, extra: Column | None = None) -> Column:
-    """First marker of a challenge or error page, in list order, else null."""
-    sample = F.lower(F.substring(payload, 1, MARKER_WINDOW_BYTES).cast("string"))
+def document_marker(
+    payload: Column, extra: Column | None = None, window: int | None = MARKER_WINDOW_BYTES
+) -> Column:
+    """First marker of a challenge or error page, in list order, else null.
+
+    Looked for in the first ``window`` bytes, None for the whole payload.
+    """
+    head = payload if window is None else F.substring(payload, 1, window)
+    sample = F.lower(head.cast("string"))
     marker = F.lit(None).cast("string")
     if extra is not None:
         named = F.filter(extra, lambda m: strip(m) != "")
-        marker = F.get(F.filter(named, lambda m: sample.contains(F.lower(m))), F.lit(0))
+        marker = F.get(F.filter(named, lambda m: sample.contains(F.lower(strip(m)))), F.lit(0))
     fixed = F.coalesce(*[F.when(sample.contains(m), F.lit(m)) for m in INVALID_DOCUMENT_MARKERS])
     return F.coalesce(fixed, marker)
 
 
-def document_verdict(content_type: Column, payload: Column, extra: Column | None = None) -> Column:
+def document_verdict(
+    content_type: Column, payload: Column, extra: Column | None = None,
+    window: int | None = MARKER_WINDOW_BYTES,
+) -> Column:
     """Why a response is no article page; null when it may be one."""
     wrong_type = (F.coalesce(content_type, F.lit("")) != "") & ~media_type(content_type).isin(
         *HTML_TYPES
     )
-    marker = document_marker(payload, extra)
+    marker = document_marker(payload, extra, window)
     return F.when(wrong_type, F.concat(F.lit("not_html: "), content_type)).when(
         marker.isNotNull(), F.concat(F.lit("marker: "), marker)
     )

@@ -67,15 +67,11 @@ def document_pages(spark, folder):
         F.array_join(F.transform(F.split("text", "\n"), element), ""),
         F.lit('</article><div class="banner"><p>Banner text that is never kept</p></div></body></html>'),
     )
-    plain = E.compile_config(
-        spark.createDataFrame([("all",)], "config string")
-    )
-    return (
-        spread_table(spark, folder, "documents")
-        .select("doc_id", "source", F.encode(html, "UTF-8").alias("payload"),
+    # no source sets anything here: the settings are one literal struct
+    return E.compile_config(
+        spread_table(spark, folder, "documents").select("doc_id", "source", F.encode(html, "UTF-8").alias("payload"),
                 F.lit("https://news.example.com/x/y.html").alias("fallback_url"),
-                F.lit(True).alias("require_canonical"), F.lit("all").alias("config"))
-        .join(plain, "config").drop("config")
+                F.lit(True).alias("require_canonical"))
     )
 
 

@@ -25,7 +25,7 @@ class FeedScan:
 def scan_feeds(
     raw: DataFrame, responses: DataFrame, domains: DataFrame, remembered: DataFrame,
     checkpoints: DataFrame, now: Column, category: Column | None = None,
-    keep: int = X.MAX_REMEMBERED,
+    keep: int | None = None,
 ) -> FeedScan:
     """Polls every feed in ``responses``.
 

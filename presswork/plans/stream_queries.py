@@ -11,7 +11,7 @@ from presswork.plans.article_queries import fetched_pages, site_config
 from presswork.plans.metric_queries import day, metric_records
 from presswork.operators.extraction import compile_config
 from presswork.sources import carriers as C
-from presswork.sources.state import read_version
+from presswork.sources.state import read_latest
 from presswork.sources.tables import stream_events
 from presswork.session import new_run_folder
 from presswork.streaming import jobs
@@ -59,20 +59,20 @@ def stream_retry_state(spark, folder):
         *jobs.RETRY_KEY, F.col("event_id").alias("seq"), "route"
     )
     jobs.retry_state_stream(tries, root, checkpoint)
-    return read_version(spark, root, 0, jobs.RETRY_STATE)
+    return read_latest(spark, root, jobs.RETRY_STATE)
 
 
 def stream_feed_diff(spark, folder):
     """Two polls of all feeds; what the second one finds new or changed."""
     run = new_run_folder(spark, "feeds")
     polls, schema = f"{run}/polls", C.current_snapshot(spark, folder).schema
-    for poll in (C.previous_snapshot(spark, folder), C.current_snapshot(spark, folder)):
+    for n, poll in enumerate((C.previous_snapshot(spark, folder), C.current_snapshot(spark, folder))):
         poll.select(*schema.names).write.mode("append").parquet(polls)
         jobs.feed_diff_stream(
-            spark.readStream.schema(schema).parquet(polls), f"{run}/state", f"{run}/out",
+            spark.readStream.schema(schema).parquet(polls), f"{run}/state", f"{run}/out{n}",
             f"{run}/checkpoint",
         )
-    return spark.read.parquet(f"{run}/out").filter(F.col("batch") == 1).select(
+    return spark.read.parquet(f"{run}/out1").select(
         *feed_queries.X.ITEM, "record_hash", "change"
     )
 

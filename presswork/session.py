@@ -23,6 +23,7 @@ def local_session(cpus: int | str = 8, name: str = "presswork") -> SparkSession:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        .config("spark.presswork.spread", str(cpus))
         .getOrCreate()
     )
 

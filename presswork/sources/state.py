@@ -50,6 +50,13 @@ def read_deltas(spark: SparkSession, root: str, before: int, schema: str) -> Dat
     return stored.filter(F.col("version") < before).drop("version")
 
 
+def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """State of the newest version below ``root``."""
+    stored = spark.read.schema(f"{schema}, version bigint").parquet(root)
+    newest = stored.agg(F.max("version")).first()[0]
+    return stored.filter(F.col("version") == F.lit(newest)).drop("version")
+
+
 def read_version(spark: SparkSession, root: str, version: int, schema: str) -> DataFrame:
     """State of a version; version -1 is the empty state."""
     if version < 0:

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Session setting: partitions to deal heavy scans out to.
+SPREAD = "spark.presswork.spread"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -13,21 +17,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table for work that is heavy per row.
 
-    A file with few row groups would keep most cores idle, so such a scan is
-    dealt out to all of them first. A scan that already has a partition per
-    core, as any large table does, is left alone: no shuffle is added.
+    A session may ask for small tables to be dealt out (SPREAD), as local ones do,
+    whose tables are one row group; elsewhere a scan is just a scan.
     """
-    scan = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    scan, parts = table(spark, folder, name), spark.conf.get(SPREAD, None)
+    return scan.repartition(int(parts)) if parts else scan
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table as a file stream."""
-    return (
-        spark.readStream.schema(table(spark, folder, name).schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(folder)
+    """A driver table, one file or a folder of part files, as a file stream."""
+    # the pattern matches the table's own path only, whatever kind it is
+    return spark.readStream.schema(table(spark, folder, name).schema).parquet(
+        f"{folder.rstrip('/')}/[{name[0]}]{name[1:]}.parquet"
     )
 
 

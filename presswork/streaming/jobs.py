@@ -118,7 +118,7 @@ ITEM_STATE = "source_id string, feed_id string, feed_item_id string, record_hash
 
 
 def feed_diff_stream(
-    items: DataFrame, root: str, out: str, checkpoint: str, keep: int = feeds.MAX_REMEMBERED,
+    items: DataFrame, root: str, out: str, checkpoint: str, keep: int | None = None,
     trigger: dict | None = None,
 ) -> None:
     """New and changed items of every poll against what earlier polls saw."""

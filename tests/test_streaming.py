@@ -9,7 +9,7 @@ from presswork.functions.errors import error_struct
 from presswork.operators import metrics
 from presswork.session import new_run_folder, shared_folder
 from presswork.streaming import jobs
-from presswork.streaming.runner import write_batch
+from presswork.streaming.runner import run_batches, write_batch
 
 ROUTED = "topic string, partition int, offset bigint, kind string"
 
@@ -90,3 +90,17 @@ def test_event_time_windows_close(spark):
     query.awaitTermination()
     rows = spark.table("closed_windows").collect()
     assert [(str(r.window_start)[:10], r.value) for r in rows] == [("2026-01-01", 2.0)]
+
+
+def test_folder_tables_stream_like_files(spark, tmp_path):
+    from presswork.sources.tables import stream_table, table
+
+    rows = table(spark, "/root/testdata/sf0.001", "events").limit(40)
+    rows.repartition(3).write.parquet(f"{tmp_path}/many/events.parquet")
+    for folder, n in ((f"{tmp_path}/many", 40), ("/root/testdata/sf0.001", None)):
+        run_batches(
+            stream_table(spark, folder, "events"), f"{tmp_path}/{n}/checkpoint",
+            lambda batch, i, n=n: write_batch(batch, f"{tmp_path}/{n}/out", i),
+        )
+        got = spark.read.parquet(f"{tmp_path}/{n}/out").drop("batch")
+        assert got.count() == table(spark, folder, "events").count()
