@@ -2,46 +2,22 @@
 
 from __future__ import annotations
 
-import html
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from presswork.functions.text import norm_text
+from presswork.functions.text import html_unescape, norm_text
 
 # Tags that separate words.
-SPACING_TAGS = frozenset({"br", "div", "li", "p"})
-
-
-class _Text(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.out = []
-
-    def handle_starttag(self, tag, attrs):
-        self.out.append(" " * (tag in SPACING_TAGS))
-
-    def handle_data(self, data):
-        self.out.append(data)
+SPACING_TAGS = ("br", "div", "li", "p")
 
-
-def _plain(fragment: str) -> str:
-    # Without markup or entities there is nothing to parse.
-    if "<" not in fragment and "&" not in fragment:
-        return fragment
-    reader = _Text()
-    reader.feed(fragment)
-    return html.unescape("".join(reader.out))
-
-
-@F.pandas_udf(T.StringType())
-def _plain_text(fragments: pd.Series) -> pd.Series:
-    return fragments.map(_plain, na_action="ignore")
+_SPACING = rf"(?i)<(?:{'|'.join(SPACING_TAGS)})(?=[\s/>])[^>]*>"
+_MARKUP = r"(?s)<!--.*?(?:-->|$)|</?[A-Za-z][^>]*>|<[!?/][^>]*>"
 
 
 def summary_text(fragment: Column) -> Column:
-    """Text of a summary; null when there is none."""
-    return F.nullif(norm_text(_plain_text(fragment)), F.lit(""))
+    """Text of a summary; null when there is none.
+
+    References are resolved twice, as feeds escape markup that is escaped already.
+    """
+    bare = F.regexp_replace(F.regexp_replace(fragment, _SPACING, " "), _MARKUP, "")
+    return F.nullif(norm_text(html_unescape(html_unescape(bare))), F.lit(""))

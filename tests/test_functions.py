@@ -114,12 +114,22 @@ def test_url_verdict(spark):
     assert rows[-1].host == "www.xn--bcher-kva.test"
 
 
-@pytest.mark.parametrize("candidate", ["/x", "y.html", "../z", "?q=1", "//cdn.test/a", "mailto:a@b", ""])
-def test_resolve_url(spark, candidate):
-    base = "https://n.test/a/b.html"
-    want = urljoin(base, candidate)
-    got = apply(spark, [candidate], lambda v: urls.resolve_url(F.lit(base), v))
-    assert got == [want if want.startswith("http") else None]
+@pytest.mark.parametrize("base", ["https://n.test/a/b.html", "https://n.test", "http://n.test/a/b/?q=2#f", "/x", ""])
+def test_resolve_url(spark, base):
+    names = ["/x", "y.html", "../z", "?q=1", "//cdn.test/a", "mailto:a@b", "", "./", "../../../up", "a/./b/../c?x#y",
+             "#top", "..", "http://o.test/../p", " z\n", "/a/../b/."]
+    want = [urljoin(base, c.strip().replace("\n", "")) for c in names]
+    got = apply(spark, names, lambda v: urls.resolve_url(F.lit(base), v))
+    assert got == [w if w.startswith("http") and "//" in w else None for w in want]
+    assert apply(spark, ["https://[::1/x", None], lambda v: urls.resolve_url(F.lit("https://n.test/a"), v)) == [
+        None, "https://n.test/a"]
+
+
+def test_first_usable(spark):
+    frame = spark.createDataFrame([(1, [["data:x", " ", "/i.jpg", "j"], [None, "mailto:a"], []]), (2, None)],
+                                  "i int, found array<array<string>>")
+    rows = frame.orderBy("i").select(urls.resolve_first_usable(F.lit("https://n.test/a/"), F.col("found")).alias("r"))
+    assert [r.r for r in rows.collect()] == [["https://n.test/i.jpg", None, None], None]
 
 
 def test_srcset(spark):

@@ -34,16 +34,18 @@ def hashed(spark, *rows):
 
 # --- feeds -------------------------------------------------------------------
 
-RSS = """<?xml version="1.0"?><rss version="2.0"><channel><title>t</title>
-<item><title>Gold rises</title><description><![CDATA[<a href="x"><img src="a"></a></br> Short text. ]]></description>
-<pubDate>Mon, 01 Jun 2026 05:00:00 +0700</pubDate><link>https://n.test/a.html</link></item>
-<item><title>No link</title></item>{more}</channel></rss>"""
+RSS = """<?xml version="1.0" encoding="UTF-8"?>
+<rss version="2.0"><channel><link>https://paper.test/</link>
+<item><link>https://paper.test/river.html</link><title>River falls</title>
+<pubDate>Tue, 09 Jan 2024 18:30:00 -0200</pubDate>
+<description>&lt;p&gt;Lowest &lt;b&gt;level&lt;/b&gt; in years.&lt;/p&gt;</description></item>
+<item><title>Nowhere to go</title></item>{more}</channel></rss>"""
 
 
 def test_rss(spark):
-    again = '<item><title>Again</title><link>https://n.test/a.html?utm_source=rss#top</link></item>'
+    again = '<item><title>Once more</title><link>https://paper.test/river.html?utm_medium=x#end</link></item>'
     payloads = spark.createDataFrame(
-        [(1, RSS.format(more="")), (2, RSS.format(more=again)), (3, "<html><body>Blocked</body></html>"),
+        [(1, RSS.format(more="")), (2, RSS.format(more=again)), (3, "<html><p>Please wait</p></html>"),
          (4, "<rss><channel></channel></rss>"), (5, "<rss><item/></rss>"), (6, "not xml"),
          (7, RSS.format(more="").replace("rss", "feed"))], "feed_id int, payload string")
     parsed = rss.parse_feeds(payloads)
@@ -52,9 +54,9 @@ def test_rss(spark):
                    4: ("no_valid_items", 0, 0, 0), 5: ("not_rss", 0, 0, 0), 6: ("not_rss", 0, 0, 0),
                    7: ("not_rss", 0, 0, 0)}
     row = rss.feed_item_rows(parsed).filter("feed_id = 1").collect()[0]
-    assert (row.article_url, row.title, row.summary) == ("https://n.test/a.html", "Gold rises", "Short text.")
-    assert str(row.published_at) == "2026-05-31 22:00:00"
-    assert row.published_iso == "2026-06-01T05:00:00+07:00"
+    assert (row.article_url, row.title, row.summary) == ("https://paper.test/river.html", "River falls", "Lowest level in years.")
+    assert str(row.published_at) == "2024-01-09 20:30:00"
+    assert row.published_iso == "2024-01-09T18:30:00-02:00"
 
 
 def test_semantic_hash_is_blind_to_order(spark):
