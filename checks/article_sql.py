@@ -34,10 +34,11 @@ page AS (SELECT *, {_TITLE} AS raw_title, {_ARTICLE} AS article,
     {_plain(f"regexp_extract({_ARTICLE}, '(<p\\b.*)$', 1, 's')")} AS body FROM landed),
 extracted AS (SELECT *, CASE source_id WHEN 'example.net' THEN 1200 ELSE 80 END AS least_chars,
     length(body) AS chars FROM page WHERE source_id IN ('example.com', 'example.net', 'example.org')),
-judged AS (SELECT *, CASE WHEN chars < 20 THEN 'no content blocks matched configured selectors'
-    WHEN chars < least_chars THEN 'extracted text is too short: ' || chars || ' < ' || least_chars
+judged AS (SELECT *, CASE WHEN chars < 20 THEN 'no blocks'
+    WHEN chars < least_chars THEN 'short text: ' || chars || ' < ' || least_chars
     END AS reason FROM extracted)"""
 
+# The boilerplate lines, in DuckDB's regular expressions.
 _BAD = ("(?i)^\\s*>>\\s*|^\\s*(tin liên quan|tin lien quan|xem thêm|xem them|đọc tiếp|doc tiep)([^\\p{L}\\p{N}_]|$)"
         "|^\\s*(theo dõi|bấm theo dõi|mời bạn đọc)([^\\p{L}\\p{N}_]|$)|^\\s*(nguồn|source)\\s*:"
         "|^\\s*chia sẻ\\s*$|^\\s*google news\\s*$")
@@ -133,7 +134,7 @@ SQL = {
         WHEN verdict IS NOT NULL THEN 'article_extract' END AS stage FROM (
       SELECT page_id, CASE WHEN fetch_status = 'failed' THEN 'not_fetched'
         WHEN real_hash <> content_hash THEN 'hash_mismatch'
-        WHEN source_id = 'example.org' THEN 'Unsupported article extractor: pdf_article'
+        WHEN source_id = 'example.org' THEN 'unsupported extractor: pdf_article'
         WHEN reason IS NOT NULL THEN 'rejected: ' || reason
         WHEN coalesce({_clean('raw_title')}, '') = '' THEN 'no_title_or_body' END AS verdict FROM judged)""",
     "oversize_split": f"""WITH {EVENTS} SELECT 'article_' || doc_id AS article_id,
@@ -160,12 +161,12 @@ SQL = {
     "block_dedupe": f"WITH {LINES} SELECT doc_id, pos, ordinal, text FROM blocks",
     "json_body_join": f"WITH {LINES} SELECT doc_id, body_text, block_count FROM bodies",
     "content_quality_reject": f"""WITH {LINES} SELECT doc_id, CASE
-        WHEN body_text IS NULL THEN 'no content blocks matched configured selectors'
-        WHEN length(body_text) < 200 THEN 'extracted text is too short: ' || length(body_text) || ' < 200'
-        WHEN block_count < 2 THEN 'too few semantic blocks: ' || block_count || ' < 2'
+        WHEN body_text IS NULL THEN 'no blocks'
+        WHEN length(body_text) < 200 THEN 'short text: ' || length(body_text) || ' < 200'
+        WHEN block_count < 2 THEN 'few blocks: ' || block_count || ' < 2'
         WHEN length(body_text) < 1000 AND
           (length(body_text) - length(replace(lower(body_text), 'the ', ''))) / 4
           + (length(body_text) - length(replace(lower(body_text), 'und ', ''))) / 4 >= 3
-          THEN 'extracted text is boilerplate dominated' END AS reason
+          THEN 'mostly boilerplate' END AS reason
       FROM documents LEFT JOIN bodies USING (doc_id)""",
 }

@@ -65,13 +65,13 @@ SQL = {
     "fetch_success_gate": f"""WITH {PAGES} SELECT page_id,
         CASE WHEN fetch_status <> 'success' OR page_id % 11 = 0 THEN 'not_fetched' END AS verdict FROM landed""",
     "source_enrich": f"""WITH {PE}, {SOURCES} SELECT event_id, source_id, domain,
-        CASE WHEN domain IS NULL THEN 'Unknown source: ' || source_id
-          WHEN NOT enabled THEN 'Source is disabled: ' || source_id END AS source_verdict
+        CASE WHEN domain IS NULL THEN 'unknown source: ' || source_id
+          WHEN NOT enabled THEN 'disabled source: ' || source_id END AS source_verdict
       FROM pe LEFT JOIN sources USING (source_id)""",
     "feed_select": f"""WITH {CRAWL}, {SOURCES} SELECT source_id, feed_id,
         CASE WHEN ok THEN 'news' END AS category,
         CASE WHEN ok THEN 'https://www.' || source_id || '.example.com/' || feed_id || '.rss' END AS url,
-        CASE WHEN NOT ok THEN 'Unknown feed for ' || source_id || ': ' || feed_id END AS verdict
+        CASE WHEN NOT ok THEN 'unknown feed of ' || source_id || ': ' || feed_id END AS verdict
       FROM (SELECT DISTINCT source_id, feed_id, domain IS NOT NULL AND feed_id <> 'feed3' AS ok
         FROM crawl LEFT JOIN sources USING (source_id))""",
     "redirect_chain": f"""WITH RECURSIVE p AS (

@@ -30,7 +30,7 @@ SQL = {
         CASE WHEN verdict IS NULL OR verdict = 'no_title_or_body' THEN sha256(encode(body)) END AS body_sha256
       FROM (SELECT *, CASE WHEN fetch_status = 'failed' THEN 'not_fetched'
           WHEN real_hash <> content_hash THEN 'hash_mismatch'
-          WHEN source_id = 'example.org' THEN 'Unsupported article extractor: pdf_article'
+          WHEN source_id = 'example.org' THEN 'unsupported extractor: pdf_article'
           WHEN reason IS NOT NULL THEN 'rejected: ' || reason
           WHEN coalesce({_clean('raw_title')}, '') = '' THEN 'no_title_or_body' END AS verdict FROM judged)""",
     "multi_topic_scan": f"""SELECT topic, event_id, message_key FROM ({EVENT_SQL['route_events']})

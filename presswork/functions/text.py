@@ -150,15 +150,37 @@ def rfc2822_datetime(value: Column) -> Column:
 
 
 def iso_datetime(value: Column) -> Column:
-    """Timestamp of an ISO 8601 date or date-time; naive values count as UTC."""
+    """Timestamp of an ISO 8601 date or date-time, also in basic and week form;
+    naive values count as UTC."""
     shape = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
+    def extended(text):
+        """Separators put in, a week date turned into a calendar date."""
+        day, rest = F.regexp_extract(text, r"^(\d{4}-?W?\d+(?:-?\d+)?)", 1), r"^\d{4}-?W?\d+(?:-?\d+)?"
+        week = F.regexp_extract(day, r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$", 2)
+        year = F.regexp_extract(day, r"^(\d{4})", 1)
+        weekday = F.regexp_extract(day, r"W\d{2}-?([1-7])$", 1)
+        # week 1 holds January 4th
+        fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
+        monday = F.date_sub(fourth, F.weekday(fourth))
+        at = F.date_add(monday, (week.try_cast("int") - 1) * 7
+                        + F.coalesce(weekday.try_cast("int"), F.lit(1)) - 1)
+        calendar = F.when(F.weekofyear(at) == week.try_cast("int"), at.cast("string"))
+        plain = F.regexp_replace(day, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+        time = F.regexp_replace(F.regexp_replace(text, rest, ""), ",", ".")
+        time = F.regexp_replace(time, r"^([T ]\d{2})(\d{2})(\d{2})?(?=[.Z+-]|$)", "$1:$2:$3")
+        time = F.regexp_replace(time, r":(?=[.Z+-]|$)", "")
+        return F.concat(F.when(week != "", calendar).otherwise(plain), time)
+
     def read(text):
         text = F.regexp_replace(text, r"(:\d{2}|T\d{2})([+-]\d{2})(\d{2})$", "$1$2:$3")
         text = F.regexp_replace(text, r"([T ]\d{2})(?=$|Z|[+-])", "$1:00")
+        text = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
         return text.try_cast("timestamp")
 
-    return let(strip(value), lambda text: F.when(text.rlike(shape), read(text)))
+    return let(
+        let(strip(value), extended), lambda text: F.when(text.rlike(shape), read(text))
+    )
 
 
 def article_datetime(*values: Column) -> Column:

@@ -435,18 +435,18 @@ def content_rejection(body: Column, blocks: Column, cfg: Column) -> Column:
 def quality_verdict(chars: Column, blocks: Column, marker_hits: Column, cfg: Column) -> Column:
     return (
         F.when(F.coalesce(chars, F.lit(0)) == 0,
-               F.lit("no content blocks matched configured selectors"))
+               F.lit("no blocks"))
         .when(
             chars < cfg["min_text_chars"],
-            F.concat(F.lit("extracted text is too short: "), chars, F.lit(" < "),
+            F.concat(F.lit("short text: "), chars, F.lit(" < "),
                      cfg["min_text_chars"]),
         )
         .when(
             blocks < cfg["min_blocks"],
-            F.concat(F.lit("too few semantic blocks: "), blocks, F.lit(" < "), cfg["min_blocks"]),
+            F.concat(F.lit("few blocks: "), blocks, F.lit(" < "), cfg["min_blocks"]),
         )
         .when((marker_hits >= 3) & (chars < 1000),
-              F.lit("extracted text is boilerplate dominated"))
+              F.lit("mostly boilerplate"))
     )
 
 

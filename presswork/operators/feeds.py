@@ -13,7 +13,7 @@ from pyspark.sql import Window
 
 from presswork.functions import ids
 from presswork.functions.text import iso_micros
-from presswork.functions.urls import norm_url, url_verdict
+from presswork.functions.urls import ascii_host, norm_url, url_host, url_verdict
 from presswork.operators.ordering import first_per_key
 from presswork.operators.settle import settle
 from presswork.sources.rss import item_valid
@@ -48,11 +48,19 @@ def item_counts(classified: DataFrame) -> DataFrame:
 
 def off_domain_feeds(items: DataFrame, domains: DataFrame) -> DataFrame:
     """Feeds with an item outside their source's domain, and how many."""
-    checked = items.join(domains, "source_id", "left")
-    verdict = url_verdict(F.col("article_url"), F.array(F.lower("domain")))
-    return (
-        checked.filter(verdict.isNotNull()).groupBy(*FEED).agg(F.count(F.lit(1)).alias("off_domain"))
+    own = domains.withColumn("domain", ascii_host(F.lower("domain")))
+    checked = items.withColumn("_host", url_host(F.col("article_url"))).join(own, "source_id", "left")
+    plain = F.coalesce(F.col("_host"), F.lit("")).rlike(r"^[\x00-\x7f]*$")
+
+    def count_off(rows, host):
+        verdict = url_verdict(F.col("article_url"), F.array("domain"), host)
+        return rows.filter(verdict.isNotNull()).groupBy(*FEED).agg(F.count(F.lit(1)).alias("off_domain"))
+
+    # only hosts outside ASCII go through Python
+    both = count_off(checked.filter(plain), F.col("_host")).unionByName(
+        count_off(checked.filter(~plain).withColumn("_host", ascii_host(F.col("_host"))), F.col("_host"))
     )
+    return both.groupBy(*FEED).agg(F.sum("off_domain").alias("off_domain"))
 
 
 def all_or_nothing(items: DataFrame, domains: DataFrame) -> DataFrame:

@@ -176,8 +176,8 @@ def enrich_source(events: DataFrame, sources: DataFrame) -> DataFrame:
     known = sources.withColumn("_known", F.lit(True))
     return events.join(known, "source_id", "left").withColumn(
         "source_verdict",
-        F.when(F.col("_known").isNull(), F.concat(F.lit("Unknown source: "), "source_id"))
-        .when(~F.col("enabled"), F.concat(F.lit("Source is disabled: "), "source_id")),
+        F.when(F.col("_known").isNull(), F.concat(F.lit("unknown source: "), "source_id"))
+        .when(~F.col("enabled"), F.concat(F.lit("disabled source: "), "source_id")),
     ).drop("_known")
 
 
@@ -190,6 +190,6 @@ def select_feeds(wanted: DataFrame, sources: DataFrame) -> DataFrame:
         "verdict",
         F.when(
             F.col("url").isNull(),
-            F.concat(F.lit("Unknown feed for "), "source_id", F.lit(": "), "feed_id"),
+            F.concat(F.lit("unknown feed of "), "source_id", F.lit(": "), "feed_id"),
         ),
     )

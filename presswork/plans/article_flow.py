@@ -40,7 +40,7 @@ def early_gates(fetched: DataFrame, landed: DataFrame) -> DataFrame:
         F.coalesce(
             gate, F.col("_read"),
             F.when(extractor != "html_article",
-                   F.concat(F.lit("Unsupported article extractor: "), extractor)),
+                   F.concat(F.lit("unsupported extractor: "), extractor)),
         ),
     ).drop("_read")
 

@@ -53,16 +53,33 @@ def scan_feeds(
     )
     current = hashed.join(published, X.FEED, "left_semi")
     state = X.retain_items(X.merge_items(remembered, current), keep)
-    kept = checkpoints.join(published, X.FEED, "left_anti").select(
-        *X.FEED, "content_hash", "observed_at", "events_published"
+    old = [c for c in ("content_hash", "observed_at", "events_published", "etag", "last_modified",
+                       "payload_uri") if c in checkpoints.columns]
+    # Only an accepted poll brings new validators: a rejected, empty or 304 answer, or
+    # no answer at all, leaves those of the content that was last accepted.
+    accepted = outcomes.filter(F.col("status").isin("published", "unchanged")).select(*X.FEED)
+    marks = responses.join(accepted, X.FEED, "left_semi").select(
+        *X.FEED, F.col("etag").alias("_etag"), F.col("last_modified").alias("_last"),
+        F.lit(True).alias("_fresh"),
+    )
+    kept = (
+        checkpoints.join(published, X.FEED, "left_anti").select(*X.FEED, *old)
+        .join(marks, X.FEED, "left")
+        .withColumns({
+            "etag": F.when(F.col("_fresh"), F.col("_etag")).otherwise(F.col("etag")),
+            "last_modified": F.when(F.col("_fresh"), F.col("_last")).otherwise(F.col("last_modified")),
+        })
+        .drop("_etag", "_last", "_fresh")
+    )
+    written = (
+        seen.select(*X.FEED, "content_hash", "observed_at",
+                    F.lit(True).alias("events_published"), "payload_uri")
+        .join(responses.select(*X.FEED, "etag", "last_modified"), X.FEED, "left")
     )
-    written = seen.select(*X.FEED, "content_hash", "observed_at",
-                          F.lit(True).alias("events_published"))
-    marks = responses.select(*X.FEED, "etag", "last_modified")
     return FeedScan(
         outcomes=outcomes,
         discovered=X.discovery_events(news),
         requests=X.fetch_requests(news),
         items=state,
-        checkpoints=kept.unionByName(written).join(marks, X.FEED, "left"),
+        checkpoints=kept.unionByName(written, allowMissingColumns=True),
     )

@@ -12,10 +12,11 @@ from presswork.functions.urls import is_http_url, norm_url
 from presswork.operators.settle import settle
 
 _RSS = (
-    "channel struct<item: array<struct<title: string, link: string, description: string,"
-    " pubDate: string>>>"
+    "channel array<struct<item: array<struct<title: array<string>, link: array<string>,"
+    " description: array<string>, pubDate: array<string>>>>>"
 )
 # Name of the root element, past declarations, comments and the doctype.
+_END = r"(?s)(?:</rss\s*>|<rss[^>]*/>)\s*(?:<!--.*?-->\s*|<\?.*?\?>\s*)*$"
 _ROOT = r"(?s)^\s*(?:\x{FEFF})?(?:<\?.*?\?>\s*|<!--.*?-->\s*|<![^>]*>\s*)*<([^\s/>]+)"
 
 
@@ -48,7 +49,8 @@ def parse_feeds(payloads: DataFrame) -> DataFrame:
     """
     keys = [c for c in payloads.columns if c != "payload"]
     rss = F.when(
-        F.regexp_extract("payload", _ROOT, 1) == "rss", F.from_xml("payload", _RSS)
+        (F.regexp_extract("payload", _ROOT, 1) == "rss") & F.col("payload").rlike(_END),
+        F.from_xml("payload", _RSS),
     )
     # Settled, so that the XML is parsed once whatever reads it below.
     read = settle(payloads, keys, channel=rss["channel"])
@@ -56,10 +58,11 @@ def parse_feeds(payloads: DataFrame) -> DataFrame:
     def entry(it, i):
         return F.struct(
             i.cast("bigint").alias("pos"),
-            norm_text(it["title"]).alias("title"),
-            norm_text(it["link"]).alias("link"),
-            it["description"].alias("description"),
-            it["pubDate"].alias("pub_date"),
+            # a repeated child counts once: the first one
+            norm_text(F.get(it["title"], F.lit(0))).alias("title"),
+            norm_text(F.get(it["link"], F.lit(0))).alias("link"),
+            F.get(it["description"], F.lit(0)).alias("description"),
+            F.get(it["pubDate"], F.lit(0)).alias("pub_date"),
         )
 
     def checked(entries):
@@ -70,7 +73,8 @@ def parse_feeds(payloads: DataFrame) -> DataFrame:
         return let(linked, lambda valid: F.struct(
             F.size(valid).alias("linked"), first_in_array(valid, "article_url").alias("items")))
 
-    found = F.coalesce(F.col("channel.item"), F.array())
+    items_of = F.transform("channel", lambda c: F.coalesce(c["item"], F.array()))
+    found = F.coalesce(F.flatten(items_of), F.array())
     counted = settle(
         read, [*keys, "channel"], seen=F.size(found),
         checked=let(F.transform(found, entry), checked),

@@ -163,15 +163,21 @@ def extract_stream(
     trigger: dict | None = None,
 ) -> None:
     """Fetched events to extracted articles and rejects, written in one pass
-    and told apart by the folder ``accepted``.
+    and told apart by the folder ``accepted``. Events of sources without
+    settings are rejects.
 
     ``landed`` is partitioned by ingest_date; a batch reads the days it names.
     """
     def extract(batch: DataFrame, batch_id: int) -> None:
         known = batch.join(settings, "source_id")
+        unknown = batch.join(settings, "source_id", "left_anti").withColumn(
+            "verdict", F.concat(F.lit("unknown source: "), F.coalesce("source_id", F.lit("")))
+        )
         first, last = batch.agg(F.min("ingest_date"), F.max("ingest_date")).first()
         near = landed.filter(F.col("ingest_date").between(F.lit(first), F.lit(last)))
-        judged = article_flow.extract_fetched(known, near)
+        judged = article_flow.extract_fetched(known, near).unionByName(
+            unknown, allowMissingColumns=True
+        )
         shown = judged.withColumn("accepted", F.col("verdict").isNull())
         write_batch(shown, out, batch_id, "accepted")
 

@@ -226,3 +226,20 @@ def test_dimension_names_and_overrides(spark):
 def test_unescape_helper_matches_stdlib(spark):
     values = ["&lt;b&gt;", "caf&eacute;", "&#39;x&#39;", "a & b"]
     assert apply(spark, values, text.html_unescape) == [html.unescape(v) for v in values]
+
+
+def test_iso_basic_and_week_forms(spark):
+    from datetime import datetime, timezone
+
+    values = ["20260531T220000Z", "20260531", "2026-W22-7", "2026W22", "2026-05-31T22:00:00,25", "2026-05-31T2200+0200",
+              "20260531 2200", "2020-W01-1", "2026-02-30", "2026-W60-1", "x"]
+
+    def want(v):
+        try:
+            at = datetime.fromisoformat(v)
+        except ValueError:
+            return None
+        return (at if at.tzinfo else at.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+    got = apply(spark, values, lambda v: F.date_format(text.iso_datetime(v), "yyyy-MM-dd HH:mm:ss"))
+    assert got == [want(v) for v in values[:8]] + [None, None, None]

@@ -242,10 +242,10 @@ def test_sources_and_feeds(spark):
         [("on", True, [("f", "c", "u")]), ("off", False, [])], f"source_id string, enabled boolean, feeds {feed}")
     events = spark.createDataFrame([("on",), ("off",), ("none",)], "source_id string")
     got = {r.source_id: r.source_verdict for r in enrich_source(events, sources).collect()}
-    assert got == {"on": None, "off": "Source is disabled: off", "none": "Unknown source: none"}
+    assert got == {"on": None, "off": "disabled source: off", "none": "unknown source: none"}
     wanted = spark.createDataFrame([("on", "f"), ("on", "g")], "source_id string, feed_id string")
     assert {r.feed_id: r.verdict for r in select_feeds(wanted, sources).collect()} == {
-        "f": None, "g": "Unknown feed for on: g"}
+        "f": None, "g": "unknown feed of on: g"}
 
 
 def test_address_screen(spark):
@@ -347,3 +347,49 @@ def test_oversize_split(spark):
     assert article_flow.side_payloads(split).count() == 1
     tiny = article_flow.split_oversize(events, 100).collect()
     assert all(r.size_verdict.startswith("slim event too large") for r in tiny)
+
+
+def test_rss_first_child_all_channels_and_end(spark):
+    item = "<item><title>{0}</title><title>second</title><link>https://p.test/{0}</link></item>"
+    two = f"<rss><channel>{item.format('a')}</channel><channel>{item.format('b')}</channel></rss>"
+    payloads = spark.createDataFrame(
+        [(1, two), (2, two + "<!-- end -->\n"), (3, two + "tail"), (4, two + "<x/>")], "feed_id int, payload string")
+    parsed = rss.parse_feeds(payloads).collect()
+    assert {r.feed_id: r.verdict for r in parsed} == {1: None, 2: None, 3: "not_rss", 4: "not_rss"}
+    assert [[i.title for i in r["items"]] for r in parsed if r.feed_id < 3] == [["a", "b"]] * 2
+
+
+def test_feed_domain_in_either_form(spark):
+    rows = items(spark, ("s", "f", "https://xn--bo-mia.vn/1", "t"), ("s", "g", "https://www.báo.vn/2", "t"),
+                 ("s", "h", "https://bao.vn/3", "t"))
+    kept = feeds.dedupe_items(feeds.classify_items(rows))
+    domains = spark.createDataFrame([("s", "Báo.vn")], "source_id string, domain string")
+    off = {r.feed_id: r.off_domain for r in feeds.off_domain_feeds(kept, domains).collect()}
+    assert off == {"h": 1}
+
+
+def test_checkpoints_keep_validators_of_accepted_content(spark):
+    from presswork.plans.feed_scan import scan_feeds
+
+    names = ["new", "same", "gone304", "empty", "rejected", "unpolled"]
+    raw = [(n, "f", 0, f"https://{'evil.test' if n == 'rejected' else 'p.test'}/{n}", n, "", "")
+           for n in ("new", "same", "rejected")]
+    raw = spark.createDataFrame(raw, ITEM)
+    responses = spark.createDataFrame(
+        [(n, "f", 304 if n == "gone304" else 200, f"etag2-{n}", "later") for n in names if n != "unpolled"],
+        "source_id string, feed_id string, status_code int, etag string, last_modified string")
+    domains = spark.createDataFrame([(n, "p.test") for n in names], "source_id string, domain string")
+    prior = {r.source_id: r.content_hash for r in feeds.semantic_hash(feeds.with_hashes(
+        feeds.dedupe_items(feeds.classify_items(raw)))).collect()}
+    checkpoints = spark.createDataFrame(
+        [(n, "f", prior.get(n, "old") if n == "same" else "old", True, f"etag1-{n}", "early", f"uri-{n}") for n in names[1:]],
+        "source_id string, feed_id string, content_hash string, events_published boolean, etag string,"
+        " last_modified string, payload_uri string").withColumn("observed_at", F.lit("2024-01-01").cast("timestamp"))
+    remembered = spark.createDataFrame([], "source_id string, feed_id string, feed_item_id string, record_hash string")
+    scan = scan_feeds(raw, responses, domains, remembered, checkpoints, F.lit("2024-02-01").cast("timestamp"))
+    got = {r.source_id: r for r in scan.checkpoints.collect()}
+    assert {n: got[n].etag for n in names} == {
+        "new": "etag2-new", "same": "etag2-same", "gone304": "etag1-gone304", "empty": "etag1-empty",
+        "rejected": "etag1-rejected", "unpolled": "etag1-unpolled"}
+    assert got["same"].payload_uri == "uri-same" and got["new"].payload_uri and len(got) == len(names)
+    assert scan.items.filter("source_id = 'new'").count() == 1
