@@ -194,7 +194,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1e6
     known = known.filter(draw < F.when(F.col("toxic") > 0, share[True]).otherwise(share[False]))
     rows = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("string").alias("text"))
-    return rows.join(known, "_id").select("text", (F.col("toxic") > 0).alias("toxic"))
+    # at most about TOXIC_ROWS + CLEAN_ROWS pairs of numbers, whatever the input
+    return rows.join(F.broadcast(known), "_id").select("text", (F.col("toxic") > 0).alias("toxic"))
 
 
 def _plain_words(text: str, model: CharModel, memo: dict[str, str]) -> list[str]:
