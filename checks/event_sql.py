@@ -108,9 +108,9 @@ SQL = {
     "record_summary": f"""WITH {_STAGED} SELECT lookup AS stage, 'news.' || topic_key AS topic, "partition",
         "offset", event_id, source_id, article_id, CAST(k % 5 AS INTEGER) AS block_count,
         CAST(k % 3 AS INTEGER) AS image_count FROM staged WHERE lookup = 'extracted'""",
-    "article_content_select": """SELECT 'a' || doc_id AS article_id, 'extracted' AS stage, text AS content
-      FROM documents UNION ALL
-      SELECT CASE WHEN page_id % 2 = 0 THEN 'a' ELSE 'p' END || page_id, 'fetched', html FROM pages
+    "article_content_select": """SELECT 'a' || doc_id AS article_id, 'extracted' AS stage, text AS content,
+        CAST(NULL AS VARCHAR) AS verdict FROM documents UNION ALL
+      SELECT CASE WHEN page_id % 2 = 0 THEN 'a' ELSE 'p' END || page_id, 'fetched', html, NULL FROM pages
       WHERE page_id % 2 = 1 OR page_id NOT IN (SELECT doc_id FROM documents)""",
     "three_way_route": f"""WITH {_ROUTED} SELECT event_id, route, route IN ('ok', 'dlq') AS advances,
         CASE WHEN status = 200 THEN NULL WHEN untyped THEN 'unexpected' ELSE 'article_fetch' END AS stage

@@ -93,19 +93,24 @@ def select_content(latest: DataFrame, side: DataFrame, pages: DataFrame) -> Data
 
     latest: latest_per_stage rows with body_text, extracted_payload_uri,
     payload_uri. side: extracted_payload_uri, side_text. pages: payload_uri, html.
+    verdict tells of a side payload or page that is missing.
     """
-    best = first_per_key(latest, ["article_id"], [F.desc(stage_rank(F.col("stage")))])
     extracted = F.col("stage") == "extracted"
     inline = F.coalesce(F.col("body_text"), F.lit("")) != ""
+    # The choice shuffles keys only; bodies of the chosen records follow.
+    keys = latest.groupBy("article_id").agg(F.max(stage_rank(F.col("stage"))).alias("_rank"))
+    best = latest.join(keys, "article_id").filter(stage_rank(F.col("stage")) == F.col("_rank")).drop("_rank")
     # Three branches, so that rows without an address are not all sent to the
     # one partition where null join keys meet.
     here = best.filter(extracted & inline).select(
-        "article_id", "stage", F.col("body_text").alias("content")
+        "article_id", "stage", F.col("body_text").alias("content"), F.lit(None).cast("string").alias("verdict")
     )
     aside = best.filter(extracted & ~inline).join(side, "extracted_payload_uri", "left").select(
-        "article_id", "stage", F.col("side_text").alias("content")
+        "article_id", "stage", F.col("side_text").alias("content"),
+        F.when(F.col("side_text").isNull(), F.lit("missing_side_payload")).alias("verdict"),
     )
     raw = best.filter(~extracted).join(pages, "payload_uri", "left").select(
-        "article_id", "stage", F.col("html").alias("content")
+        "article_id", "stage", F.col("html").alias("content"),
+        F.when(F.col("html").isNull(), F.lit("missing_payload")).alias("verdict"),
     )
     return here.unionByName(aside).unionByName(raw)

@@ -32,17 +32,19 @@ def early_gates(fetched: DataFrame, landed: DataFrame) -> DataFrame:
 
     fetched carries extractor and attribution_policy of its source.
     """
-    gate = fetch_gate(F.col("fetch_status"), F.col("payload_uri"))
-    read = read_verified(fetched, landed).withColumnRenamed("verdict", "_read")
     extractor = F.coalesce("extractor", F.lit("html_article"))
+    gated = fetched.withColumn("_gate", fetch_gate(F.col("fetch_status"), F.col("payload_uri")))
+    # Only events that pass the fetch gate look their payload up.
+    stopped = gated.filter(F.col("_gate").isNotNull()).withColumnRenamed("_gate", "verdict")
+    read = read_verified(gated.filter(F.col("_gate").isNull()).drop("_gate"), landed)
     return read.withColumn(
         "verdict",
         F.coalesce(
-            gate, F.col("_read"),
+            F.col("verdict"),
             F.when(extractor != "html_article",
                    F.concat(F.lit("unsupported extractor: "), extractor)),
         ),
-    ).drop("_read")
+    ).unionByName(stopped, allowMissingColumns=True)
 
 
 def gate_stage(verdict: Column) -> Column:

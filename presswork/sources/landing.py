@@ -52,10 +52,11 @@ def fetch_checkpoint_uri(article: Column, revision: Column) -> Column:
 def absent_payloads(incoming: DataFrame, landed: DataFrame) -> DataFrame:
     """Incoming payloads whose address holds nothing yet, one row per address.
 
-    Only addresses are compared; payload bytes are never part of a join key.
+    What has landed goes first, so that only new payload bytes are sorted; both steps
+    are keyed by the address and share one exchange.
     """
-    once = first_per_key(incoming, ["payload_uri"], ["content_hash"])
-    return once.join(landed.select("payload_uri"), "payload_uri", "left_anti")
+    new = incoming.join(landed.select("payload_uri"), "payload_uri", "left_anti")
+    return first_per_key(new, ["payload_uri"], ["content_hash"])
 
 
 def write_if_absent(incoming: DataFrame, folder: str, days: list[str] | None = None) -> None:

@@ -393,3 +393,15 @@ def test_checkpoints_keep_validators_of_accepted_content(spark):
         "rejected": "etag1-rejected", "unpolled": "etag1-unpolled"}
     assert got["same"].payload_uri == "uri-same" and got["new"].payload_uri and len(got) == len(names)
     assert scan.items.filter("source_id = 'new'").count() == 1
+
+
+def test_select_content_tells_what_is_missing(spark):
+    latest = spark.createDataFrame(
+        [("a", "extracted", "", "s1", None), ("b", "extracted", "", "s2", None), ("c", "fetched", None, None, "p1"),
+         ("d", "extracted", "body", None, None), ("d", "fetched", None, None, "p1"), ("e", "fetched", None, None, "p2")],
+        "article_id string, stage string, body_text string, extracted_payload_uri string, payload_uri string")
+    side = spark.createDataFrame([("s1", "side")], "extracted_payload_uri string, side_text string")
+    pages = spark.createDataFrame([("p1", "<p>")], "payload_uri string, html string")
+    got = {r.article_id: (r.content, r.verdict) for r in lookup.select_content(latest, side, pages).collect()}
+    assert got == {"a": ("side", None), "b": (None, "missing_side_payload"), "c": ("<p>", None), "d": ("body", None),
+                   "e": (None, "missing_payload")}
