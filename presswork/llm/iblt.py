@@ -213,7 +213,7 @@ def _found(pairs: DataFrame) -> DataFrame:
     )
     g = F.col("g")
     summed = taken.groupBy(*KEYS, "kind", F.when(F.col("kind") >= 2, g).alias("cell")).agg(
-        F.count("g").alias("n"), F.bit_xor(g).alias("out_k"), F.bit_xor(_check(g)).alias("out_h"),
+        F.count("g").alias("n"), F.bit_xor(g).alias("out_k"), F.bit_xor(F.when(g.isNotNull(), _check(g))).alias("out_h"),
         F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"), F.sum("c").alias("c"),
     )
     ok = (F.coalesce("out_k", F.lit(0)) == F.coalesce("k", F.lit(0))) & (
