@@ -42,7 +42,7 @@ TOXIC_ROWS, CLEAN_ROWS = 4_000, 40_000
 LM_GRAMS = 200_000
 BASE, THRESHOLD, PURE = 0.02, 0.3, 0.97
 #: Words counted in a task before their counts go to the shuffle; memoised words.
-FLUSH, MEMO = 200_000, 200_000
+FLUSH, MEMO = 200_000, 150_000
 
 LEET = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
@@ -219,19 +219,25 @@ def fit(rows: DataFrame, grams: dict[str, int]) -> dict[str, float]:
     shared = spark.sparkContext.broadcast(grams)
 
     def neighbours(batches):
-        model, memo = CharModel(shared.value), {}
+        model, memo, seen = CharModel(shared.value), {}, set()
+
+        def out():
+            return pa.table({
+                "feature": pa.array([x[0] for x in seen], pa.string()), "side": pa.array([x[1] for x in seen], pa.bool_()),
+                "neighbour": pa.array([x[2] for x in seen], pa.string()),
+            })
+
         for batch in batches:
-            seen = set()
             for t in batch.column(0).to_pylist():
                 words = ["", *_plain_words(t or "", model, memo), ""]
                 for before, word, after in zip(words, words[1:], words[2:]):
                     for f in features(word):
                         seen.add((f, False, before))
                         seen.add((f, True, after))
-            yield pa.table({
-                "feature": pa.array([x[0] for x in seen], pa.string()), "side": pa.array([x[1] for x in seen], pa.bool_()),
-                "neighbour": pa.array([x[2] for x in seen], pa.string()),
-            })
+                    if len(seen) > FLUSH:
+                        yield out()
+                        seen.clear()
+        yield out()
 
     toxic = in_arrow(rows.filter("toxic").select("text"), neighbours, "feature string, side boolean, neighbour string")
     sides = toxic.distinct().groupBy("feature", "side").count()
