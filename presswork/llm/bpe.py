@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from presswork.llm.common import carried, parts, read
 
 #: Texts encoded together, in bytes; words contracted together, in bytes.
-SLICE, WORDS_SLICE = 4 << 20, 400_000
-#: Memoised words and pieces, each, before the memo is emptied; longer ones are not kept.
-MEMO, MEMO_LENGTH = 200_000, 64
-DECODE_SLICE = 500_000
+SLICE, WORDS_SLICE = 2 << 20, 250_000
+#: Memoised words and pieces, each, before all but SHORT ones are dropped; long ones are never kept.
+MEMO, MEMO_LENGTH, SHORT = 250_000, 64, 6
+DECODE_SLICE = 400_000
 
 CONTRACT = """
 WITH RECURSIVE s(w, pos, e, t, n, k, step) AS (
@@ -66,6 +66,12 @@ FROM (SELECT d, h FROM ids JOIN vocabulary USING (t) ORDER BY d, pos) GROUP BY d
 _cut = re.compile(r"(?= \S)").split
 
 
+def _short(memo: dict[str, bytes]) -> dict[str, bytes]:
+    """What a full memo keeps: short texts, the likeliest to come again."""
+    kept = {k: v for k, v in memo.items() if len(k) <= SHORT}
+    return kept if len(kept) <= MEMO // 2 else {}
+
+
 class Codec:
     """One worker's database of a rank file, and its memo."""
 
@@ -74,30 +80,42 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = regex.compile(pattern).findall
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], "i4")
-        halves = [
-            (ranks[t[:i]], ranks[t[i:]], r)
-            for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
-        ]
-        left, right, rank = (np.array(x, "i8") for x in zip(*halves))
+        self.ranks, self.made = ranks, set()
         self.con = duckdb.connect(
             config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": True}
         )
-        self._table("merges", pa.table({"pair": left * 65536 + right, "r": rank.astype("i4")}))
-        self._table("vocabulary", pa.table(
-            {"t": pa.array(list(ranks.values()), pa.int32()), "h": [t.hex() for t in ranks]}
-        ))
         self.size = 1 + max(ranks.values())
         self.word_ids: dict[str, bytes] = {}
-        self.piece_ids: dict[str, bytes | None] = {}
+        self.piece_ids: dict[str, bytes] = {}
+        self.glued: set[str] = set()
         self.first_ids: dict[str, bytes] = {}
 
-    def _table(self, name: str, rows: pa.Table) -> None:
+    def _merges(self) -> pa.Table:
+        """All pairs of tokens that make up a token, by its rank."""
+        ranks = self.ranks
+        halves = [
+            (ranks[t[:i]] * 65536 + ranks[t[i:]], r)
+            for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
+        ]
+        pair, rank = zip(*halves)
+        return pa.table({"pair": pa.array(pair, pa.int64()), "r": pa.array(rank, pa.int32())})
+
+    def _vocabulary(self) -> pa.Table:
+        return pa.table({"t": pa.array(list(self.ranks.values()), pa.int32()), "h": [t.hex() for t in self.ranks]})
+
+    def _table(self, name: str, make) -> None:
+        """A table that stays, made when it is first needed: a worker encodes or decodes."""
+        if name in self.made:
+            return
+        self.made.add(name)
+        rows = make()
         self.con.register("_rows", rows)
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM _rows")
         self.con.unregister("_rows")
 
     def contract(self, words: list[bytes]) -> list[bytes]:
         """Ids of every word (not empty), as int32 bytes."""
+        self._table("merges", self._merges)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         tokens = self.of_byte[np.frombuffer(b"".join(words), "u1")]
         ends = np.cumsum(lengths)
@@ -132,13 +150,13 @@ class Codec:
         get = lambda w: found.get(w) or self.word_ids[w]
         out = [b"".join(map(get, words)) for words in cut]
         if len(self.word_ids) > MEMO:
-            self.word_ids = {}
+            self.word_ids = _short(self.word_ids)
         self.word_ids.update((w, i) for w, i in found.items() if len(w) <= MEMO_LENGTH)
         return out
 
     def _tidy(self) -> None:
         if len(self.piece_ids) > MEMO:
-            self.piece_ids = {}
+            self.piece_ids, self.glued = _short(self.piece_ids), set()
         if len(self.first_ids) > MEMO // 8:
             self.first_ids = {}
 
@@ -146,32 +164,34 @@ class Codec:
         """Ids of every text, as int32 bytes."""
         self._tidy()
         rows = [t.split(" ") for t in texts]
-        pieces, firsts = self.piece_ids, self.first_ids
-        new = list({p for row in rows for p in row[1:] if p not in pieces})
+        pieces, firsts, glued = self.piece_ids, self.first_ids, self.glued
+        new = set().union(*rows).difference(pieces, glued)
         # a piece that is empty or starts with white space joins what precedes it
-        plain = [p for p in new if p and not p[0].isspace()]
-        pieces.update(dict.fromkeys(new))
+        glued.update(p for p in new if not p or p[0].isspace())
+        plain = list(new.difference(glued))
         pieces.update(zip(plain, self._learn([" " + p for p in plain])))
-        joined = {
-            i: _cut(t) for i, (t, row) in enumerate(zip(texts, rows)) if any(pieces[p] is None for p in row[1:])
-        }
+        joined = {i: _cut(t) for i, (t, row) in enumerate(zip(texts, rows)) if not glued.isdisjoint(row)}
         exact = {p for i, row in enumerate(rows) for p in joined.get(i, row[:1])}
-        new = [p for p in exact if p not in firsts]
+        new = list(exact.difference(firsts))
         firsts.update(zip(new, self._learn(new)))
         out = [
             b"".join(map(firsts.__getitem__, joined[i])) if i in joined
             else firsts[row[0]] + b"".join(map(pieces.__getitem__, row[1:]))
             for i, row in enumerate(rows)
         ]
-        for memo in (pieces, firsts):
-            for p in [p for p in memo if len(p) > MEMO_LENGTH]:
-                del memo[p]
+        for p in plain:
+            if len(p) > MEMO_LENGTH:
+                del pieces[p]
+        for p in new:
+            if len(p) > MEMO_LENGTH:
+                del firsts[p]
         return out
 
     def decode(self, flat: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """Bytes of every id list."""
         if len(flat) and (flat.min() < 0 or flat.max() >= self.size):
             raise ValueError("an id is not in the vocabulary")
+        self._table("vocabulary", self._vocabulary)
         rows = np.repeat(np.arange(len(lengths), dtype="i4"), lengths)
         at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.con.register("ids", pa.table({"d": rows, "pos": at.astype("i4"), "t": flat}))
