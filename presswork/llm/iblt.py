@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text's pieces (up to two sentences of one paragraph, numbered when they repeat) are
-hashed to 64-bit digests. A sketch has three rows of ``width`` cells; every digest
+A text's pieces (single sentences of one paragraph, numbered when they repeat) are
+hashed to 64-bit digests. No piece depends on what stands before it. A sketch has three rows of ``width`` cells; every digest
 enters one cell of each row with its count, digest and check sum. Sketches are sparse
 cell tables, made by one aggregation that also subtracts the sketches of two texts
 (counts of the second text are negative, equal digests cancel). Peeling takes out the
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from presswork.functions.binding import let
 from presswork.llm.common import read, saved
 
-PIECE = r"(?:[^.!?\n]*[.!?\n]+){1,2}|[^.!?\n]+$"
+#: A sentence of a paragraph without the white space before it; marks that follow no word are one too.
+PIECE = r"[^ \t\r\n.!?][^.!?\n]*[.!?]*|[.!?]+"
 #: Cells in a row of a fingerprint; least cells and cells per digest in a row of a pair's first sketch.
 BASE, LEAST, PER_DIGEST = 4, 256, 32
 #: Peeling steps before a sketch counts as too small.
@@ -41,7 +42,7 @@ SMALLEST = -(1 << 63)
 
 def digests(text: Column) -> Column:
     """Digests of a text's pieces; equal pieces differ by their number."""
-    pieces = F.filter(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.trim(p) != "")
+    pieces = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
     hashed = F.array_sort(F.transform(pieces, lambda p: F.xxhash64(p)))
     return let(hashed, lambda xs: F.transform(
         xs, lambda x, i: F.xxhash64(x, (i - F.array_position(xs, x)).cast("int"))
@@ -153,51 +154,54 @@ def _documents(docs: DataFrame, id: str, text: str) -> DataFrame:
 def edited_pairs(rows: DataFrame, order: DataFrame) -> DataFrame:
     """Each distinct document with its edited text's SHA-256 (bytes) and three digest lists:
     its own, the edited text's and the next document's."""
-    one = F.first(F.struct("text", digests(F.col("text")).alias("own")))
-    base = rows.groupBy("id", "mark").agg(one.alias("one")).select("id", "mark", "one.*")
+    base = rows.groupBy("id", "mark").agg(F.first("text").alias("text"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     mine = base.join(order, ["id", "mark"]).select(
         "next_id", "next_mark", "id", "mark", "copies", n.cast("long").alias("n_chars"), half.alias("half"),
-        F.substring("text", F.lit(1), n - half).alias("head"), "own",
+        F.substring("text", F.lit(1), n - half).alias("head"), digests(F.col("text")).alias("own"),
     )
     others = base.select(
         F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("text").alias("other"),
-        F.col("own").alias("after"),
     )
     edited = F.concat("head", F.substring("other", F.lit(1), F.col("half")))
     return (
         mine.join(others, ["next_id", "next_mark"])
-        .select("*", edited.alias("text_edited")).drop("head", "other", "half")
+        .select("*", edited.alias("text_edited"), digests(F.col("other")).alias("after")).drop("head", "other", "half")
         .withColumn("edited", digests(F.col("text_edited")))
         .withColumn("edited_sha256", F.unhex(F.sha2(F.col("text_edited").cast("binary"), 256)))
         .drop("text_edited")
     )
 
 
-KEYS = ["next_id", "next_mark", "id", "mark", "copies", "n_chars", "edited_sha256", "n_own", "n_edited", "n_after"]
+#: The next document names a pair, as each has one before it; facts stand on one row of a pair only, so cells are narrow.
+KEYS = ["next_id", "next_mark", "facts"]
+PAIR = KEYS[:2]
+FACTS = ["id", "mark", "copies", "n_chars", "edited_sha256", "n_own", "n_edited", "n_after"]
 
 
 def _items(pairs: DataFrame, rung: int, prints: bool) -> DataFrame:
     """(KEYS, kind, wide, sign, k): the digests of both pairs (kinds 0 and 1: edited,
-    next) and, if asked for, of the two fingerprints (kinds 2 and 3)."""
+    next) and, if asked for, of the two fingerprints (kinds 2 and 3); one row of a pair
+    has its facts and no kind."""
     lists = ["own", "edited", "own", "after", *(["own", "edited"] if prints else [])]
     sized = pairs.select(
         "*", *[F.size(c).cast("long").alias(f"n_{c}") for c in ("own", "edited", "after")]
-    ).select(*KEYS, F.posexplode_outer(F.concat(*lists)).alias("pos", "k"))
-    ends, at = [], F.lit(0)
+    ).select("*", F.posexplode(F.concat(F.array(F.lit(None).cast("long")), *lists)).alias("pos", "k"))
+    ends, at = [], F.lit(1)
     for c in lists:
         at = at + F.col(f"n_{c}")
         ends.append(at)
     pos = F.col("pos")
-    kind = F.when(pos < ends[1], 0).when(pos < ends[3], 1)
+    kind = F.when(pos == 0, None).when(pos < ends[1], 0).when(pos < ends[3], 1)
     if prints:
         kind = kind.when(pos < ends[4], 2).when(pos < ends[5], 3)
     second = ((pos >= ends[0]) & (pos < ends[1])) | ((pos >= ends[2]) & (pos < ends[3]))
     wide = F.when(pos < ends[1], width(F.col("n_own") + F.col("n_edited"), rung)).when(
         pos < ends[3], width(F.col("n_own") + F.col("n_after"), rung)
     ).otherwise(F.lit(BASE).cast("long"))
-    return sized.select(*KEYS, kind.alias("kind"), wide.alias("wide"), F.when(second, -1).otherwise(1).alias("sign"), "k")
+    facts = F.when(pos == 0, F.struct(*FACTS))
+    return sized.select(*PAIR, facts.alias("facts"), kind.alias("kind"), wide.alias("wide"), F.when(second, -1).otherwise(1).alias("sign"), "k")
 
 
 def _found(pairs: DataFrame) -> DataFrame:
@@ -223,12 +227,12 @@ def _found(pairs: DataFrame) -> DataFrame:
     none = F.struct(F.lit(True).alias("ok"), F.lit(0).cast("long").alias("n"))  # equal texts leave no cell
     peel = F.struct(ok.alias("ok"), F.col("n").alias("n"))
     cell = F.struct("cell", "c", "k", "h")
-    return summed.groupBy(*KEYS).agg(
-        F.coalesce(F.max(F.when(kind(0), peel)), none).alias("with_edited"),
+    return summed.groupBy(*PAIR).agg(
+        F.first("facts", True).alias("facts"), F.coalesce(F.max(F.when(kind(0), peel)), none).alias("with_edited"),
         F.coalesce(F.max(F.when(kind(1), peel)), none).alias("with_next"),
         fingerprint(F.collect_list(F.when(kind(2), cell))).alias("fingerprint"),
         fingerprint(F.collect_list(F.when(kind(3), cell))).alias("edited_fingerprint"),
-    )
+    ).select(*PAIR, "facts.*", "with_edited", "with_next", "fingerprint", "edited_fingerprint")
 
 
 def _retried(pairs: DataFrame, rung: int) -> DataFrame:
@@ -239,9 +243,10 @@ def _retried(pairs: DataFrame, rung: int) -> DataFrame:
     each = each.withColumn("peel", peeled(F.col("cells"), F.col("wide"), rung))
     none = F.struct(F.lit(True).alias("ok"), F.lit(0).cast("long").alias("n"))
     of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("peel")))
-    return each.groupBy(*KEYS).agg(
-        F.coalesce(of(0), none).alias("with_edited"), F.coalesce(of(1), none).alias("with_next")
-    )
+    return each.groupBy(*PAIR).agg(
+        F.first("facts", True).alias("facts"), F.coalesce(of(0), none).alias("with_edited"),
+        F.coalesce(of(1), none).alias("with_next"),
+    ).select(*PAIR, "facts.*", "with_edited", "with_next")
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

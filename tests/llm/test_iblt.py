@@ -63,3 +63,11 @@ def test_edge_tables(spark):
     got = iblt.fingerprints(one).collect()
     assert [(r.doc_id, r.near_edited < 1, r.near_next) for r in got] == [(None, True, 1.0)] * 2
     assert iblt.fingerprints(one.limit(0)).collect() == []
+
+
+def test_an_inserted_sentence_is_one_difference(spark):
+    text = "First of all. Then two! Three? A second paragraph\nof two lines. Four. Five...\nSix. Seven. Eight"
+    docs = spark.createDataFrame([(2, text), (1, "New one. " + text)], "doc_id long, text string")
+    got = {r.doc_id: r for r in iblt.fingerprints(docs).collect()}
+    assert got[2].near_next == got[1].near_next == pytest.approx(10 / 11)
+    assert not any("\n" in p for p in pieces(text))
