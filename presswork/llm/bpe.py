@@ -3,8 +3,10 @@
 Encoding. A text is cut into the pattern's matches (words). The distinct words of a
 batch become token-position rows; a recursive query joins each position and its
 right neighbour with the merge table and contracts every word's leftmost pair of
-minimum rank until no word has a pair left. Words met before come from a bounded
-memo of the worker. Decoding joins token ids with the vocabulary and aggregates
+minimum rank until no word has a pair left. The recursion keeps the rows of every
+round, which grow with the square of a word; words above LONG bytes are contracted
+in the same order by a heap of pairs, in memory linear in the word. Words met before
+come from a bounded memo of the worker. Decoding joins token ids with the vocabulary and aggregates
 their bytes in position order.
 
 Texts are first cut before every space that a non-space follows. The pattern never
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import re
+from heapq import heapify, heappop, heappush
 
 import duckdb
 import numpy as np
@@ -32,6 +35,8 @@ from presswork.llm.common import carried, parts, read
 
 #: Texts encoded together, in bytes; words contracted together, in bytes.
 SLICE, WORDS_SLICE = 2 << 20, 250_000
+#: Bytes from which a word is long; rows of all rounds (half the squares of the words' bytes) made together.
+LONG, ROWS_SLICE = 64, 2_500_000
 #: Memoised words and pieces, each, before all but SHORT ones are dropped; long ones are never kept.
 MEMO, MEMO_LENGTH, SHORT = 250_000, 64, 6
 DECODE_SLICE = 400_000
@@ -81,6 +86,7 @@ class Codec:
         self.words = regex.compile(pattern).findall
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], "i4")
         self.ranks, self.made = ranks, set()
+        self.token_of = {r: t for t, r in ranks.items()}
         self.con = duckdb.connect(
             config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": True}
         )
@@ -134,19 +140,58 @@ class Codec:
         raw, at = flat.astype("<i4").tobytes(), ((offsets - offsets[0]) * 4).tolist()
         return [raw[a:b] for a, b in zip(at, at[1:])]
 
+    def contract_long(self, word: bytes) -> bytes:
+        """Ids of one word, as int32 bytes: its leftmost pair of minimum rank by a heap."""
+        ranks, names = self.ranks, self.token_of
+        size = len(word)
+        tokens = self.of_byte[np.frombuffer(word, "u1")].tolist()
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        known: dict[tuple[int, int], int | None] = {}
+
+        def rank(a: int, b: int) -> int | None:
+            if (a, b) not in known:
+                known[a, b] = ranks.get(names[a] + names[b])
+            return known[a, b]
+
+        pairs = (rank(a, b) for a, b in zip(tokens, tokens[1:]))
+        heap = [r << 32 | i for i, r in enumerate(pairs) if r is not None]
+        heapify(heap)
+        while heap:
+            top = heappop(heap)
+            at, made = top & 0xFFFFFFFF, top >> 32
+            right = after[at]
+            # a pair whose tokens changed since has another rank, or none
+            if tokens[at] < 0 or right >= size or rank(tokens[at], tokens[right]) != made:
+                continue
+            tokens[at], tokens[right] = made, -1
+            after[at] = later = after[right]
+            if later < size:
+                before[later] = at
+                if (r := rank(made, tokens[later])) is not None:
+                    heappush(heap, r << 32 | at)
+            if (left := before[at]) >= 0 and (r := rank(tokens[left], made)) is not None:
+                heappush(heap, r << 32 | left)
+        return np.array([t for t in tokens if t >= 0], "<i4").tobytes()
+
     def _learn(self, pieces: list[str]) -> list[bytes]:
         """Ids of exact pieces of text."""
         cut = [self.words(p) for p in pieces]
         new = sorted({w for words in cut for w in words}.difference(self.word_ids))
-        found, part, size = {}, [], 0
+        found, part, raw, size, rows = {}, [], [], 0, 0
         for word in new:
+            as_bytes = word.encode()
+            if len(as_bytes) > LONG:
+                found[word] = self.contract_long(as_bytes)
+                continue
             part.append(word)
-            size += len(word)
-            if size >= WORDS_SLICE:
-                found.update(zip(part, self.contract([w.encode() for w in part])))
-                part, size = [], 0
+            raw.append(as_bytes)
+            size += len(as_bytes)
+            rows += len(as_bytes) ** 2 // 2
+            if size >= WORDS_SLICE or rows >= ROWS_SLICE:
+                found.update(zip(part, self.contract(raw)))
+                part, raw, size, rows = [], [], 0, 0
         if part:
-            found.update(zip(part, self.contract([w.encode() for w in part])))
+            found.update(zip(part, self.contract(raw)))
         get = lambda w: found.get(w) or self.word_ids[w]
         out = [b"".join(map(get, words)) for words in cut]
         if len(self.word_ids) > MEMO:

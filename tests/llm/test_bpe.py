@@ -47,6 +47,14 @@ def test_random_texts(library):
     assert [list(memoryview(x).cast("i")) for x in got] == [library.encode_ordinary(t) for t in texts]
 
 
+def test_long_words(library):
+    rnd = random.Random(5)
+    texts = ["=" * 120_000, " " * 120_000 + "x", "中文字" * 40_000, "".join(rnd.choices("etaoinshr", k=120_000)),
+             *("".join(rnd.choices("abcdeé中", k=k)) for k in range(40, 130)), "a\n" + "\n" * 100_000]
+    got = bpe.Codec(PATH, PATTERN).encode(texts)
+    assert [list(memoryview(x).cast("i")) for x in got] == [library.encode_ordinary(t) for t in texts]
+
+
 def test_frames(spark, library):
     rows = [(i, t, "kept", 1.5) for i, t in enumerate([*ODD, None, "x " * 9000])]
     docs = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string, IDS string, `we ird.` double").repartition(3)
