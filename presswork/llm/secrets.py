@@ -1,6 +1,8 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-A candidate is a word with a digit and a core of CORE or more key characters. Its
+A candidate is a word with a core of CORE or more key characters that has a digit or
+mixed classes, or of LONG without either, and every value behind a credential's name, in
+its word or in the words before, however short or plain. Its
 features are its length, character mix and transitions between character classes, the
 share of its letters that dictionary words cover (words of several documents of the
 corpus), its path, and the words beside it. A random forest (Spark ML) learns from
@@ -28,13 +30,18 @@ from pyspark.sql import functions as F
 
 from presswork.llm.common import read, saved
 
-CORE = 12
+CORE, LONG = 12, 20
 #: Labelled findings the forest is fitted on, at most about.
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED, THRESHOLD = 24, 7, 7, 0.5
 #: Documents' occurrences from which a word belongs to the dictionary.
 COMMON = 5
 NAMES = "password|passwd|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|bearer|private_?key"
+IS_NAME = f"(?i)({NAMES})"
+OPERATORS = ["=", ":", ":=", "=>", "is"]
+#: Words that are candidates whatever stands beside them, besides those with a digit.
+MIXED = "[A-Za-z0-9+/_@.:=-]*(?:[a-z][A-Z]|[A-Za-z][+/_@=:]+[A-Za-z])"
+OWN = f"(?=[A-Za-z0-9+/_@.:=-]{{{CORE},}}){MIXED}|[A-Za-z0-9+/_@.:=-]{{{LONG},}}|(?i:{NAMES})[\\w.-]*[\"'`]*[=:]+[\"'`]*[^\\s\"'`=:]"
 
 FEATURES = [
     "length", "digits", "uppers", "others", "distinct", "transitions", "hex", "numeric", "covered", "path_parts",
@@ -47,16 +54,23 @@ def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text", path: st
     rows = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
         F.col(text).cast("string").alias("text"),
-    ).filter(F.col("text").rlike("[0-9]"))
+    )
     words = F.split("text", r"\s+")
-    fits = lambda w: w.rlike("[0-9]") & w.rlike(f"[A-Za-z0-9+/_@.:=-]{{{CORE},}}")
-    places = F.array_compact(F.transform("words", lambda w, i: F.when(fits(w), i)))
     at = lambda i: F.coalesce(F.get("words", i), F.lit(""))
+    # a word that ends in a name or assigns one; or a name, an operator and the value
+    behind = lambda i: at(i - 1).rlike(f"(?i)({NAMES})(?:[\"'`]*|.*[=:])$") | (
+        at(i - 1).isin(OPERATORS) & at(i - 2).rlike(IS_NAME)
+    )
+    fits = lambda w, i: (w.rlike("[0-9]") & w.rlike(f"[A-Za-z0-9+/_@.:=-]{{{CORE},}}")) | w.rlike(OWN) | (
+        F.col("has_name") & w.rlike(r"[^\s\"'`=:>]") & ~w.isin(OPERATORS) & behind(i)
+    )
+    places = F.array_compact(F.transform("words", lambda w, i: F.when(fits(w, i), i)))
     found = F.transform(places, lambda i: F.struct(
         i.cast("long").alias("word_no"), at(i).alias("word"), at(i - 2).alias("before2"), at(i - 1).alias("before"),
         at(i + 1).alias("after"),
     ))
-    return rows.select("doc_id", "path", words.alias("words")).select("doc_id", "path", F.inline(found))
+    has_name = F.col("text").rlike(IS_NAME)
+    return rows.select("doc_id", "path", words.alias("words"), has_name.alias("has_name")).select("doc_id", "path", F.inline(found))
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -74,8 +88,8 @@ def _share(value: Column, pattern: str) -> Column:
 def described(found: DataFrame, known: DataFrame) -> DataFrame:
     """Candidates with name, value and FEATURES."""
     inner = F.regexp_replace("word", r"^[\"'`(\[{<]+|[\"'`)\]}>.,;!?]+$", "")
-    name = F.regexp_extract(inner, r"^([A-Za-z_.-]{2,40})[=:]", 1)
-    value = F.regexp_replace(F.when(name != "", F.substring(inner, F.length(name) + 2, F.lit(1 << 30))).otherwise(inner),
+    name = F.regexp_extract(inner, r"^([A-Za-z_.-]{2,40})[\"'`]?[=:]", 1)
+    value = F.regexp_replace(F.when(name != "", F.regexp_replace(inner, r"^[A-Za-z_.-]{2,40}[\"'`]?[=:]", "")).otherwise(inner),
                              r"^[\"'`]+|[\"'`]+$", "")
     rows = found.withColumn("name", name).withColumn("value", value)
     key = ["doc_id", "path", "word_no", "word"]
@@ -90,17 +104,16 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
     for pattern, letter in (("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0"), (r"[^aA0]+", "_")):
         shape = F.regexp_replace(shape, pattern, letter)
     size = F.greatest(F.length("value"), F.lit(1))
-    is_name = f"(?i)({NAMES})"
-    operator = F.col("before").isin("=", ":", ":=", "=>", "is")
+    operator = F.col("before").isin(OPERATORS)
     made = {
         "length": F.length("value"), "digits": _share(F.col("value"), "[0-9]"), "uppers": _share(F.col("value"), "[A-Z]"),
         "others": _share(F.col("value"), "[^A-Za-z0-9]"),
         "distinct": F.size(F.array_distinct(F.split("value", ""))) / size, "transitions": (F.length(shape) - 1) / size,
         "hex": F.col("value").rlike("^[0-9a-fA-F]+$"), "numeric": F.col("value").rlike("^[0-9+().:-]+$"),
         "covered": F.coalesce("hit", F.lit(0)) / size, "path_parts": F.size(F.split("path", "[/\\\\]")),
-        "path_sample": F.col("path").rlike("(?i)(test|example|sample|fixture|docs?/)"), "named": F.col("name").rlike(is_name),
-        "assigned": operator | (F.col("name") != ""), "quoted": F.col("word").rlike("^[\"'`]"),
-        "before_named": F.col("before").rlike(is_name) | (operator & F.col("before2").rlike(is_name)),
+        "path_sample": F.col("path").rlike("(?i)(test|example|sample|fixture|docs?/)"), "named": F.col("name").rlike(IS_NAME),
+        "assigned": operator | (F.col("name") != "") | F.col("before").rlike("[=:]$"), "quoted": F.col("word").rlike("^[\"'`]"),
+        "before_named": F.col("before").rlike(IS_NAME) | (operator & F.col("before2").rlike(IS_NAME)),
         "before_letters": F.length(F.regexp_replace("before", r"[^\p{L}]", "")),
         "after_letters": F.length(F.regexp_replace("after", r"[^\p{L}]", "")),
     }
@@ -110,11 +123,16 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
 def labelled(rows: DataFrame) -> DataFrame:
     """Described candidates whose label is beyond doubt, with label 1.0 or 0.0."""
     value = F.col("value")
+    ours = (F.col("named") == 1) | ((F.col("before_named") == 1) & (F.col("assigned") == 1))
+    # a short value is beyond doubt with letters and digits, one without digits if it is no dictionary word
+    doubtless = F.when(value.rlike("[0-9]"), (F.length("value") >= CORE) | value.rlike("[A-Za-z]")).otherwise(
+        (F.length("value") >= CORE) & (F.col("covered") < 0.5)
+    )
     yes = value.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | value.rlike("^gh[pousr]_[A-Za-z0-9]{36}$") | (
-        (F.col("numeric") == 0) & (F.length("value") >= CORE)
-        & ((F.col("named") == 1) | ((F.col("before_named") == 1) & (F.col("assigned") == 1)))
+        (F.col("numeric") == 0) & doubtless & ours
     )
-    no = (F.col("numeric") == 1) | value.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]+$") | value.rlike("^[a-z]+://")
+    plain = (F.col("covered") >= 1) & (F.col("assigned") == 0)
+    no = ((F.col("numeric") == 1) & ~ours) | plain | value.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]+$") | value.rlike("^[a-z]+://")
     return rows.withColumn("label", F.when(yes, 1.0).when(no, 0.0)).filter("label IS NOT NULL")
 
 

@@ -36,6 +36,21 @@ def test_candidates_and_features(spark):
     assert [r.score for r in only] == [1.0]
 
 
+def test_short_and_digit_free_candidates(spark):
+    texts = [
+        "the password: hunter2 is", "pwd = S3cr3t!x", "api_key=abcdefghijklmnopqrst", '{"token":"abc"}', "my secret xyzzy",
+        "use qWeRtYuIoPaSdF here", "say correct-horse-battery-staple", "the author said is : plain", "password = ", "db_password=x",
+    ]
+    docs = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)], "doc_id int, text string, source string")
+    got = sorted((r.doc_id, r.value) for r in secrets.described(secrets.candidates(docs), secrets.dictionary(docs)).collect())
+    assert got == [
+        (0, "hunter2"), (1, "S3cr3t!x"), (2, "abcdefghijklmnopqrst"), (3, "abc"), (4, "xyzzy"), (5, "qWeRtYuIoPaSdF"),
+        (6, "correct-horse-battery-staple"), (9, "x"),
+    ]
+    rows = secrets.described(secrets.candidates(docs), secrets.dictionary(docs))
+    assert {r.doc_id for r in secrets.labelled(rows).collect() if r.label == 1} >= {0, 1, 2}
+
+
 def test_held_out_findings(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = secrets.saved(secrets.described(secrets.candidates(docs), secrets.dictionary(docs)), "test").cache()
