@@ -5,8 +5,10 @@ path, text length and punctuation are summed and divided by the path's blocks; l
 count as no text. Along the page both ratios are smoothed over neighbouring blocks and
 fused by product; paths whose mean reaches a share of the spread are content paths.
 Blocks in the element that holds the content paths (an article or main element, or
-else the parents of content blocks) are the text. Blocks in menus, footers, forms and
-the like, by tag or by a word of class, id or role, are no candidates at all.
+else the parents of content blocks) are the text if their path is a content path, or if
+they follow or precede such blocks without links or cues between. A cue word in class, id
+or role of a block element lowers the score of all paths through it. Menus, footers, forms
+and the like by tag, hidden elements and inline elements with a cue are no candidates.
 
 Every page is one row of one task: no page depends on another, so nothing shuffles.
 
@@ -30,6 +32,8 @@ from presswork.llm.common import carried, read
 
 #: Share of the scores' spread that a content path's mean must reach.
 LAMBDA = 0.5
+#: Factor of a path's score for every cue word's element on it; share of the best path's mean that content must reach.
+CUED, SHARE = 0.1, 0.15
 #: Weights of a block and its neighbours at distance one and two.
 KERNEL = (0.5, 0.2, 0.05)
 
@@ -69,10 +73,10 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 class Block:
     """Text between two block boundaries."""
 
-    __slots__ = ("path", "parent", "home", "pieces", "linked", "text")
+    __slots__ = ("path", "parent", "home", "cues", "pieces", "linked", "text")
 
-    def __init__(self, path: tuple, parent: int, home: int) -> None:
-        self.path, self.parent, self.home, self.pieces, self.linked = path, parent, home, [], 0
+    def __init__(self, path: tuple, parent: int, home: int, cues: int) -> None:
+        self.path, self.parent, self.home, self.cues, self.pieces, self.linked = (cues, *path), parent, home, cues, [], 0
 
 
 def _excluded(name: str, attributes: str, inside: bool) -> bool:
@@ -80,7 +84,7 @@ def _excluded(name: str, attributes: str, inside: bool) -> bool:
         return True
     if not attributes or name in ("html", "body", "article", "main") and not _HIDDEN.search(attributes):
         return name == "article" and _cued(attributes, {"comment", "reply"})
-    return bool(_HIDDEN.search(attributes)) or _cued(attributes, CUES)
+    return bool(_HIDDEN.search(attributes)) or name not in BLOCK and _cued(attributes, CUES)
 
 
 def _cued(attributes: str, cues) -> bool:
@@ -94,19 +98,19 @@ def _cued(attributes: str, cues) -> bool:
 def blocks(page: str) -> list[Block]:
     """The candidate blocks of a page, in page order."""
     out: list[Block] = []
-    # open elements: name, number, excluded, block path, nearest block's number, home (article or main)
-    stack = [("", 0, False, (), 0, 0)]
+    # open elements: name, number, excluded, block path, nearest block's number, home (article or main), cues
+    stack = [("", 0, False, (), 0, 0, 0)]
     number, at, links, now = 0, 0, 0, None
 
     def text(piece: str) -> None:
         nonlocal now
-        _, _, gone, path, parent, home = stack[-1]
+        _, _, gone, path, parent, home, cues = stack[-1]
         if gone:
             return
         if now is None:
             if not piece or piece.isspace():
                 return
-            now = Block(path, stack_parent(), home)
+            now = Block(path, stack_parent(), home, cues)
         now.pieces.append(piece)
         if links:
             now.linked += len(piece.strip())
@@ -193,18 +197,19 @@ def blocks(page: str) -> list[Block]:
             pop("a", BLOCK)
             links += 1
         number += 1
-        _, _, gone, path, parent, home = stack[-1]
+        _, _, gone, path, parent, home, cues = stack[-1]
         gone = gone or _excluded(name, match[3], home > 0)
         if not gone and not home and (name in ("article", "main") or _cued(match[3], {"articlebody"}) or 'role="main"' in match[3]):
             home = number
         if name in BLOCK:
             path = (*path[-30:], name)
+            cues += name not in ("html", "body", "article", "main") and _cued(match[3], CUES)
         if name in RAW:
             end = re.compile(rf"</{name}\s*>?", re.I).search(page, at)
             at = end.end() if end else size
             links -= name == "a"
             continue
-        stack.append((name, number, gone, path, number if name in BLOCK else parent, home))
+        stack.append((name, number, gone, path, number if name in BLOCK else parent, home, cues))
     close()
     return out
 
@@ -221,6 +226,18 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
+def _with_neighbours(inside: list[Block], content: set[tuple]) -> list[Block]:
+    """Blocks of content paths, and those between or beside them up to links or deeper cues."""
+    least = min((b.cues for b in inside if b.path in content), default=0)
+    keep = [b.path in content for b in inside]
+    for order in (range(len(inside)), range(len(inside) - 1, -1, -1)):
+        near = False
+        for i in order:
+            near = keep[i] or near and 2 * inside[i].linked < len(inside[i].text) and inside[i].cues <= least
+            keep[i] = near
+    return [b for b, k in zip(inside, keep) if k]
+
+
 def main_text(page: str) -> str:
     found = blocks(page)
     if not found:
@@ -234,12 +251,13 @@ def main_text(page: str) -> str:
         mine[2] += len(_PUNCTUATION.findall(b.text)) * own / len(b.text)
     ratio = _smooth([math.log1p(sums[b.path][1] / sums[b.path][0]) for b in found])
     points = _smooth([math.log1p(sums[b.path][2] / sums[b.path][0]) for b in found])
-    fused = [(r * (0.5 + p)) if sums[b.path][1] else 0.0 for b, r, p in zip(found, ratio, points)]
-    threshold = LAMBDA * pstdev(fused)
+    fused = [r * (0.5 + p) * CUED**b.cues if sums[b.path][1] else 0.0 for b, r, p in zip(found, ratio, points)]
     means: dict[tuple, list[float]] = {}
     for b, s in zip(found, fused):
         means.setdefault(b.path, []).append(s)
-    content = {p for p, each in means.items() if sum(each) > 0 and sum(each) / len(each) >= threshold}
+    mean = {p: sum(each) / len(each) for p, each in means.items()}
+    threshold = max(LAMBDA * pstdev(fused), SHARE * max(mean.values()))
+    content = {p for p, m in mean.items() if m > 0 and m >= threshold}
     weight: dict[int, float] = {}
     for b, s in zip(found, fused):
         if b.path in content:
@@ -249,10 +267,14 @@ def main_text(page: str) -> str:
     homes = {h: w for h, w in weight.items() if h}
     if homes:
         best = max(homes, key=lambda h: (homes[h], -h))
-        chosen = [b for b in found if b.home == best]
+        chosen = _with_neighbours([b for b in found if b.home == best], content)
     else:
         parents = {b.parent for b in found if b.path in content}
-        chosen = [b for b in found if b.path in content or b.parent in parents and b.linked < len(b.text) / 2]
+        least = min(b.cues for b in found if b.path in content)
+        chosen = [
+            b for b in found
+            if b.path in content or b.parent in parents and b.linked < len(b.text) / 2 and b.cues <= least
+        ]
     return "\n\n".join(b.text for b in chosen)
 
 

@@ -44,6 +44,21 @@ def test_links_are_no_content():
     assert main_text(f"{links}<div><p>{LONG}</p><p>{LONG}</p></div>{links}") == f"{LONG}\n\n{LONG}"
 
 
+def test_paths_decide_inside_the_article():
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Story number {i}</a></li>" for i in range(5)) + "</ul>"
+    assert main_text(f"<article><h1>T</h1><p>{LONG}</p>{links}<p>{LONG}</p></article>") == f"T\n\n{LONG}\n\n{LONG}"
+
+
+def test_cue_words_weigh():
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    for page in (f"<div class='content has-sidebar'>{body}</div>", f"<div class='has-sidebar'><article>{body}</article></div>",
+                 f"<div class='has-sidebar'><div>{body}</div><div class='sidebar'><p>{LONG}</p></div></div>"):
+        assert main_text(page) == f"{LONG}\n\n{LONG}"
+    comments = f"<div class=comments>{f'<p>{LONG}</p>' * 200}</div>"
+    for tag in ("article", "div"):
+        assert main_text(f"<{tag}>{body}{comments}</{tag}>") == f"{LONG}\n\n{LONG}"
+
+
 def test_very_long_page():
     page = "<article>" + f"<p>{LONG}" * 20_000 + "</article>"
     assert main_text(page) == "\n\n".join([LONG] * 20_000)
