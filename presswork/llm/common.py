@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -87,3 +89,14 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of every text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
+
+
+def once_per_worker(name: str, make):
+    """``make()``, kept under ``name`` as long as the Python process lives.
+
+    Functions travel to executors by value, so the globals of their modules are new
+    in every task; a module of its own outlives the task in a reused worker."""
+    kept = sys.modules.setdefault("presswork_kept", types.ModuleType("presswork_kept")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, html_text, iblt, line_dedup, secrets, simhash_dedup, token_counts, toxicity, warc
+from presswork.llm import bpe, decontaminate, html_text, iblt, licenses, line_dedup, secrets, simhash_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_fm_decontaminate": decontaminate.query,
     "op10_secret_forest": secrets.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
+    "op11_license_rules": licenses.query,
 }
 
 #: DuckDB texts, for the queries SQL can express in reasonable time.
