@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presswork.llm import bpe, decontaminate, html_text, iblt, licenses, line_dedup, secrets, simhash_dedup, token_counts, toxicity, warc
+from presswork.llm import bpe, centroids, decontaminate, html_text, iblt, licenses, line_dedup, secrets, simhash_dedup, token_counts, toxicity, warc, whitening
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op10_secret_forest": secrets.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
     "op11_license_rules": licenses.query,
+    "op12_pca_centroids": centroids.query,
+    "op13_spectral_whitening": whitening.query,
 }
 
 #: DuckDB texts, for the queries SQL can express in reasonable time.
@@ -23,4 +25,5 @@ SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op7_warc_index_first": warc.SQL,
     "op8_fm_decontaminate": decontaminate.SQL,
+    "op12_pca_centroids": centroids.SQL,
 }
