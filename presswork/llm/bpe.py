@@ -6,7 +6,7 @@ right neighbour with the merge table and contracts every word's leftmost pair of
 minimum rank until no word has a pair left. The recursion keeps the rows of every
 round, which grow with the square of a word; words above LONG bytes are contracted
 in the same order by a heap of pairs, in memory linear in the word. Words met before
-come from a bounded memo of the worker. Decoding joins token ids with the vocabulary and aggregates
+come from a bounded memo that lives as long as the worker, through all its tasks. Decoding joins token ids with the vocabulary and aggregates
 their bytes in position order.
 
 Texts are first cut before every space that a non-space follows. The pattern never
@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import carried, parts, read
+from presswork.llm.common import carried, fresh, once_per_worker, parts, read
 
 #: Texts encoded together, in bytes; words contracted together, in bytes.
 SLICE, WORDS_SLICE = 2 << 20, 250_000
@@ -248,14 +248,23 @@ class Codec:
         return out
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
+def codec(path: str, pattern: str) -> Codec:
+    """The worker's codec of a rank file, with what earlier tasks have met."""
+    return once_per_worker(f"codec {path} {pattern}", lambda: Codec(path, pattern))
 
 
-def codec(path: str, pattern: str) -> Codec:
-    """The worker's codec of a rank file."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+def _encoded(tool: Codec, texts: list[str]) -> pa.Array:
+    made = tool.encode(texts)
+    offsets = np.cumsum([0, *(len(x) // 4 for x in made)]).astype("i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), "<i4")))
+
+
+def _decoded(tool: Codec, ids: pa.Array) -> pa.Array:
+    sizes, out = [n or 0 for n in ids.value_lengths().to_pylist()], []
+    for a, b in parts(sizes, DECODE_SLICE):
+        flat = ids.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype("i4")
+        out += tool.decode(flat, np.array(sizes[a:b], "i8"))
+    return pa.array(out, pa.binary())
 
 
 def encode(frame: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -264,9 +273,7 @@ def encode(frame: DataFrame, path: str, pattern: str, text: str = "text", ids: s
     def work(column):
         tool, texts = codec(path, pattern), [t or "" for t in column.to_pylist()]
         for a, b in parts([len(t) for t in texts], SLICE):
-            made = tool.encode(texts[a:b])
-            offsets = np.cumsum([0, *(len(x) // 4 for x in made)]).astype("i4")
-            yield a, b, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), "<i4")))
+            yield a, b, _encoded(tool, texts[a:b])
 
     return carried(frame, text, ids, "array<int>", work)
 
@@ -278,18 +285,35 @@ def decode(frame: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
         tool = codec(path, pattern)
         sizes = [n or 0 for n in column.value_lengths().to_pylist()]
         for a, b in parts(sizes, DECODE_SLICE):
-            flat = column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype("i4")
-            yield a, b, pa.array(tool.decode(flat, np.array(sizes[a:b], "i8")), pa.binary())
+            yield a, b, _decoded(tool, column.slice(a, b - a))
 
     return carried(frame, ids, out, "binary", work)
 
 
+def round_trip(
+    frame: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
+) -> DataFrame:
+    """``frame`` with the token ids of its texts and the bytes these stand for.
+
+    Both in one pass, so a task has one Python worker with one codec."""
+
+    def work(column):
+        tool, texts = codec(path, pattern), [t or "" for t in column.to_pylist()]
+        for a, b in parts([len(t) for t in texts], SLICE):
+            made = _encoded(tool, texts[a:b])
+            yield a, b, pa.StructArray.from_arrays([made, _decoded(tool, made)], ["ids", "decoded"])
+
+    both = fresh(frame, "both")
+    made = carried(frame, text, both, "struct<ids: array<int>, decoded: binary>", work)
+    return made.withColumns({ids: F.col(f"{both}.ids"), out: F.col(f"{both}.decoded")}).drop(both)
+
+
 def query(spark, folder: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    rows = encode(read(spark, folder, "documents").select("doc_id", "text"), path, pattern).drop("text")
-    return decode(rows, path, pattern).select(
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return round_trip(docs, path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

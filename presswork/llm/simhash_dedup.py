@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.llm.common import in_arrow, saved, text_bytes
+from presswork.llm.common import carried, fresh, in_arrow, saved, text_bytes
 from presswork.llm.components import components
 
 #: Hashes whose bits are counted at once (64 bytes each).
@@ -141,14 +141,27 @@ def near_duplicates(
     return rows.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id.
-
-    Rows that repeat that id stay; rows without an id stay."""
-    found = near_duplicates(docs, id, text, **how)
-    name = "_loser"
-    losers = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(losers, docs[id].cast("long") == losers[name], "left_anti")
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = 4, segments: int = 3
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, nulls last,
+    and of rows that share it one of them. Rows are told apart by a number of their
+    own, so an id that occurs with several texts loses no group."""
+    fp, row = fresh(docs, "fp"), fresh(docs, "row")
+
+    def work(column):
+        made = np.array([simhash(t, width) for t in text_bytes(column)], "u8")
+        yield 0, len(made), pa.array(made.view("i8"))
+
+    rows = carried(docs, text, fp, "long", work).withColumn(row, F.monotonically_increasing_id())
+    rows = saved(rows, "simhash-rows")
+    own, words = (F.col("`" + c.replace("`", "``") + "`") for c in (id, text))
+    place = F.struct(own.isNull().alias("none"), own.alias("id"), F.xxhash64(words).alias("text"), F.col(row).alias("row"))
+    nodes = saved(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("best")), "simhash-nodes")
+    linked = classes(nodes.select("fp"), max_bits, segments).withColumnRenamed("node", "fp")
+    labelled = nodes.join(linked, "fp", "left").select("best", F.coalesce("label", "fp").alias("label"))
+    winners = labelled.groupBy("label").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
+    return rows.join(winners, row, "left_semi").drop(fp, row)
 
 
 def query(spark, folder: str) -> DataFrame:

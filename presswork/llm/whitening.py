@@ -159,6 +159,14 @@ class Spectrum:
     def add(self, row: np.ndarray, n: int = 1) -> None:
         self._meet(row, n)
 
+    def add_block(self, rows: np.ndarray) -> None:
+        """Many rows as the rank-one updates of their triangular factor."""
+        mean = rows.mean(0)
+        for row in np.linalg.qr(rows - mean, mode="r"):
+            if row.any():
+                self._update(row)
+        self._meet(mean, len(rows))
+
     def combine(self, other: Spectrum) -> None:
         for value, axis in zip(other.spread, other.axes.T):
             if value > 0:
@@ -170,14 +178,18 @@ def integers(column: pa.Array, dim: int) -> np.ndarray:
     return scaled(matrix(column, dim)) + OFFSET
 
 
-def _spectra(rows: DataFrame, dim: int) -> DataFrame:
+def _spectra(rows: DataFrame, dim: int, fold: int) -> DataFrame:
     """One spectrum per task."""
 
     def work(batches):
         kept = Spectrum.empty(dim)
         for batch in batches:
-            if batch.num_rows:
-                for row, n in zip(*np.unique(integers(batch.column(0), dim), axis=0, return_counts=True)):
+            x = integers(batch.column(0), dim)
+            if fold > 1:
+                for at in range(0, len(x), fold):
+                    kept.add_block(x[at : at + fold].astype(np.float64))
+            elif len(x):
+                for row, n in zip(*np.unique(x, axis=0, return_counts=True)):
                     kept.add(row.astype(np.float64), int(n))
         if kept.n:
             yield _as_batch(TaskContext.get().partitionId(), kept)
@@ -252,13 +264,13 @@ class Whitening:
         return (step * step).sum(1).tolist()
 
 
-def fit(rows: DataFrame, dim: int, top: int = TOP) -> Whitening:
+def fit(rows: DataFrame, dim: int, top: int = TOP, fold: int = 1) -> Whitening:
     """The whitening of all ``rows``, a frame of one column ``vector``."""
     total = exactly_summed(
         rows, lambda b: np.append(integers(b.column(0), dim).astype(object).sum(0), b.num_rows), dim + 1
     )
     made = Whitening(total[-1], total[:-1], np.zeros(0), np.zeros((dim, 0)), 0.0, None)
-    basis = np.linalg.qr(_combined(_spectra(rows, dim)).axes)[0]
+    basis = np.linalg.qr(_combined(_spectra(rows, dim, fold)).axes)[0]
 
     def projected(batch):
         turned = made.centred(integers(batch.column(0), dim)) @ basis
@@ -283,8 +295,13 @@ def fit(rows: DataFrame, dim: int, top: int = TOP) -> Whitening:
     return fitted
 
 
-def whiten(frame: DataFrame, ident: str = "vec_id", vector: str = "embedding", top: int = TOP) -> DataFrame:
-    """A row per usable vector and component, with the fit's figures."""
+def whiten(
+    frame: DataFrame, ident: str = "vec_id", vector: str = "embedding", top: int = TOP, fold: int = 1
+) -> DataFrame:
+    """A row per usable vector and component, with the fit's figures.
+
+    ``fold`` above 1 takes that many rows as the updates of their triangular factor, as
+    many as there are dimensions: the same spectrum for a fraction of the time."""
     rows = frame.filter(usable(F.col(vector)) & (F.size(vector) > 0))
     rows = rows.select(F.col(ident).alias("id"), F.col(vector).alias("vector"))
     lengths = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
@@ -295,7 +312,7 @@ def whiten(frame: DataFrame, ident: str = "vec_id", vector: str = "embedding", t
         return frame.sparkSession.createDataFrame([], schema).withColumnRenamed("id", ident)
     dim = lengths.dim
     rows = saved(rows.filter(F.size("vector") == dim), "fit-rows")
-    made = fit(rows.select("vector"), dim, top)
+    made = fit(rows.select("vector"), dim, top, fold)
     top = len(made.values)
     explained = [float(e) / made.trace if made.trace > 0 else None for e in made.values]
 

@@ -53,3 +53,29 @@ def test_stages_match_plain_models(spark):
     assert all(r.round_trip for r in tables["tokens"].values())
     ran = corpus_pipeline.run(spark, FOLDER)
     assert sorted(r.doc_id for r in ran.collect()) == sorted(left)
+
+
+def test_odd_tables(spark):
+    """Nulls, empty texts, repeated rows and ids, columns with the stages' own names, no n_chars."""
+    kind = "doc_id long, text string, n_lines string, Items string, n_words int, spans string, row int, fp string"
+    line, tail = (" ".join(f"{w}{i}" for i in range(60)) for w in ("word", "tail"))
+    texts = [
+        (1, "one text about a river and its long way to the sea"), (2, "one text about a river and its long way to the sea"),
+        (2, "quite another story of two mountains that nobody climbed before"),
+        (3, "quite another story of two mountains that nobody climbed before"),
+        (None, None), (5, ""), (None, "a text that has no id but words enough to stand alone"),
+        (None, "a text that has no id but words enough to stand alone"), (7, line), (8, f"{line}\n{tail}"),
+    ]
+    docs = spark.createDataFrame([(i, t, "l", "i", 4, "s", 5, "f") for i, t in texts], kind).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = saved(stage(spark, docs, FOLDER), f"odd-{name}")
+        assert made.columns == docs.columns, name
+        assert {tuple(r)[2:] for r in made.collect()} == {("l", "i", 4, "s", 5, "f")}
+        assert stage(spark, docs.limit(0), FOLDER).collect() == []
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect()), key=repr)
+    want = [texts[0], texts[2], texts[5], texts[6], texts[8], texts[9]]
+    assert kept == sorted(want, key=repr)
+    cut = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, FOLDER).collect()}
+    assert cut[7] == line and cut[8] == tail
+    rows = corpus_pipeline.tokenize(spark, docs, FOLDER).collect()
+    assert len(rows) == len(texts) and all(r.round_trip for r in rows)

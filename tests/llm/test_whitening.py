@@ -93,7 +93,8 @@ def test_levels_of_spectra(spark, monkeypatch, parts):
     monkeypatch.setattr(wh, "FAN", 3)
     rng = np.random.default_rng(4)
     rows = [(i, (rng.normal(size=5) * [1, 2, 3, 5, 8]).tolist()) for i in range(120)]
-    check(wh.whiten(frame(spark, rows, parts)).collect(), expected(rows))
+    for fold in (1, 7):
+        check(wh.whiten(frame(spark, rows, parts), fold=fold).collect(), expected(rows))
 
 
 def test_flat_wide_and_empty(spark):
