@@ -1,9 +1,8 @@
-"""HTML pages as flat node arrays.
+"""HTML pages as trees in document order.
 
-Python only walks the markup. Every element gets its place in document order
-(``n``), the place of its last descendant (``end``) and the range of text
-pieces inside it (``t0`` up to ``t1``), so 'is inside' and 'text of' become
-number comparisons and slices, and all extraction rules stay Column code.
+Python walks the markup and answers what depends on the tree: which elements lie in
+which, in time linear in the page. Rules about texts, addresses and dates are Column
+code on what is found.
 """
 
 from __future__ import annotations
@@ -11,10 +10,6 @@ from __future__ import annotations
 import html
 from html.parser import HTMLParser
 
-import pyarrow as pa
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 # Fixed values of HTML: elements without content, and those whose text is not
 # page text.
 VOID_TAGS = frozenset(
@@ -23,35 +18,15 @@ VOID_TAGS = frozenset(
 )
 SILENT_TAGS = frozenset("script style template rt rp".split())
 
-NODE = T.StructType(
-    [
-        T.StructField("n", T.IntegerType()),
-        T.StructField("end", T.IntegerType()),
-        T.StructField("tag", T.StringType()),
-        T.StructField("id", T.StringType()),
-        T.StructField("cls", T.ArrayType(T.StringType())),
-        T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("t0", T.IntegerType()),
-        T.StructField("t1", T.IntegerType()),
-    ]
-)
-DOM = T.StructType(
-    [
-        T.StructField("nodes", T.ArrayType(NODE)),
-        T.StructField("texts", T.ArrayType(T.StringType())),
-    ]
-)
-
-
 class _Walker(HTMLParser):
     """Open elements are closed by an end tag of their name and by nothing else:
     there are no implied end tags, and stray end tags are ignored."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tags, self.attrs, self.ends, self.t0, self.t1 = [], [], [], [], []
+        self.tags, self.parents, self.attrs, self.ends, self.t0, self.t1 = [], [], [], [], [], []
         self.texts, self.open, self.piece = [], [], []
-        self.silent = 0
+        self.silent, self.counts = 0, {}  # open elements by name: stray end tags cost nothing
 
     def flush(self):
         if self.piece:
@@ -64,23 +39,26 @@ class _Walker(HTMLParser):
         self.flush()
         node = len(self.tags)
         self.tags.append(tag)
+        self.parents.append(self.open[-1] if self.open else -1)
         self.attrs.append(attrs)
         self.ends.append(node)
         self.t0.append(len(self.texts))
         self.t1.append(len(self.texts))
         if not (void_closes and tag in VOID_TAGS):
             self.open.append(node)
+            self.counts[tag] = self.counts.get(tag, 0) + 1
             self.silent += tag in SILENT_TAGS
 
     def close_last(self):
         node = self.open.pop()
         self.ends[node] = len(self.tags) - 1
         self.t1[node] = len(self.texts)
+        self.counts[self.tags[node]] -= 1
         self.silent -= self.tags[node] in SILENT_TAGS
 
     def handle_endtag(self, tag):
         self.flush()
-        if any(self.tags[node] == tag for node in reversed(self.open)):
+        if self.counts.get(tag):
             while self.tags[self.open[-1]] != tag:
                 self.close_last()
             self.close_last()
@@ -104,53 +82,73 @@ class _Walker(HTMLParser):
             self.flush()
 
     def finish(self):
-        self.close()
         self.flush()
         while self.open:
             self.close_last()
 
 
-def _list(offsets, values):
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+class Tree:
+    """A walked page: elements in document order, numbered from 0.
 
+    ``parents`` (-1: none), ``ends`` (number of the last descendant) and the range of
+    text pieces inside each element, ``t0`` up to ``t1``. What an element takes from
+    those around it or inside it is found in one pass over all of them.
+    """
 
-@F.arrow_udf(DOM)
-def flatten_html(payloads: pa.Array) -> pa.Array:
-    """Node and text arrays of HTML payloads (binary, read as UTF-8)."""
-    tags, ids, ns, ends, t0, t1, texts = [], [], [], [], [], [], []
-    cls, cls_at, keys, values, attrs_at = [], [0], [], [], [0]
-    nodes_at, texts_at = [0], [0]
-    for payload in payloads:
-        walker = _Walker()
-        walker.feed((payload.as_py() or b"").decode("utf-8", errors="replace"))
+    def __init__(self, payload: bytes | None) -> None:
+        walker, page = _Walker(), (payload or b"").decode("utf-8", errors="replace")
+        # no tag ends behind the last '>': the rest is text, which the parser would search
+        # again from every '<' of it
+        end = page.rfind(">") + 1
+        walker.feed(page[:end])
+        walker.close()
+        walker.handle_data(html.unescape(page[end:]))
         walker.finish()
-        tags += walker.tags
-        ns += range(len(walker.tags))
-        ends += walker.ends
-        t0 += walker.t0
-        t1 += walker.t1
-        texts += walker.texts
-        for attrs in walker.attrs:
-            named = {k: v or "" for k, v in attrs}
-            ids.append(named.get("id", ""))
-            cls += named.get("class", "").split()
-            cls_at.append(len(cls))
-            keys += named
-            values += map(html.unescape, named.values())
-            attrs_at.append(len(keys))
-        nodes_at.append(len(tags))
-        texts_at.append(len(texts))
-    attr_map = pa.MapArray.from_arrays(
-        pa.array(attrs_at, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string())
-    )
-    nodes = pa.StructArray.from_arrays(
-        [
-            pa.array(ns, pa.int32()), pa.array(ends, pa.int32()), pa.array(tags, pa.string()),
-            pa.array(ids, pa.string()), _list(cls_at, pa.array(cls, pa.string())), attr_map,
-            pa.array(t0, pa.int32()), pa.array(t1, pa.int32()),
-        ],
-        names=NODE.names,
-    )
-    return pa.StructArray.from_arrays(
-        [_list(nodes_at, nodes), _list(texts_at, pa.array(texts, pa.string()))], names=DOM.names
-    )
+        self.tags, self.parents, self.ends = walker.tags, walker.parents, walker.ends
+        self.t0, self.t1, self.texts = walker.t0, walker.t1, walker.texts
+        self.attrs = [{k: html.unescape(v or "") for k, v in attrs} if attrs else {} for attrs in walker.attrs]
+        self.ids = [dict(attrs).get("id") or "" if attrs else "" for attrs in walker.attrs]
+        self.classes = [(dict(attrs).get("class") or "").split() if attrs else [] for attrs in walker.attrs]
+
+    def within(self, marks: list) -> list[bool]:
+        """Is the element, or one around it, marked?"""
+        out = []
+        for parent, mark in zip(self.parents, marks):
+            out.append(bool(mark) or (parent >= 0 and out[parent]))
+        return out
+
+    def holding(self, marks: list) -> list[bool]:
+        """Is there a marked element inside the element?"""
+        out = [False] * len(marks)
+        for n in range(len(marks) - 1, 0, -1):
+            parent = self.parents[n]
+            if parent >= 0 and (marks[n] or out[n]):
+                out[parent] = True
+        return out
+
+    def around(self, marks: list) -> list[int]:
+        """The nearest marked element around each, -1 if there is none."""
+        out = []
+        for parent in self.parents:
+            out.append(-1 if parent < 0 else parent if marks[parent] else out[parent])
+        return out
+
+    def outermost(self, marks: list, first: int, last: int) -> list[int]:
+        """Marked elements from ``first`` to ``last`` that lie in no other of them."""
+        out, n = [], first
+        while n <= last:
+            if marks[n]:
+                out.append(n)
+                n = self.ends[n]
+            n += 1
+        return out
+
+    def blank(self, nodes: list[int]) -> None:
+        """Empties the text pieces inside some elements; the others keep their places."""
+        for n in nodes:
+            a, b = self.t0[n], self.t1[n]
+            self.texts[a:b] = [""] * (b - a)
+
+    def text(self, n: int) -> str:
+        """Text of an element, its pieces apart by blanks."""
+        return " ".join(filter(None, self.texts[self.t0[n] : self.t1[n]]))

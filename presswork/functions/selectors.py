@@ -1,9 +1,8 @@
-"""Simple CSS selectors (tag, .class, #id, [attr="value"]) as Column code."""
+"""Simple CSS selectors (tag, .class, #id, [attr="value"])."""
 
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,29 +12,52 @@ from presswork.functions.text import strip
 _SIMPLE = r'^([A-Za-z][\w-]*)?((?:[.#][\w-]+|\[[\w:-]+(?:=(?:"[^"]*"|\x27[^\x27]*\x27|[\w-]+))?\])*)$'
 
 
-def fixed_match(node: Column, selectors: list[str] | tuple[str, ...]) -> Column:
-    """Does a node match any of the selectors known when the plan is built?"""
-    tags, classes, others = [], [], []
-    for selector in selectors:
-        tag, rest = re.match(r"^([A-Za-z][\w-]*)?(.*)$", selector).groups()
-        names = re.findall(r"\.([\w-]+)", rest)
-        if tag and not rest:
-            tags.append(tag)
-        elif not tag and len(names) == 1 and rest == f".{names[0]}":
-            classes.append(names[0])
-        elif re.fullmatch(r"(?:[.#][\w-]+)*", rest):
-            checks = [F.array_contains(node["cls"], name) for name in names]
-            checks += [node["id"] == name for name in re.findall(r"#([\w-]+)", rest)]
-            if tag:
-                checks.append(node["tag"] == tag)
-            others.append(reduce(Column.__and__, checks))
-        else:
-            raise ValueError(f"unsupported selector: {selector}")
-    if tags:
-        others.append(node["tag"].isin(*tags))
-    if classes:
-        others.append(F.arrays_overlap(node["cls"], F.array(*[F.lit(c) for c in classes])))
-    return reduce(Column.__or__, others)
+class Selectors:
+    """Simple selectors in order, looked up by tag, id or class of an element."""
+
+    def __init__(self, parts: list[tuple[str, str, list[str], str, str | None]]) -> None:
+        """parts: (tag, id, classes, attribute, its value or None for any), '' for none."""
+        self.by_tag, self.by_id, self.by_class, self.others = {}, {}, {}, []
+        for place, (tag, ident, classes, attr, value) in enumerate(parts, 1):
+            if attr or (bool(tag) + bool(ident) + len(classes)) != 1:
+                self.others.append((place, tag, ident, frozenset(classes), attr, value))
+            elif tag:
+                self.by_tag.setdefault(tag, place)
+            elif ident:
+                self.by_id.setdefault(ident, place)
+            else:
+                self.by_class.setdefault(classes[0], place)
+
+    @classmethod
+    def fixed(cls, selectors: tuple[str, ...]) -> Selectors:
+        """Selectors known when the plan is built: tag, .class and #id compounds."""
+        out = []
+        for selector in selectors:
+            if not re.fullmatch(r"([A-Za-z][\w-]*)?(?:[.#][\w-]+)*", selector):
+                raise ValueError(f"unsupported selector: {selector}")
+            tag = re.match(r"[\w-]*", selector)[0].lower()
+            out.append((tag, "".join(re.findall(r"#([\w-]+)", selector)), re.findall(r"\.([\w-]+)", selector), "", None))
+        return cls(out)
+
+    @classmethod
+    def configured(cls, rows: list[dict] | None) -> Selectors:
+        """Selectors of a source, as ``compiled`` leaves them."""
+        return cls([(r["tag"], r["id"], r["cls"], r["attr"], r["value"]) for r in rows or []])
+
+    def first(self, tag: str, ident: str, classes: list[str], attrs: dict[str, str]) -> int | None:
+        """Place (from 1) of the first selector that matches an element."""
+        hits = [self.by_class[c] for c in classes if c in self.by_class]
+        for table, key in ((self.by_tag, tag), (self.by_id, ident)):
+            if key in table:
+                hits.append(table[key])
+        for place, want, name, needed, attr, value in self.others:
+            if (
+                want in ("", tag) and name in ("", ident) and needed.issubset(classes)
+                and (not attr or (attr in attrs and value in (None, attrs[attr])))
+            ):
+                hits.append(place)
+                break
+        return min(hits, default=None)
 
 
 def text_list(values: Column) -> Column:
@@ -45,7 +67,7 @@ def text_list(values: Column) -> Column:
 
 
 def compiled(selectors: Column) -> Column:
-    """Configured selectors in parts, for ``configured_match``.
+    """Configured selectors in parts, for ``Selectors.configured``.
 
     Run this on the configuration table, once per source. Selectors with
     combinators or pseudo-classes are refused.
@@ -65,26 +87,3 @@ def compiled(selectors: Column) -> Column:
         )
 
     return F.transform(text_list(selectors), parts)
-
-
-def matches(node: Column, selector: Column) -> Column:
-    attr = F.try_element_at(node["attrs"], selector["attr"])
-    return (
-        ((selector["tag"] == "") | (selector["tag"] == node["tag"]))
-        & ((selector["id"] == "") | (selector["id"] == node["id"]))
-        & (F.size(F.array_except(selector["cls"], node["cls"])) == 0)
-        & (
-            (selector["attr"] == "")
-            | (attr.isNotNull() & (selector["value"].isNull() | (attr == selector["value"])))
-        )
-    )
-
-
-def configured_match(node: Column, selectors: Column) -> Column:
-    return F.exists(selectors, lambda s: matches(node, s))
-
-
-def first_match(node: Column, selectors: Column) -> Column:
-    """Place of the first matching configured selector, null if none matches."""
-    hits = F.transform(selectors, lambda s: matches(node, s))
-    return F.nullif(F.array_position(hits, F.lit(True)), F.lit(0).cast("bigint")).cast("int")

@@ -1,25 +1,25 @@
 """Articles out of HTML: metadata, text blocks, images and captions.
 
-One page is one row from start to end: Python flattens the markup, array
-expressions do the rest, and nothing is shuffled.
+One page is one row from start to end: Python walks the markup and picks blocks, images
+and possible captions out of the tree in linear time, array expressions judge their
+texts and addresses, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from presswork.functions import text as tx
 from presswork.functions import urls
 from presswork.functions.binding import let
-from presswork.functions.dom import flatten_html
-from presswork.functions.selectors import (
-    compiled,
-    configured_match,
-    first_match,
-    fixed_match,
-    text_list,
-)
+from presswork.functions.dom import Tree
+from presswork.functions.selectors import Selectors, compiled, text_list
 from presswork.operators.ordering import first_per_key
 from presswork.operators.settle import settle
 from presswork.sources.rss import first_in_array
@@ -72,6 +72,7 @@ EXCLUDE_SELECTORS = (
 UNWRAP_SELECTORS = ("a.link-inline-content", "a.seo-suggest-link")
 # Block elements, media elements, caption places, image sources.
 BLOCK_TAGS = ("p", "h2", "h3", "li", "blockquote", "figcaption")
+BLOCK_KINDS = {"h2": "heading", "h3": "heading", "li": "list_item", "blockquote": "quote"}
 MEDIA_TAGS = ("img", "picture", "video", "iframe")
 CAPTION_SELECTORS = (
     "figcaption",
@@ -125,54 +126,179 @@ def compile_config(sources: DataFrame) -> DataFrame:
     return sources.select(*rest, extraction.alias("extraction"))
 
 
-# --- tree helpers on node structs -------------------------------------------
-
-
-def _inside(node: Column, outer: Column) -> Column:
-    return (outer["n"] < node["n"]) & (node["n"] <= outer["end"])
-
+# --- what the tree decides ----------------------------------------------------
 
-def _classes(node: Column) -> Column:
-    return F.lower(F.array_join(node["cls"], " "))
+_TEXT, _INT = T.StringType(), T.IntegerType()
 
 
-def _outermost(nodes: Column) -> Column:
-    """Nodes (in document order) that no earlier one of them contains."""
-    empty = F.filter(nodes, lambda _: F.lit(False))
-    start = F.struct(F.lit(-1).alias("hi"), empty.alias("kept"))
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-    def step(acc, node):
-        return F.when(
-            node["n"] > acc["hi"],
-            F.struct(
-                node["end"].alias("hi"),
-                F.concat(acc["kept"], F.array(node)).alias("kept"),
-            ),
-        ).otherwise(acc)
 
-    return F.aggregate(nodes, start, step, lambda acc: acc["kept"])
-
-
-def _remaining_texts(texts: Column, cuts: Column) -> Column:
-    """Text pieces with those inside cut nodes blanked, places kept.
-
-    Pieces between cuts are copied as slices, so the cost is the page's length.
-    """
-    def gap(i):
-        start = F.when(i == 0, F.lit(0)).otherwise(F.get(cuts, i - 1)["t1"])
-        stop = F.coalesce(F.get(cuts, i)["t0"], F.size(texts))
-        kept = F.slice(texts, start + 1, F.greatest(stop - start, F.lit(0)))
-        cut = F.get(cuts, i)
-        blank = F.array_repeat(F.lit(""), F.coalesce(cut["t1"] - cut["t0"], F.lit(0)))
-        return F.concat(kept, blank)
-
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts)), gap))
-
-
-def _text_of(node: Column, texts: Column) -> Column:
-    """Normalised text of a node from the remaining text pieces."""
-    pieces = F.slice(texts, node["t0"] + 1, node["t1"] - node["t0"])
-    return tx.norm_text(F.array_join(F.filter(pieces, lambda t: t != ""), " "))
+_HEAD = _struct(
+    title=_TEXT, metas=T.ArrayType(_struct(property=_TEXT, name=_TEXT, content=_TEXT)),
+    links=T.ArrayType(_struct(rel=_TEXT, href=_TEXT)),
+)
+_CONTENT = _struct(
+    head=_HEAD, blocks=T.ArrayType(_struct(type=_TEXT, text=_TEXT)),
+    images=T.ArrayType(_struct(sources=T.ArrayType(_TEXT), alt=_TEXT, tries=T.ArrayType(_INT))),
+    captions=T.ArrayType(_TEXT),
+)
+_HOMES = T.ArrayType(_struct(place=_INT, tag=_TEXT, text=_TEXT))
+_SHOWN = _struct(removed_nodes=_INT, remaining=_TEXT)
+
+
+class _Page:
+    """A page's tree and what selectors make of it: elements that are cut, and where
+    its content lies."""
+
+    def __init__(self, tree: Tree, rules: _Rules) -> None:
+        self.tree = tree
+        element = list(zip(tree.tags, tree.ids, tree.classes, tree.attrs))
+        # loose elements around plain text are unwrapped: their text stays, they do not
+        holds_media = tree.holding([tag in MEDIA_TAGS for tag in tree.tags])
+        self.gone = [rules.is_loose(*e) and not media for e, media in zip(element, holds_media)]
+        unwanted = [not gone and rules.is_unwanted(*e) for e, gone in zip(element, self.gone)]
+        self.cuts = tree.outermost(unwanted, 0, len(unwanted) - 1)
+        cut = tree.within(unwanted)
+        self.alive = [not c and not gone for c, gone in zip(cut, self.gone)]
+        self.places = [rules.place(*e) if alive else None for e, alive in zip(element, self.alive)]
+        tree.blank(self.cuts)
+        self.named = [" ".join(c).lower() for c in tree.classes]
+
+    def homes(self) -> list[tuple[int, int]]:
+        """(place, element) of the content, by place. An element goes when one around it
+        came no later; the body stands in when nothing matches."""
+        never, least, found = float("inf"), [], []
+        for n, (parent, place) in enumerate(zip(self.tree.parents, self.places)):
+            least.append(never if parent < 0 else min(least[parent], self.places[parent] or never))
+            if place is not None and least[n] > place:
+                found.append((place, n))
+        if found:
+            return sorted(found)
+        return [(0, n) for n, tag in enumerate(self.tree.tags) if tag == "body" and self.alive[n]][:1]
+
+    def blocks(self, homes: list[tuple[int, int]]) -> list[dict]:
+        """Outermost block elements of each home."""
+        tree = self.tree
+        wanted = [tag in BLOCK_TAGS and alive for tag, alive in zip(tree.tags, self.alive)]
+        in_caption = tree.within(["caption" in c and not gone for c, gone in zip(self.named, self.gone)])
+
+        def kind(n):
+            tag = tree.tags[n]
+            if tag in BLOCK_KINDS:
+                return BLOCK_KINDS[tag]
+            return "caption" if tag == "figcaption" or in_caption[n] else "paragraph"
+
+        return [
+            {"type": kind(n), "text": tree.text(n)}
+            for _, home in homes for n in tree.outermost(wanted, home + 1, tree.ends[home])
+        ]
+
+    def images(self, homes: list[tuple[int, int]]) -> tuple[list[dict], list[str]]:
+        """Images of each home with the captions to try for them, best first, as places
+        in a list of texts: for each of the nearest contexts its caption places in
+        order, then all of it."""
+        tree = self.tree
+        images = [n for n, tag in enumerate(tree.tags) if tag == "img" and self.alive[n]]
+        if not images:
+            return [], []
+        context = tree.around([
+            not gone and (tag == "figure" or any(m in named for m in CONTEXT_MARKERS))
+            for tag, named, gone in zip(tree.tags, self.named, self.gone)
+        ])
+        spot_like = [
+            (n, e) for n, e in enumerate(zip(tree.tags, tree.ids, tree.classes, tree.attrs))
+            if self.alive[n] and _ANY_CAPTION.first(*e)
+        ]
+        spots = [[n for n, e in spot_like if selector.first(*e)] for selector in _CAPTIONS]
+        texts, known, of_context = [], {}, {}
+
+        def number(n):
+            if n not in known:
+                known[n] = len(texts)
+                texts.append(tree.text(n))
+            return known[n]
+
+        def tries(n):
+            if n not in of_context:
+                inside = [spot[at] for spot in spots if (at := bisect_right(spot, n)) < len(spot) and spot[at] <= tree.ends[n]]
+                of_context[n] = [number(x) for x in [*inside, n]]
+            return of_context[n]
+
+        out = []
+        for _, home in homes:
+            for n in images[bisect_right(images, home) : bisect_right(images, tree.ends[home])]:
+                attrs, near, found = tree.attrs[n], context[n], []
+                for _ in range(MAX_CONTEXTS):
+                    if near >= 0:
+                        found += tries(near)
+                        near = context[near]
+                out.append({"sources": [attrs.get(a, "") for a in IMAGE_SOURCES], "alt": attrs.get("alt"), "tries": found})
+        return out, texts
+
+
+def _head(tree: Tree) -> dict:
+    """What metadata is read from."""
+    at = {tag: [n for n, t in enumerate(tree.tags) if t == tag] for tag in ("title", "meta", "link")}
+    take = lambda n, *keys: {k: tree.attrs[n].get(k) for k in keys}
+    return {
+        "title": tree.text(at["title"][0]) if at["title"] else None,
+        "metas": [take(n, "property", "name", "content") for n in at["meta"]],
+        "links": [take(n, "rel", "href") for n in at["link"]],
+    }
+
+
+class _Rules:
+    """The fixed selectors with those of one source."""
+
+    def __init__(self, settings: dict | None) -> None:
+        own = {k: Selectors.configured((settings or {}).get(k)) for k in ("content", "exclude", "unwrap")}
+        self.place = (own["content"] if (settings or {}).get("content") else _CONTENTS).first
+        self.is_unwanted = lambda *e: bool(_EXCLUDES.first(*e) or own["exclude"].first(*e))
+        self.is_loose = lambda *e: bool(_UNWRAPS.first(*e) or own["unwrap"].first(*e))
+
+
+_CONTENTS, _EXCLUDES = Selectors.fixed(CONTENT_SELECTORS), Selectors.fixed(EXCLUDE_SELECTORS)
+_UNWRAPS = Selectors.fixed(UNWRAP_SELECTORS)
+_ANY_CAPTION, _CAPTIONS = Selectors.fixed(CAPTION_SELECTORS), [Selectors.fixed((s,)) for s in CAPTION_SELECTORS]
+
+
+def _content(payload: bytes | None, rules: _Rules) -> dict:
+    tree = Tree(payload)
+    head = _head(tree)  # of the whole page, before anything is cut
+    page = _Page(tree, rules)
+    homes = page.homes()
+    images, captions = page.images(homes)
+    return {"head": head, "blocks": page.blocks(homes), "images": images, "captions": captions}
+
+
+def _homes(payload: bytes | None, rules: _Rules) -> list[dict]:
+    page = _Page(Tree(payload), rules)
+    return [{"place": place, "tag": page.tree.tags[n], "text": page.tree.text(n)} for place, n in page.homes()]
+
+
+def _shown(payload: bytes | None, rules: _Rules) -> dict:
+    page = _Page(Tree(payload), rules)
+    return {"removed_nodes": len(page.cuts), "remaining": " ".join(filter(None, page.tree.texts))}
+
+
+def _of_pages(make, kind: T.DataType):
+    """Column function (payload, extraction settings) of what ``make`` finds in a page."""
+    arrow = to_arrow_type(kind)
+
+    @F.arrow_udf(kind)
+    def found(payloads: pa.Array, settings: pa.Array) -> pa.Array:
+        rules, rows = {}, []
+        for payload, own in zip(payloads.to_pylist(), settings.to_pylist()):
+            key = repr(own)
+            if key not in rules:
+                rules[key] = _Rules(own)
+            rows.append(make(payload, rules[key]))
+        return pa.array(rows, arrow)
+
+    own = ("content", "exclude", "unwrap")
+    return lambda payload, cfg: found(payload, F.struct(*[cfg[f].alias(f) for f in own]))
 
 
 # --- metadata ----------------------------------------------------------------
@@ -183,24 +309,21 @@ def _meta(metas: Column, key: str) -> Column:
     return F.get(F.filter(metas, lambda m: m["key"] == key), F.lit(0))["content"]
 
 
-def page_metadata(dom: Column) -> Column:
+def page_metadata(head: Column) -> Column:
     """title, summary, author, dates and canonical candidate of a page."""
     metas = F.transform(
-        F.filter(dom["nodes"], lambda x: x["tag"] == "meta"),
+        head["metas"],
         lambda x: F.struct(
-            F.lower(tx.first_present(x["attrs"]["property"], x["attrs"]["name"])).alias("key"),
-            tx.norm_text(x["attrs"]["content"]).alias("content"),
+            F.lower(tx.first_present(x["property"], x["name"])).alias("key"),
+            tx.norm_text(x["content"]).alias("content"),
         ),
     )
-    title_node = F.get(F.filter(dom["nodes"], lambda x: x["tag"] == "title"), F.lit(0))
-    title = let(title_node, lambda x: F.when(x.isNotNull(), _text_of(x, dom["texts"])))
+    title = tx.norm_text(head["title"])
     canonical = F.filter(
-        dom["nodes"],
-        lambda x: (x["tag"] == "link")
-        & F.array_contains(F.split(F.lower(x["attrs"]["rel"]), r"\s+"), "canonical")
-        & (x["attrs"]["href"] != ""),
+        head["links"],
+        lambda x: F.array_contains(F.split(F.lower(x["rel"]), r"\s+"), "canonical") & (x["href"] != ""),
     )
-    link = tx.norm_text(F.get(canonical, F.lit(0))["attrs"]["href"])
+    link = tx.norm_text(F.get(canonical, F.lit(0))["href"])
 
     def read(m):
         pick = lambda *keys: [_meta(m, k) for k in keys]
@@ -220,91 +343,9 @@ def page_metadata(dom: Column) -> Column:
 # --- content -----------------------------------------------------------------
 
 
-def _marked(nodes: Column, cfg: Column) -> Column:
-    """Nodes with what the source's selectors say about them."""
-    def fixed_place(x):
-        return F.coalesce(
-            *[F.when(fixed_match(x, [s]), F.lit(i + 1)) for i, s in enumerate(CONTENT_SELECTORS)]
-        )
-
-    def mark(x):
-        return F.struct(
-            *[x[f].alias(f) for f in ("n", "end", "tag", "cls", "attrs", "t0", "t1")],
-            (fixed_match(x, UNWRAP_SELECTORS) | configured_match(x, cfg["unwrap"])).alias("loose"),
-            (fixed_match(x, EXCLUDE_SELECTORS) | configured_match(x, cfg["exclude"]))
-            .alias("unwanted"),
-            F.when(F.size(cfg["content"]) > 0, first_match(x, cfg["content"]))
-            .otherwise(fixed_place(x)).alias("place"),
-        )
-
-    return F.transform(nodes, mark)
-
-
-def _unwrapped_removed(marked: Column) -> Column:
-    """Nodes without those that are unwrapped: loose ones around plain text.
-    Their text pieces stay, since texts are numbered on their own."""
-    def drop(media):
-        return F.filter(
-            marked, lambda x: ~(x["loose"] & ~F.exists(media, lambda m: _inside(m, x)))
-        )
-
-    return let(F.filter(marked, lambda x: x["tag"].isin(*MEDIA_TAGS)), drop)
-
-
-def _alive(nodes: Column, cuts: Column) -> Column:
-    return F.filter(
-        nodes,
-        lambda x: ~F.exists(cuts, lambda c: (c["n"] <= x["n"]) & (x["n"] <= c["end"])),
-    )
-
-
-def _containers(nodes: Column, cuts: Column) -> Column:
-    """Content nodes in selector order. A node goes when one inside which it
-    lies came no later; the body stands in when nothing matches."""
-    chosen = _alive(F.filter(nodes, lambda x: x["place"].isNotNull()), cuts)
-
-    def settle(found):
-        kept = F.filter(
-            found, lambda x: ~F.exists(found, lambda o: _inside(x, o) & (o["place"] <= x["place"]))
-        )
-        ordered = F.sort_array(
-            F.transform(kept, lambda x: F.struct(
-                x["place"].alias("place"), x["n"].alias("n"), x["end"].alias("end")))
-        )
-        body = F.slice(_alive(F.filter(nodes, lambda x: x["tag"] == "body"), cuts), 1, 1)
-        fallback = F.transform(body, lambda x: F.struct(
-            F.lit(0).alias("place"), x["n"].alias("n"), x["end"].alias("end")))
-        return F.when(F.size(found) > 0, ordered).otherwise(fallback)
-
-    return let(chosen, settle)
-
-
-def _blocks(nodes: Column, cuts: Column, homes: Column, texts: Column) -> Column:
-    """Text blocks: outermost block elements per container, boilerplate dropped,
-    first of equal texts kept."""
-    captions = F.filter(nodes, lambda x: _classes(x).contains("caption"))
-    candidates = _alive(F.filter(nodes, lambda x: x["tag"].isin(*BLOCK_TAGS)), cuts)
-
-    def kind(x, marks):
-        in_caption = F.exists(marks, lambda m: (m["n"] <= x["n"]) & (x["n"] <= m["end"]))
-        return (
-            F.when(x["tag"].isin("h2", "h3"), "heading")
-            .when(x["tag"] == "li", "list_item")
-            .when(x["tag"] == "blockquote", "quote")
-            .when((x["tag"] == "figcaption") | in_caption, "caption")
-            .otherwise("paragraph")
-        )
-
-    def per_home(cands, marks):
-        def collect(home):
-            return F.transform(
-                _outermost(F.filter(cands, lambda x: _inside(x, home))),
-                lambda x: F.struct(kind(x, marks).alias("type"), _text_of(x, texts).alias("text")),
-            )
-
-        return F.flatten(F.transform(homes, collect))
-
-    every = let(candidates, lambda c: let(captions, lambda m: per_home(c, m)))
+def _blocks(found: Column) -> Column:
+    """Text blocks: boilerplate dropped, first of equal texts kept."""
+    every = F.transform(found, lambda b: F.struct(b["type"].alias("type"), tx.norm_text(b["text"]).alias("text")))
     good = F.filter(every, lambda b: ~tx.block_skip(b["text"]))
     keyed = F.transform(
         good, lambda b, i: F.struct(
@@ -317,101 +358,29 @@ def _blocks(nodes: Column, cuts: Column, homes: Column, texts: Column) -> Column
     )
 
 
-def _caption(img: Column, contexts: Column, places: Column, texts: Column) -> Column:
-    """First valid caption around an image: nearest context first, its caption
-    places in order, then its whole text."""
-    around = F.slice(F.reverse(F.filter(contexts, lambda c: _inside(img, c))), 1, MAX_CONTEXTS)
-
-    def valid(text):
-        return let(text, lambda t: F.when(tx.caption_valid(t), t))
-
-    def best(context):
-        def at(selector):
-            found = F.filter(places, lambda p: _inside(p, context) & fixed_match(p, [selector]))
-            return let(
-                F.get(found, F.lit(0)), lambda p: F.when(p.isNotNull(), valid(_text_of(p, texts)))
-            )
-
-        return F.coalesce(*[at(s) for s in CAPTION_SELECTORS], valid(_text_of(context, texts)))
-
-    return F.get(F.filter(F.transform(around, best), lambda c: c.isNotNull()), F.lit(0))
-
-
-def _image_candidates(nodes: Column, cuts: Column, homes: Column, texts: Column) -> Column:
-    """Images of all containers with their possible URLs, alt text and caption."""
-    images = _alive(F.filter(nodes, lambda x: x["tag"] == "img"), cuts)
-
-    def is_context(x):
-        named = [_classes(x).contains(m) for m in CONTEXT_MARKERS]
-        out = x["tag"] == "figure"
-        for check in named:
-            out = out | check
-        return out
-
-    contexts = F.filter(nodes, is_context)
-    places = _alive(
-        F.filter(nodes, lambda x: fixed_match(x, CAPTION_SELECTORS)), cuts
+def _images(found: Column, captions: Column) -> Column:
+    """Images with their possible URLs, alt text and first valid caption."""
+    valid = F.transform(
+        captions, lambda text: let(tx.norm_text(text), lambda t: F.when(tx.caption_valid(t), t))
     )
 
-    def sources(x):
-        return F.array(
-            *[
-                urls.srcset_first(F.coalesce(x["attrs"][a], F.lit("")))
-                if "srcset" in a else F.coalesce(x["attrs"][a], F.lit(""))
-                for a in IMAGE_SOURCES
+    def with_captions(texts):
+        def image(x):
+            sources = [
+                urls.srcset_first(x["sources"][i]) if "srcset" in a else x["sources"][i]
+                for i, a in enumerate(IMAGE_SOURCES)
             ]
-        )
-
-    def per_home(imgs, ctxs, spots):
-        def collect(home):
-            return F.transform(
-                F.filter(imgs, lambda x: _inside(x, home)),
-                lambda x: F.struct(
-                    sources(x).alias("sources"),
-                    F.nullif(tx.norm_text(x["attrs"]["alt"]), F.lit("")).alias("alt"),
-                    _caption(x, ctxs, spots, texts).alias("caption"),
-                ),
+            tried = F.filter(F.transform(x["tries"], lambda i: F.get(texts, i)), lambda t: t.isNotNull())
+            return F.struct(
+                F.array(*sources).alias("sources"),
+                F.nullif(tx.norm_text(x["alt"]), F.lit("")).alias("alt"),
+                F.get(tried, F.lit(0)).alias("caption"),
             )
 
-        return F.flatten(F.transform(homes, collect))
+        return F.transform(found, image)
 
-    found = let(images, lambda i: let(contexts, lambda c: let(places, lambda p: per_home(i, c, p))))
     # Most pages have no image at all; skip the caption machinery for them.
-    return F.when(F.size(images) > 0, found)
-
-
-def _content(dom: Column, cfg: Column) -> Column:
-    """struct<blocks, images> of a page, image URLs not yet resolved."""
-    def with_nodes(nodes):
-        return let(_outermost(F.filter(nodes, lambda x: x["unwanted"])),
-                   lambda cuts: with_cuts(nodes, cuts))
-
-    def with_cuts(nodes, cuts):
-        return let(
-            F.struct(
-                _containers(nodes, cuts).alias("homes"),
-                _remaining_texts(dom["texts"], cuts).alias("texts"),
-            ),
-            lambda page: F.struct(
-                _blocks(nodes, cuts, page["homes"], page["texts"]).alias("blocks"),
-                _image_candidates(nodes, cuts, page["homes"], page["texts"]).alias("images"),
-            ),
-        )
-
-    return let(let(_marked(dom["nodes"], cfg), _unwrapped_removed), with_nodes)
-
-
-def _page_parts(dom: Column, cfg: Column) -> Column:
-    def parts(d):
-        return let(
-            _content(d, cfg),
-            lambda c: F.struct(
-                page_metadata(d).alias("meta"), c["blocks"].alias("content_blocks"),
-                c["images"].alias("found_images"),
-            ),
-        )
-
-    return let(dom, parts)
+    return F.when(F.size(found) > 0, let(valid, with_captions))
 
 
 def content_rejection(body: Column, blocks: Column, cfg: Column) -> Column:
@@ -459,12 +428,16 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     rejection_reason; drops payload and extraction.
     """
     rest = [c for c in pages.columns if c not in ("payload", "extraction")]
-    walked = pages.select(*rest, "extraction", flatten_html("payload").alias("dom"))
-    # inline() turns the two structs into plain columns: whatever follows reads
-    # stored values and cannot make Spark evaluate the extraction again.
-    parts = walked.select(
-        *rest, "extraction", F.inline(F.array(_page_parts(F.col("dom"), F.col("extraction"))))
+    walked = pages.select(
+        *rest, "extraction", _content_of(F.col("payload"), F.col("extraction")).alias("page")
     )
+    # inline() turns the struct into plain columns: whatever follows reads stored
+    # values and cannot make Spark evaluate the extraction again.
+    parts = walked.select(*rest, "extraction", F.inline(F.array(F.struct(
+        page_metadata(F.col("page.head")).alias("meta"),
+        _blocks(F.col("page.blocks")).alias("content_blocks"),
+        _images(F.col("page.images"), F.col("page.captions")).alias("found_images"),
+    ))))
     resolved = parts.withColumn(
         "image_urls",
         urls.resolve_first_usable(
@@ -515,55 +488,37 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     )
 
 
-def _page_frame(pages: DataFrame, of_nodes) -> DataFrame:
-    """pages without payload and extraction, plus of_nodes(dom, nodes, cuts)."""
-    rest = [c for c in pages.columns if c not in ("payload", "extraction")]
-    walked = pages.select(*rest, "extraction", flatten_html("payload").alias("dom"))
-
-    def parts(dom):
-        kept = let(_marked(dom["nodes"], F.col("extraction")), _unwrapped_removed)
-        return let(kept, lambda nodes: let(
-            _outermost(F.filter(nodes, lambda x: x["unwanted"])),
-            lambda cuts: of_nodes(dom, nodes, cuts),
-        ))
-
-    return walked.select(*rest, F.inline(F.array(let(F.col("dom"), parts))))
+def _rest(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c not in ("payload", "extraction")]
 
 
 def remaining_text(pages: DataFrame) -> DataFrame:
     """Page text once unwanted nodes are gone."""
-    def shown(dom, nodes, cuts):
-        texts = F.filter(_remaining_texts(dom["texts"], cuts), lambda t: t != "")
-        return F.struct(
-            F.size(cuts).alias("removed_nodes"),
-            tx.norm_text(F.array_join(texts, " ")).alias("remaining"),
-        )
-
-    return _page_frame(pages, shown)
+    shown = pages.select(
+        *_rest(pages), F.inline(F.array(_shown_of(F.col("payload"), F.col("extraction"))))
+    )
+    return shown.withColumn("remaining", tx.norm_text(F.col("remaining")))
 
 
 def container_rows(pages: DataFrame) -> DataFrame:
     """One row per content container, with its selector's place and its text."""
-    def shown(dom, nodes, cuts):
-        texts = _remaining_texts(dom["texts"], cuts)
-        homes = _containers(nodes, cuts)
-        own = lambda h: F.get(F.filter(nodes, lambda x: x["n"] == h["n"]), F.lit(0))
-        return let(texts, lambda t: F.struct(
-            F.transform(homes, lambda h, i: F.struct(
-                i.alias("ordinal"), h["place"].alias("place"), own(h)["tag"].alias("tag"),
-                _text_of(own(h), t).alias("text"),
-            )).alias("homes")
-        ))
-
-    framed = _page_frame(pages, shown)
-    return framed.select(*[c for c in framed.columns if c != "homes"], F.inline("homes"))
+    homes = F.transform(
+        _homes_of(F.col("payload"), F.col("extraction")),
+        lambda h, i: F.struct(i.alias("ordinal"), h["place"].alias("place"), h["tag"].alias("tag"),
+                              h["text"].alias("text")),
+    )
+    rows = pages.select(*_rest(pages), F.inline(homes))
+    return rows.withColumn("text", tx.norm_text(F.col("text")))
 
 
 def metadata(pages: DataFrame) -> DataFrame:
     """Metadata columns of pages, without their content."""
-    rest = [c for c in pages.columns if c not in ("payload", "extraction")]
-    walked = pages.select(*rest, flatten_html("payload").alias("dom"))
-    return walked.select(*rest, F.inline(F.array(let(F.col("dom"), page_metadata))))
+    walked = pages.select(*_rest(pages), _head_of(F.col("payload"), F.col("extraction")).alias("head"))
+    return walked.select(*_rest(pages), F.inline(F.array(page_metadata(F.col("head")))))
+
+
+_content_of, _homes_of, _shown_of = _of_pages(_content, _CONTENT), _of_pages(_homes, _HOMES), _of_pages(_shown, _SHOWN)
+_head_of = _of_pages(lambda payload, _: _head(Tree(payload)), _HEAD)
 
 
 def dedupe_blocks(blocks: DataFrame, article: str) -> DataFrame:

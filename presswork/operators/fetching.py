@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions import ids, urls
+from presswork.functions.binding import let
 from presswork.functions.text import iso_micros
 from presswork.operators.ordering import first_per_key
 from presswork.sources.landing import article_payload_uri
@@ -26,40 +27,66 @@ def redirect_edges(responses: DataFrame) -> DataFrame:
     )
 
 
+def _nowhere(url: Column) -> Column:
+    """A key of its own that no URL has, for a row that looks nothing up."""
+    return F.concat(F.lit("\0"), url)
+
+
+def _joined_paths(first: DataFrame, then: DataFrame) -> DataFrame:
+    """Paths of ``first`` continued by those of ``then`` where they go on."""
+    more = then.select(F.col("from_url").alias("_at"), F.col("path").alias("_path"), F.col("end").alias("_end"))
+    at = F.coalesce("end", _nowhere(F.col("from_url")))
+    return first.join(more, at == F.col("_at"), "left").select(
+        "from_url", F.concat("path", F.coalesce("_path", F.array().cast(first.schema["path"].dataType))).alias("path"),
+        F.col("_end").alias("end"),
+    )
+
+
+def redirect_paths(edges: DataFrame, steps: int) -> DataFrame:
+    """(from_url, path) with up to ``steps`` redirects in a row from every edge on.
+
+    Paths double with each join, so it takes about log2(steps) joins of the edges with
+    themselves, whatever the number of requests. A path ends where no edge goes on, and
+    at a malformed redirect.
+    """
+    hop = F.struct(F.col("malformed"), F.col("target"))
+    of = {1: edges.select("from_url", F.array(hop).alias("path"),
+                          F.when(~F.col("malformed"), F.col("target")).alias("end"))}
+    reach = 1
+    while reach < steps:
+        step = max(k for k in of if k <= min(reach, steps - reach))
+        of[reach + step] = _joined_paths(of[reach], of[step])
+        reach += step
+    return of[reach].select("from_url", "path")
+
+
 def follow_redirects(starts: DataFrame, edges: DataFrame, limit: int = MAX_REDIRECTS) -> DataFrame:
     """Where each request ends up, at most ``limit`` hops away.
 
     starts: any columns plus url, domains (array of allowed domains) and
     redirect_domains (allowed for targets only). Adds final_url, hops, verdict
-    and retryable. The hops are ``limit`` + 1 equi-joins on the current URL,
-    planned as one job; every edge has a distinct ``from_url``.
+    and retryable. Requests are joined once, with the paths that the edges form (every
+    edge has a distinct ``from_url``), and judge the targets on theirs in order.
     """
     allowed = F.concat("domains", "redirect_domains")
-    chain = starts.select(
-        "*", F.col("url").alias("final_url"), F.lit(0).alias("hops"),
-        urls.url_verdict(F.col("url"), F.col("domains")).alias("verdict"),
-    )
-    for hop in range(limit + 1):
-        moving = F.col("verdict").isNull() & F.col("malformed").isNotNull()
-        if hop == limit:
-            verdict = F.when(moving, F.lit("redirect_limit"))
-            go = F.lit(False)
-        else:
-            outside = urls.url_verdict(F.coalesce("target", F.lit("")), allowed)
-            verdict = F.when(moving & F.col("malformed"), F.lit("malformed_redirect")).when(
-                moving, outside
-            )
-            go = moving & verdict.isNull()
-        chain = (
-            chain.join(edges, F.col("final_url") == F.col("from_url"), "left")
-            .select(
-                *starts.columns,
-                F.when(go, F.col("target")).otherwise(F.col("final_url")).alias("final_url"),
-                (F.col("hops") + F.when(go, 1).otherwise(0)).alias("hops"),
-                F.coalesce("verdict", verdict).alias("verdict"),
-            )
+    paths = redirect_paths(edges, limit + 1)
+    begun = starts.withColumn("_verdict", urls.url_verdict(F.col("url"), F.col("domains")))
+    asked = F.when(F.col("_verdict").isNull(), F.col("url"))
+    found = begun.join(paths, F.coalesce(asked, _nowhere(F.col("url"))) == F.col("from_url"), "left")
+
+    def step(at, hop):
+        verdict = (
+            F.when(at["hops"] == limit, F.lit("redirect_limit"))
+            .when(hop["malformed"], F.lit("malformed_redirect"))
+            .otherwise(urls.url_verdict(F.coalesce(hop["target"], F.lit("")), allowed))
         )
-    return chain.withColumn(
+        return let(verdict, lambda v: F.when(at["verdict"].isNotNull(), at).when(
+            v.isNull(), F.struct(hop["target"].alias("final_url"), (at["hops"] + 1).alias("hops"), v.alias("verdict"))
+        ).otherwise(F.struct(at["final_url"].alias("final_url"), at["hops"].alias("hops"), v.alias("verdict"))))
+
+    begin = F.struct(F.col("url").alias("final_url"), F.lit(0).alias("hops"), F.col("_verdict").alias("verdict"))
+    end = F.when(F.col("path").isNull(), begin).otherwise(F.aggregate("path", begin, step))
+    return found.select(*starts.columns, F.inline(F.array(end))).withColumn(
         "retryable", F.coalesce(F.col("verdict") == "malformed_redirect", F.lit(False))
     )
 
@@ -82,28 +109,35 @@ def new_fetches(requests: DataFrame, completions: DataFrame) -> DataFrame:
     return first_per_key(fresh, COMPLETION, ["event_id"])
 
 
-def fetched_events(responses: DataFrame, observed_at: Column) -> DataFrame:
-    """article_fetched rows of landed responses.
+#: Fields of an article_fetched event, in order.
+FETCHED_FIELDS = (
+    "schema_version", "event_id", "event_time", "run_id", "source_id", "ingest_date", "article_id",
+    "requested_url", "source_document_id", "fetched_at", "status_code", "content_type",
+    "content_length_bytes", "payload_uri", "content_hash", "fetch_status",
+)
+
+
+def fetched_columns(responses: DataFrame, observed_at: Column) -> DataFrame:
+    """``responses`` with the columns of their article_fetched event.
 
     responses: run_id, source_id, ingest_date, article_id, requested_url,
     status_code, content_type, payload.
     """
     digest = ids.content_sha256(F.col("payload"))
-    return responses.withColumn("content_hash", digest).withColumn(
-        "source_document_id",
-        ids.stable_id("source_doc", F.col("article_id"), F.col("content_hash")),
-    ).select(
-        F.lit("article.fetched.v2").alias("schema_version"),
-        ids.stable_id("event", "article.fetched.v2", F.col("article_id"), F.col("content_hash"))
-        .alias("event_id"),
-        iso_micros(observed_at).alias("event_time"),
-        "run_id", "source_id", "ingest_date", "article_id", "requested_url",
-        "source_document_id",
-        iso_micros(observed_at).alias("fetched_at"),
-        "status_code", F.nullif("content_type", F.lit("")).alias("content_type"),
-        F.octet_length("payload").cast("bigint").alias("content_length_bytes"),
-        article_payload_uri(F.col("source_id"), F.col("ingest_date"), F.col("article_id"),
-                            F.col("source_document_id")).alias("payload_uri"),
-        "content_hash",
-        F.lit("success").alias("fetch_status"),
-    )
+    document = ids.stable_id("source_doc", F.col("article_id"), F.col("content_hash"))
+    return responses.withColumn("content_hash", digest).withColumn("source_document_id", document).withColumns({
+        "schema_version": F.lit("article.fetched.v2"),
+        "event_id": ids.stable_id("event", "article.fetched.v2", F.col("article_id"), F.col("content_hash")),
+        "event_time": iso_micros(observed_at),
+        "fetched_at": iso_micros(observed_at),
+        "content_type": F.nullif("content_type", F.lit("")),
+        "content_length_bytes": F.octet_length("payload").cast("bigint"),
+        "payload_uri": article_payload_uri(F.col("source_id"), F.col("ingest_date"), F.col("article_id"),
+                                           F.col("source_document_id")),
+        "fetch_status": F.lit("success"),
+    })
+
+
+def fetched_events(responses: DataFrame, observed_at: Column) -> DataFrame:
+    """article_fetched rows of landed responses."""
+    return fetched_columns(responses, observed_at).select(*FETCHED_FIELDS)

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from presswork.functions import frames, ids, urls
-from presswork.functions.errors import error_struct
 from presswork.functions.text import iso_micros
 from presswork.operators.extraction import extract_articles
 from presswork.operators.screening import fetch_gate
-from presswork.sources.landing import extracted_payload_uri, read_verified
+from presswork.operators.settle import settle
+from presswork.sources.landing import extracted_payload_uri
 
 MAX_INLINE_BYTES = 524_288
 EVENT_FIELDS = (
@@ -26,25 +27,45 @@ EVENT_FIELDS = (
 )
 
 
+#: Columns extraction adds; null for records a gate stops before it.
+ARTICLE = (
+    "canonical_url", "title", "summary", "author", "published_at", "content_blocks", "images",
+    "body_text", "rejection_reason", "extractor_version",
+)
+
+
 def early_gates(fetched: DataFrame, landed: DataFrame) -> DataFrame:
-    """Fetched events with payload and the verdict of the checks that need no
-    HTML: fetch status, payload hash, extractor name.
+    """Fetched events with payload and the ``verdict`` of the checks that need no
+    HTML: ``stopped`` (what the caller found, if there is such a column), fetch
+    status, payload hash, extractor name.
 
-    fetched carries extractor and attribution_policy of its source.
+    fetched carries extractor and attribution_policy of its source. Only events that
+    pass the fetch gate have an address to look up; the others get keys of their own,
+    so that they neither find a payload nor meet in one task.
     """
+    gate = fetch_gate(F.col("fetch_status"), F.col("payload_uri"))
+    if "stopped" in fetched.columns:
+        gate = F.coalesce("stopped", gate)
+    plain = [f.name for f in fetched.schema if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    nowhere = F.concat(F.lit("nowhere/"), F.xxhash64(*plain))
+    keyed = fetched.withColumn("_gate", gate).withColumn(
+        "_uri", F.when(F.col("_gate").isNull(), F.col("payload_uri")).otherwise(nowhere)
+    )
+    # the address holds its day; where both sides have it, only the days in question are read
+    stored, keys = [F.col("payload_uri").alias("_uri"), "payload"], ["_uri"]
+    if "ingest_date" in landed.columns and "ingest_date" in fetched.columns:
+        kind = landed.schema["ingest_date"].dataType
+        keyed = keyed.withColumn("_day", F.col("ingest_date").try_cast(kind))
+        stored, keys = [*stored, F.col("ingest_date").alias("_day")], ["_uri", "_day"]
     extractor = F.coalesce("extractor", F.lit("html_article"))
-    gated = fetched.withColumn("_gate", fetch_gate(F.col("fetch_status"), F.col("payload_uri")))
-    # Only events that pass the fetch gate look their payload up.
-    stopped = gated.filter(F.col("_gate").isNotNull()).withColumnRenamed("_gate", "verdict")
-    read = read_verified(gated.filter(F.col("_gate").isNull()).drop("_gate"), landed)
-    return read.withColumn(
-        "verdict",
-        F.coalesce(
-            F.col("verdict"),
-            F.when(extractor != "html_article",
-                   F.concat(F.lit("unsupported extractor: "), extractor)),
-        ),
-    ).unionByName(stopped, allowMissingColumns=True)
+    verdict = F.coalesce(
+        F.col("_gate"),
+        F.when(F.col("payload").isNull(), F.lit("missing_payload"))
+        .when(F.sha2("payload", 256) != F.col("content_hash"), F.lit("hash_mismatch"))
+        .when(extractor != "html_article", F.concat(F.lit("unsupported extractor: "), extractor)),
+    )
+    found = keyed.join(landed.select(*stored), keys, "left")
+    return settle(found, verdict=verdict).drop("_gate", "_uri", "_day")
 
 
 def gate_stage(verdict: Column) -> Column:
@@ -57,14 +78,17 @@ def gate_stage(verdict: Column) -> Column:
 def extract_fetched(fetched: DataFrame, landed: DataFrame) -> DataFrame:
     """Fetched events with article columns and the verdict of all gates.
 
-    Records an early gate stops never reach the HTML stage.
+    One frame from end to end: a record that an early gate stops goes through the HTML
+    stage without its payload, where it costs nothing, and has null article columns.
     """
-    gated = early_gates(fetched, landed).withColumn(
-        "require_canonical",
-        F.coalesce(F.col("attribution_policy") == "canonical_link_required", F.lit(False)),
-    ).withColumn("fallback_url", F.col("requested_url"))
-    stopped = gated.filter(F.col("verdict").isNotNull()).drop("payload", "extraction")
-    passed = extract_articles(gated.filter(F.col("verdict").isNull()).drop("verdict"))
+    gated = early_gates(fetched, landed).withColumns({
+        "payload": F.when(F.col("verdict").isNull(), F.col("payload")),
+        "require_canonical": F.coalesce(
+            F.col("attribution_policy") == "canonical_link_required", F.lit(False)
+        ),
+        "fallback_url": F.col("requested_url"),
+    })
+    passed = extract_articles(gated.withColumnRenamed("verdict", "_early"))
     resolved = urls.norm_url(
         urls.resolve_url(F.col("requested_url"), F.coalesce("canonical_url", "requested_url"))
     )
@@ -80,17 +104,15 @@ def extract_fetched(fetched: DataFrame, landed: DataFrame) -> DataFrame:
         )
         .when(F.col("resolved_url").isNull(), F.lit("invalid_canonical_url"))
     )
-    judged = passed.withColumn("resolved_url", resolved).withColumn("verdict", late)
-    return judged.withColumn("canonical_url", F.col("resolved_url")).drop("resolved_url").unionByName(
-        stopped, allowMissingColumns=True
-    )
-
+    judged = settle(passed, resolved_url=resolved).withColumn("verdict", F.coalesce("_early", late))
+    shown = judged.withColumn("canonical_url", F.col("resolved_url")).drop("resolved_url")
+    open_ = F.col("_early").isNull()
+    return shown.withColumns({c: F.when(open_, F.col(c)) for c in ARTICLE}).drop("_early")
 
-def extracted_events(articles: DataFrame, observed_at: Column) -> DataFrame:
-    """article_extracted events of accepted articles, not yet size-checked.
 
-    articles: fetched identity columns plus the article columns.
-    """
+def event_columns(articles: DataFrame, observed_at: Column) -> DataFrame:
+    """``articles`` (fetched identity and article columns) with the columns of their
+    article_extracted event, not yet size-checked."""
     content_hash = ids.content_sha256(F.encode("body_text", "UTF-8"))
     blocks = F.transform("content_blocks", lambda b: F.struct(
         b["ordinal"].alias("ordinal"), b["text"].alias("text"), b["type"].alias("type")))
@@ -98,19 +120,25 @@ def extracted_events(articles: DataFrame, observed_at: Column) -> DataFrame:
         i["alt"].alias("alt"), i["caption"].alias("caption"), i["ordinal"].alias("ordinal"),
         i["url"].alias("url")))
     none = F.lit(None).cast("string")
-    return articles.withColumn("content_hash", content_hash).select(
-        F.lit("article.extracted.v3").alias("schema_version"),
-        ids.stable_id("event", "article.extracted.v3", F.col("article_id"),
-                      F.col("source_document_id"), F.col("content_hash")).alias("event_id"),
-        iso_micros(observed_at).alias("event_time"),
-        "run_id", "source_id", F.col("ingest_date").cast("string").alias("ingest_date"),
-        "article_id", "requested_url", "canonical_url", "title", "summary", "body_text",
-        blocks.alias("content_blocks"), images.alias("images"), "author",
-        iso_micros(F.col("published_at")).alias("published_at"), "content_hash",
-        "source_document_id", F.col("payload_uri").alias("source_payload_uri"),
-        "extractor_version", F.lit("success").alias("extraction_status"),
-        none.alias("extracted_payload_uri"), none.alias("extracted_payload_hash"),
-    )
+    return articles.withColumn("content_hash", content_hash).withColumns({
+        "schema_version": F.lit("article.extracted.v3"),
+        "event_id": ids.stable_id("event", "article.extracted.v3", F.col("article_id"),
+                                  F.col("source_document_id"), F.col("content_hash")),
+        "event_time": iso_micros(observed_at),
+        "ingest_date": F.col("ingest_date").cast("string"),
+        "content_blocks": blocks,
+        "images": images,
+        "published_at": iso_micros(F.col("published_at")),
+        "source_payload_uri": F.col("payload_uri"),
+        "extraction_status": F.lit("success"),
+        "extracted_payload_uri": none,
+        "extracted_payload_hash": none,
+    })
+
+
+def extracted_events(articles: DataFrame, observed_at: Column) -> DataFrame:
+    """article_extracted events of accepted articles, not yet size-checked."""
+    return event_columns(articles, observed_at).select(*EVENT_FIELDS)
 
 
 def event_json(events: DataFrame, **replaced: Column) -> Column:
@@ -177,12 +205,3 @@ def outcome_stats(articles: DataFrame) -> DataFrame:
         "article_id", F.char_length("body_text").alias("body_length"),
         F.size("content_blocks").alias("block_count"), F.size("images").alias("image_count"),
     )
-
-
-def reject_error(verdict: Column) -> Column:
-    """Error struct of a stopped record; none of these is worth a retry but a
-    payload that could not be read."""
-    return error_struct(
-        gate_stage(verdict), F.lit("IngestionError"), verdict,
-        verdict == "missing_payload",
-    )

@@ -7,6 +7,7 @@ from presswork.plans import (
     event_queries,
     feed_queries,
     fetch_queries,
+    flow_queries,
     metric_queries,
     scalar_queries,
     stream_queries,
@@ -16,6 +17,6 @@ from presswork.plans import (
 def all_queries():
     out = {}
     for group in (metric_queries, scalar_queries, feed_queries, fetch_queries, event_queries,
-                  article_queries, stream_queries):
+                  article_queries, stream_queries, flow_queries):
         out.update(group.QUERIES)
     return out

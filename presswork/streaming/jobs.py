@@ -7,13 +7,14 @@ batch reads the same previous version and writes the same next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.errors import consumer_retry_delay
 from presswork.operators import bus, feeds, fetching, metrics, routing
-from presswork.plans import article_flow
+from presswork.plans import article_flow, extract_flow, fetch_flow
 from presswork.sources.state import read_deltas, read_version, write_version
+from presswork.streaming import manifest
 from presswork.streaming.runner import run_batches, write_batch
 
 
@@ -166,19 +167,95 @@ def extract_stream(
     and told apart by the folder ``accepted``. Events of sources without
     settings are rejects.
 
-    ``landed`` is partitioned by ingest_date; a batch reads the days it names.
+    ``landed`` is partitioned by ingest_date, which is part of the lookup.
     """
     def extract(batch: DataFrame, batch_id: int) -> None:
-        known = batch.join(settings, "source_id")
-        unknown = batch.join(settings, "source_id", "left_anti").withColumn(
-            "verdict", F.concat(F.lit("unknown source: "), F.coalesce("source_id", F.lit("")))
-        )
-        first, last = batch.agg(F.min("ingest_date"), F.max("ingest_date")).first()
-        near = landed.filter(F.col("ingest_date").between(F.lit(first), F.lit(last)))
-        judged = article_flow.extract_fetched(known, near).unionByName(
-            unknown, allowMissingColumns=True
+        known = batch.join(settings.withColumn("_known", F.lit(True)), "source_id", "left")
+        stopped = F.when(
+            F.col("_known").isNull(),
+            F.concat(F.lit("unknown source: "), F.coalesce("source_id", F.lit(""))),
         )
+        judged = article_flow.extract_fetched(
+            known.withColumn("stopped", stopped).drop("_known"), landed
+        ).drop("stopped")
         shown = judged.withColumn("accepted", F.col("verdict").isNull())
         write_batch(shown, out, batch_id, "accepted")
 
     run_batches(fetched, checkpoint, extract, trigger)
+
+
+def extract_records(
+    records: DataFrame, landed: DataFrame, settings: DataFrame, root: str,
+    observed_at: Column | None = None, registry: DataFrame | None = None,
+    limit: int = article_flow.MAX_INLINE_BYTES, trigger: dict | None = None,
+) -> None:
+    """Framed article_fetched records to extracted events, side payloads, dead letters,
+    retries and retry metrics (sinks of ``root``, read with manifest.committed).
+
+    Records that may succeed later are tried again by the next batch, ahead of which
+    nothing waits: ``attempts`` counts their tries.
+    """
+    at = F.current_timestamp() if observed_at is None else observed_at
+
+    def judge(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        again = manifest.committed(spark, root, "retries", extract_flow.RETRIES).filter(
+            F.col("batch") == batch_id - 1
+        )
+        new = batch.select(*extract_flow.POSITION, "ts", "value", F.lit(0).cast("bigint").alias("attempts"))
+        return extract_flow.judge(
+            new.unionByName(again.select(*new.columns)), landed, settings, at, registry, limit
+        )
+
+    def side(judged: DataFrame, batch_id: int) -> DataFrame:
+        return extract_flow.side_rows(
+            judged, manifest.committed(judged.sparkSession, root, "side", extract_flow.SIDE)
+        )
+
+    manifest.run_judged(records, root, judge, {
+        "events": lambda judged, _: extract_flow.event_rows(judged),
+        "side": side,
+        "dead": lambda judged, _: extract_flow.dead_rows(judged),
+        "retries": lambda judged, _: extract_flow.retry_rows(judged),
+        "metrics": lambda judged, _: extract_flow.metric_rows(judged),
+    }, trigger=trigger)
+
+
+def fetch_requests(
+    records: DataFrame, responses: DataFrame, settings: DataFrame, root: str,
+    observed_at: Column | None = None, registry: DataFrame | None = None, attempts: int = 3,
+    max_bytes: int = 5_000_000, trigger: dict | None = None,
+) -> None:
+    """Framed article_fetch_requested records to landed payloads, fetched events, answers,
+    dead letters, retries and retry metrics (sinks of ``root``), and the state of every
+    article and revision (fetch_flow.states).
+
+    ``responses`` are what the addresses answered (fetch_flow.RESPONSE); requests that may
+    succeed later are tried again by the next batch.
+    """
+    at = F.current_timestamp() if observed_at is None else observed_at
+
+    def judge(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        again = manifest.committed(spark, root, "retries", fetch_flow.RETRIES).filter(
+            F.col("batch") == batch_id - 1
+        )
+        new = batch.select(*fetch_flow.POSITION, "ts", "value", F.lit(0).cast("bigint").alias("attempts"))
+        return fetch_flow.judge(
+            new.unionByName(again.select(*new.columns)),
+            lambda events: fetch_flow.completions(root).read(spark, batch_id - 1, events),
+            settings, responses, at, registry, attempts, max_bytes,
+        )
+
+    def landing(judged: DataFrame, batch_id: int) -> DataFrame:
+        before = manifest.committed(judged.sparkSession, root, "landing", fetch_flow.LANDING)
+        return fetch_flow.landing_rows(judged, before)
+
+    manifest.run_judged(records, root, judge, {
+        "landing": landing,
+        "events": lambda judged, _: fetch_flow.event_rows(judged),
+        "dead": lambda judged, _: fetch_flow.dead_rows(judged),
+        "retries": lambda judged, _: fetch_flow.retry_rows(judged),
+        "metrics": lambda judged, _: fetch_flow.metric_rows(judged),
+        "answers": lambda judged, _: fetch_flow.answer_rows(judged),
+    }, fetch_flow.keep(root), trigger)

@@ -6,6 +6,8 @@ import hashlib
 import json
 from collections import Counter
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -278,6 +280,36 @@ def test_redirects(spark):
     assert got["https://b.test/x"][2] == "outside_domain"
 
 
+def test_redirects_match_plain_walks(spark):
+    """Chains, cycles, dead ends and foreign targets, followed one hop at a time."""
+    rnd = random.Random(6)
+    urls = [f"https://{h}.test/{i}" for i in range(40) for h in ("a", "b")] + ["http://a.test/plain", "https:///x"]
+    table = {u: rnd.choice([*urls, *urls, None, "", "https://c.test/"]) for u in urls if rnd.random() < 0.8}
+    allowed = {"a": (["a.test"], ["b.test"]), "b": (["b.test"], []), "ab": (["a.test", "b.test"], ["c.test"])}
+    verdict = lambda u, own: next((v for bad, v in (
+        (not u.startswith("https:"), "not_https"), ("https:///" in u, "no_host"),
+        (not any(f"//{d}/" in u for d in own), "outside_domain")) if bad), None)
+
+    def walk(url, name, limit):
+        own, more = allowed[name]
+        at, hops, found = url, 0, verdict(url, own)
+        while found is None and at in table:
+            target = table[at]
+            found = "redirect_limit" if hops == limit else "malformed_redirect" if not target else verdict(target, own + more)
+            if found is None:
+                at, hops = target, hops + 1
+        return at, hops, found
+
+    edges = spark.createDataFrame(list(table.items()), "url string, location string")
+    starts = spark.createDataFrame(
+        [(u, n, *allowed[n]) for u in urls for n in allowed],
+        "url string, name string, domains array<string>, redirect_domains array<string>")
+    for limit in (0, 1, 5, 8):
+        got = {(r.url, r.name): (r.final_url, r.hops, r.verdict)
+               for r in fetching.follow_redirects(starts, fetching.redirect_edges(edges), limit).collect()}
+        assert got == {(u, n): walk(u, n, limit) for u in urls for n in allowed}
+
+
 def test_lookup(spark):
     table = spark.createDataFrame(
         [("a", "fetched", 1, 0, 0), ("a", "extracted", 2, 0, 1), ("a", "fetched", 3, 0, 2), ("a", "fetched", 3, 0, 3)],
