@@ -16,6 +16,21 @@ PE = """pe AS (
       ELSE 'other_count' END AS metric_name
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
 
+
+
+def exact_sum(value):
+    """The sum of doubles from 0.001 to 1e6, exact and rounded once: as whole numbers of
+    2**-60, of which all bits a double cannot hold become one sticky bit."""
+    s = f"sum(CAST({value} * 1152921504606846976 AS HUGEINT))"
+
+    def cut(unit):
+        return (f"CAST(CAST({s} // {unit} + CASE WHEN {s} % {unit} > 0 AND ({s} // {unit}) % 2 = 0 THEN 1 ELSE 0 END "
+                f"AS BIGINT) AS DOUBLE) * {unit}")
+
+    return (f"(CASE WHEN {s} < {1 << 62} THEN CAST(CAST({s} AS BIGINT) AS DOUBLE) WHEN {s} < {1 << 70} THEN {cut(1 << 8)} "
+            f"ELSE {cut(1 << 16)} END) / 1152921504606846976")
+
+
 # One row per counter: (day, family, name, source, stage, error class, dims, value).
 COUNTS = PE + """,
 counts AS (
@@ -35,7 +50,7 @@ counts AS (
   UNION ALL
   SELECT CAST(ts AS DATE), 5, CASE metric_name WHEN 'consumer_retry_count' THEN 'ConsumerRetryCount'
       ELSE 'ArticleFetchRetryCount' END, '', '', '',
-    CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE),
+    """ + exact_sum("value") + """,
     '{"errorClass":"' || trim(error_class) || '","service":"' ||
       CASE WHEN k % 10 = 3 THEN 'override' ELSE service END || '","sourceId":"' || source_id || '"}'
   FROM pe WHERE topic_key = 'pipeline_metric' AND metric_name <> 'other_count' GROUP BY ALL

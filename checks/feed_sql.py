@@ -133,6 +133,24 @@ SQL = {
         day || 'T00:00:00.000000Z' AS event_time, run_id, source_id, day AS ingest_date,
         {_ARTICLE} AS article_id, article_url AS requested_url, record_hash AS request_revision
       FROM news""",
+    "feed_state_after_poll": f"""WITH {ITEMS} SELECT source_id, feed_id, feed_item_id,
+        CASE WHEN t.status = 'published' THEN coalesce(c.record_hash, p.record_hash) ELSE p.record_hash END AS record_hash,
+        p.record_hash IS NULL AS is_new
+      FROM hprev p FULL JOIN hcur c USING (source_id, feed_id, feed_item_id) LEFT JOIN status t USING (source_id, feed_id)
+      WHERE p.record_hash IS NOT NULL OR t.status = 'published'""",
+    "feed_checkpoints_after_poll": f"""WITH {ITEMS}, ends AS (SELECT s.*, k.etag AS old_etag, k.last_modified AS old_time,
+          k.events_published, k.source_id IS NOT NULL AS had,
+          CASE WHEN s.known_hash = s.content_hash THEN '2023-12-31' ELSE '2024-02-01' END AS day,
+          {stable_id('rss_run', 's.source_id', 's.feed_id', 's.content_hash')} AS run_id
+        FROM status s LEFT JOIN checkpoints k ON k.source_id = s.source_id AND k.feed_id = s.feed_id)
+      SELECT source_id, feed_id, CASE WHEN status = 'published' THEN content_hash ELSE known_hash END AS content_hash,
+        CASE WHEN status = 'published' THEN day ELSE '2023-12-31' END AS observed_on,
+        status = 'published' OR events_published AS events_published,
+        CASE WHEN status IN ('published', 'unchanged') THEN 'etag-' || source_id ELSE old_etag END AS etag,
+        CASE WHEN status IN ('published', 'unchanged') THEN 'Mon, 01 Jan 2024 00:00:00 GMT' ELSE old_time END AS last_modified,
+        CASE WHEN status = 'published' THEN 'landing/feeds/source_id=' || source_id || '/ingest_date=' || day || '/feed_id='
+          || feed_id || '/run_id=' || run_id END AS payload_uri
+      FROM ends WHERE had OR status = 'published'""",
     "dedupe_by_event_id": f"""WITH {ITEMS} SELECT DISTINCT
         {stable_id('event', "'article.fetch_requested.v3'", _ARTICLE, 'record_hash')} AS event_id,
         {_ARTICLE} AS article_id, record_hash AS request_revision FROM hcur""",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from bisect import bisect_right
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -20,7 +20,6 @@ from presswork.functions import urls
 from presswork.functions.binding import let
 from presswork.functions.dom import Tree
 from presswork.functions.selectors import Selectors, compiled, text_list
-from presswork.operators.ordering import first_per_key
 from presswork.operators.settle import settle
 from presswork.sources.rss import first_in_array
 
@@ -343,21 +342,33 @@ def page_metadata(head: Column) -> Column:
 # --- content -----------------------------------------------------------------
 
 
-def _blocks(found: Column) -> Column:
-    """Text blocks: boilerplate dropped, first of equal texts kept."""
-    every = F.transform(found, lambda b: F.struct(b["type"].alias("type"), tx.norm_text(b["text"]).alias("text")))
-    good = F.filter(every, lambda b: ~tx.block_skip(b["text"]))
+def distinct_blocks(blocks: Column) -> Column:
+    """Blocks (an array of structs with ``text``, normalised) without boilerplate, the
+    first of equal texts kept, with their place in the array and a dense ordinal."""
+    names = ("type", "text")
+    numbered = F.transform(blocks, lambda b, i: F.struct(i.alias("pos"), *[b[n].alias(n) for n in names]))
     keyed = F.transform(
-        good, lambda b, i: F.struct(
-            i.alias("pos"), tx.block_key(b["text"]).alias("key"),
-            b["type"].alias("type"), b["text"].alias("text"))
+        F.filter(numbered, lambda b: ~tx.block_skip(b["text"])),
+        lambda b: F.struct(b["pos"], tx.block_key(b["text"]).alias("key"), *[b[n].alias(n) for n in names]),
     )
     return F.transform(
         first_in_array(keyed, "key"),
-        lambda b, i: F.struct(b["type"].alias("type"), b["text"].alias("text"), i.alias("ordinal")),
+        lambda b, i: F.struct(
+            b["type"].alias("type"), b["text"].alias("text"), i.alias("ordinal"), b["pos"].alias("pos")),
     )
 
 
+def body_text(blocks: Column) -> Column:
+    """The texts of blocks, a blank line between them; null without any."""
+    return F.nullif(F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n"), F.lit(""))
+
+
+def _blocks(found: Column) -> Column:
+    """Text blocks of a page."""
+    every = F.transform(found, lambda b: F.struct(b["type"].alias("type"), tx.norm_text(b["text"]).alias("text")))
+    return F.transform(let(every, distinct_blocks), lambda b: F.struct(b["type"], b["text"], b["ordinal"]))
+
+
 def _images(found: Column, captions: Column) -> Column:
     """Images with their possible URLs, alt text and first valid caption."""
     valid = F.transform(
@@ -458,9 +469,7 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         lambda i, at: F.struct(i["url"].alias("url"), i["alt"].alias("alt"),
                                i["caption"].alias("caption"), at.alias("ordinal")),
     )
-    body = F.nullif(
-        F.array_join(F.transform("content_blocks", lambda b: b["text"]), "\n\n"), F.lit("")
-    )
+    body = body_text(F.col("content_blocks"))
     found = resolved.select(
         *rest, "extraction", "meta", "content_blocks",
         F.coalesce(images, F.array().cast(
@@ -519,24 +528,3 @@ def metadata(pages: DataFrame) -> DataFrame:
 
 _content_of, _homes_of, _shown_of = _of_pages(_content, _CONTENT), _of_pages(_homes, _HOMES), _of_pages(_shown, _SHOWN)
 _head_of = _of_pages(lambda payload, _: _head(Tree(payload)), _HEAD)
-
-
-def dedupe_blocks(blocks: DataFrame, article: str) -> DataFrame:
-    """Blocks as rows (article, pos, text): boilerplate dropped, first of equal
-    texts kept, ordinals dense. Windows span one article."""
-    good = settle(blocks, text=F.col("text"), _key=tx.block_key(F.col("text"))).filter(
-        ~tx.block_skip(F.col("text"))
-    )
-    kept = first_per_key(good, [article, "_key"], ["pos"]).drop("_key")
-    dense = F.row_number().over(Window.partitionBy(article).orderBy("pos")) - 1
-    return kept.withColumn("ordinal", dense)
-
-
-def join_bodies(blocks: DataFrame, article: str) -> DataFrame:
-    """Body text per article: its blocks in order, a blank line between them."""
-    ordered = F.sort_array(F.collect_list(F.struct("ordinal", "text")))
-    return blocks.groupBy(article).agg(ordered.alias("_b")).select(
-        article,
-        F.array_join(F.transform("_b", lambda b: b["text"]), "\n\n").alias("body_text"),
-        F.size("_b").alias("block_count"),
-    )

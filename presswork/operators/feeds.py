@@ -13,7 +13,7 @@ from pyspark.sql import Window
 
 from presswork.functions import ids
 from presswork.functions.text import iso_micros
-from presswork.functions.urls import ascii_host, norm_url, url_host, url_verdict
+from presswork.functions.urls import ascii_host, norm_url, url_host, url_part, url_verdict
 from presswork.operators.ordering import first_per_key
 from presswork.operators.settle import settle
 from presswork.sources.rss import item_valid
@@ -84,15 +84,11 @@ def semantic_hash(hashed: DataFrame) -> DataFrame:
     It covers the item count and the sums of the items' own digests, which combine
     before the shuffle; the same definition holds for feeds of any size.
     """
-    digest = F.sha2(F.concat_ws(":", "feed_item_id", "record_hash"), 256)
-    sums = [
-        F.sum(F.conv(F.substring(digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)"))
-        .alias(f"_s{i}")
-        for i in range(4)
-    ]
-    totals = hashed.groupBy(*FEED).agg(F.count(F.lit(1)).alias("items"), *sums)
-    whole = F.concat_ws(":", "items", *[F.col(f"_s{i}").cast("string") for i in range(4)])
-    return totals.select(*FEED, "items", F.sha2(whole, 256).alias("content_hash"))
+    sums = _digest_sums(F.col("feed_item_id"), F.col("record_hash"))
+    totals = hashed.groupBy(*FEED).agg(
+        F.count(F.lit(1)).alias("items"), *[c.alias(n) for n, c in sums.items()]
+    )
+    return totals.select(*FEED, "items", _digest_of(F.col("items").cast("string")).alias("content_hash"))
 
 
 def diff_items(hashed: DataFrame, remembered: DataFrame) -> DataFrame:
@@ -147,17 +143,83 @@ def retain_items(merged: DataFrame, keep: int | None = MAX_REMEMBERED) -> DataFr
     )
 
 
-def feed_status(
-    responses: DataFrame, counts: DataFrame, hashes: DataFrame, changed: DataFrame,
-    checkpoints: DataFrame, rejected: DataFrame,
-) -> DataFrame:
-    """Outcome of one poll per feed, all inputs one row per feed but ``changed``.
+def poll_items(raw: DataFrame, remembered: DataFrame) -> DataFrame:
+    """One narrow row per item that a poll shows or earlier polls left, and one per feed
+    for all its invalid items (null feed_item_id).
+
+    raw rows of an item are counted (``n``) and its first one in document order gives
+    record_hash, pos and ``origin`` (scheme and host); known_hash is what is remembered.
+    Texts stay behind: only hashes travel.
+    """
+    hashed = with_hashes(classify_items(raw))
+    url = F.col("article_url")
+    origin = F.concat(F.coalesce(url_part(url, "scheme"), F.lit("")), F.lit("://"), F.coalesce(url_host(url), F.lit("")))
+    narrow = hashed.select(
+        *FEED, F.when(F.col("valid"), F.col("feed_item_id")).alias("feed_item_id"),
+        F.when(F.col("valid"), F.struct("pos", "record_hash", origin.alias("origin"))).alias("_row"),
+    )
+    shown = narrow.groupBy(*ITEM).agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("_row"))
+    before = remembered.select(*ITEM, F.col("record_hash").alias("known_hash"))
+    return shown.join(before, ITEM, "full_outer").select(*ITEM, "n", "_row.*", "known_hash")
+
+
+def _digest_sums(feed_item_id: Column, record_hash: Column) -> dict[str, Column]:
+    """Sums that a feed's semantic hash is made of, over its items."""
+    digest = F.sha2(F.concat_ws(":", feed_item_id, record_hash), 256)
+    return {
+        f"_s{i}": F.sum(F.when(
+            record_hash.isNotNull(), F.conv(F.substring(digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")))
+        for i in range(4)
+    }
+
+
+def _digest_of(items: Column) -> Column:
+    """The semantic hash from the item count and the digest sums."""
+    return F.sha2(F.concat_ws(":", items, *[F.col(f"_s{i}").cast("string") for i in range(4)]), 256)
+
+
+def poll_totals(items: DataFrame, domains: DataFrame) -> DataFrame:
+    """Counts, semantic hash and off-domain items of every feed, of poll_items().
+
+    Items are added up per feed and origin first, so domains are compared once per
+    origin and only those outside ASCII go through Python.
+    """
+    changed = F.col("record_hash").isNotNull() & ~F.col("known_hash").eqNullSafe(F.col("record_hash"))
+    valid = F.col("feed_item_id").isNotNull()
+    sums = {
+        "parsed": F.count("record_hash"),
+        "skipped": F.coalesce(F.sum(F.when(~valid, F.col("n"))), F.lit(0)),
+        "duplicates": F.coalesce(F.sum(F.when(valid, F.col("n") - 1)), F.lit(0)),
+        "discovered": F.count_if(changed),
+        **_digest_sums(F.col("feed_item_id"), F.col("record_hash")),
+    }
+    origins = items.groupBy(*FEED, "origin").agg(*[c.alias(n) for n, c in sums.items()])
+    own = domains.withColumn("domain", ascii_host(F.lower("domain")))
+    placed = origins.withColumn("_host", F.substring_index("origin", "://", -1)).join(own, "source_id", "left")
+    plain = F.coalesce(F.col("_host"), F.lit("")).rlike(r"^[\x00-\x7f]*$")
+
+    def judged(rows, host):
+        verdict = url_verdict(F.concat("origin", F.lit("/")), F.array("domain"), host)
+        off = F.when(F.col("origin").isNotNull() & verdict.isNotNull(), F.col("parsed")).otherwise(0)
+        return rows.select(*FEED, *sums, off.alias("off_domain"))
+
+    odd = placed.filter(~plain).withColumn("_host", ascii_host(F.col("_host")))
+    both = judged(placed.filter(plain), F.col("_host")).unionByName(judged(odd, F.col("_host")))
+    added = both.groupBy(*FEED).agg(*[F.sum(c).alias(c) for c in (*sums, "off_domain")])
+    return added.select(
+        *FEED, "parsed", "skipped", "duplicates", "discovered",
+        F.nullif("off_domain", F.lit(0)).alias("off_domain"),
+        F.when(F.col("parsed") > 0, _digest_of(F.col("parsed").cast("string"))).alias("content_hash"),
+    )
+
+
+def poll_outcomes(responses: DataFrame, totals: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """Outcome of one poll per feed, all inputs one row per feed.
 
     not_modified: a 304 that a published checkpoint backs. unchanged: same
     content as the published checkpoint. rejected: an off-domain item. Anything
     else with valid items is published.
     """
-    discovered = changed.groupBy(*FEED).agg(F.count(F.lit(1)).alias("discovered"))
     before = checkpoints.select(
         *FEED, F.col("content_hash").alias("known_hash"),
         F.coalesce("events_published", F.lit(False)).alias("events_published"),
@@ -175,10 +237,7 @@ def feed_status(
     counted = F.col("status").isin("unchanged", "published")
     number = lambda c, when: F.when(when, F.coalesce(c, F.lit(0))).otherwise(0).cast("bigint")
     return (
-        responses.select(*FEED, "status_code")
-        .join(counts, FEED, "left").join(hashes.drop("items"), FEED, "left")
-        .join(discovered, FEED, "left").join(before, FEED, "left")
-        .join(rejected, FEED, "left")
+        responses.select(*FEED, "status_code").join(totals, FEED, "left").join(before, FEED, "left")
         .withColumn("status", status)
         .select(
             *FEED, "status", "content_hash",
@@ -190,6 +249,19 @@ def feed_status(
     )
 
 
+def feed_status(
+    responses: DataFrame, counts: DataFrame, hashes: DataFrame, changed: DataFrame,
+    checkpoints: DataFrame, rejected: DataFrame,
+) -> DataFrame:
+    """poll_outcomes() from single results, all one row per feed but ``changed``."""
+    discovered = changed.groupBy(*FEED).agg(F.count(F.lit(1)).alias("discovered"))
+    totals = (
+        counts.join(hashes.drop("items"), FEED, "full_outer").join(discovered, FEED, "full_outer")
+        .join(rejected, FEED, "full_outer")
+    )
+    return poll_outcomes(responses, totals, checkpoints)
+
+
 def conditional_request(feeds: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Validators to send: only those of a poll whose events were published."""
     usable = F.coalesce("events_published", F.lit(False))

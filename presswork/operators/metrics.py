@@ -7,8 +7,10 @@ and batches are built from that small result.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presswork.functions.dims import (
     clean_dimension,
@@ -96,28 +98,71 @@ def observations(records: DataFrame) -> DataFrame:
     )
 
 
-def _total() -> Column:
-    """Rows without an amount count as one. Ordinary amounts are added exactly, so the
-    order of rows does not show; very large ones as floating point."""
-    amount = F.col("amount")
-    plain = F.abs(amount) < 1e9
-    exact = F.sum(F.when(plain, amount).cast("decimal(38,18)")).cast("double")
-    parts = (F.count_if(amount.isNull()).cast("double"), exact, F.sum(F.when(~plain, amount)))
-    return sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0))
+#: Powers of two that one bin of an exact sum spans, and those the bins' mantissas carry.
+BIN, MANTISSA = 6, 52
+
+
+def _pow2(n: Column) -> Column:
+    return F.pow(F.lit(2.0), n.cast("double"))
+
+
+def _bin(amount: Column) -> Column:
+    """The bin of a finite amount by its exponent; one below where that is in doubt."""
+    return F.when(
+        ~F.isnan(amount) & (F.abs(amount) > 0) & (F.abs(amount) < float("inf")),
+        F.floor((F.floor(F.log2(F.abs(amount))) - 1) / BIN).cast("int"),
+    )
+
+
+def _mantissa(amount: Column, bin_: Column) -> Column:
+    """A finite amount as a whole number of its bin's unit, 2 ** (BIN * bin - MANTISSA).
+
+    Scaling by powers of two loses nothing; it is done in two steps, as the power of the
+    smallest amounts is no double."""
+    shift = F.lit(MANTISSA) - bin_ * BIN
+    half = F.floor(shift / 2)
+    return (amount * _pow2(half) * _pow2(shift - half)).cast("bigint")
+
+
+@F.arrow_udf(T.DoubleType())
+def _folded(bins: pa.Array, plain: pa.Array) -> pa.Array:
+    """The sums of all bins and a count as one double, rounded once."""
+    low = 1200  # below the unit of the lowest bin
+
+    def fold(parts, count):
+        total = sum((int(p["sum"]) << (BIN * p["bin"] - MANTISSA + low) for p in parts or []), count << low)
+        try:
+            return total / (1 << low)
+        except OverflowError:
+            return float("inf") if total > 0 else float("-inf")
+
+    return pa.array([fold(*row) for row in zip(bins.to_pylist(), plain.to_pylist())], pa.float64())
 
 
 def metric_counts(records: DataFrame) -> DataFrame:
     """Counters of every flush window (see _COUNT_KEYS) with their total.
 
+    Records without an amount count as one. Amounts are added exactly, whatever their
+    size and order: as whole numbers per bin of exponents, and the bins of a counter are
+    folded and rounded once. Amounts that are no finite numbers are added as they are.
     Works on streams too: give the event time a watermark before its window is
     taken, and closed windows come out in append mode.
     """
-    return (
-        observations(records)
-        .groupBy(*_COUNT_KEYS)
-        .agg(_total().alias("value"))
-        .select(F.col("window.start").alias("window_start"), *_COUNT_KEYS[1:], "value")
+    seen = observations(records).withColumn("bin", _bin(F.col("amount")))
+    stray = F.isnan("amount") | (F.abs("amount") == float("inf"))
+    binned = seen.groupBy(*_COUNT_KEYS, "bin").agg(
+        F.count_if(F.col("amount").isNull()).alias("plain"),
+        F.sum(F.when(F.col("bin").isNotNull(), _mantissa(F.col("amount"), F.col("bin"))).cast("decimal(20,0)")).alias("sum"),
+        F.sum(F.when(stray, F.col("amount"))).alias("stray"),
+    )
+    filled = F.when(F.col("bin").isNotNull(), F.struct("bin", "sum"))
+    whole = binned.groupBy(*_COUNT_KEYS).agg(
+        F.sum("plain").alias("plain"), F.collect_list(filled).alias("bins"), F.sum("stray").alias("stray")
     )
+    value = F.when(F.col("stray").isNotNull(), F.col("stray")).when(
+        F.size("bins") == 0, F.col("plain").cast("double")
+    ).otherwise(_folded(F.col("bins"), F.col("plain")))
+    return whole.select(F.col("window.start").alias("window_start"), *_COUNT_KEYS[1:], value.alias("value"))
 
 
 def _point(frame: DataFrame, family: Column, name: Column) -> DataFrame:

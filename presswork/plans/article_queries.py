@@ -222,26 +222,36 @@ def caption_validity(spark, folder):
     )
 
 
+def _line_blocks(spark, folder):
+    """documents with their lines as deduplicated blocks, every document in its row."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(
+        F.lit("paragraph").alias("type"), text.norm_text(x).alias("text")))
+    docs = spread_table(spark, folder, "documents").select("doc_id", lines.alias("lines"))
+    return docs.select("doc_id", E.distinct_blocks(F.col("lines")).alias("blocks"))
+
+
 def block_dedupe(spark, folder):
-    return E.dedupe_blocks(_lines(spark, folder), "doc_id").select("doc_id", "pos", "ordinal", "text")
+    return _line_blocks(spark, folder).select("doc_id", F.inline("blocks")).select(
+        "doc_id", "pos", "ordinal", "text"
+    )
 
 
 def json_body_join(spark, folder):
-    blocks = E.dedupe_blocks(_lines(spark, folder), "doc_id")
-    return E.join_bodies(blocks, "doc_id").select("doc_id", "body_text", "block_count")
+    bodies = _line_blocks(spark, folder).filter(F.size("blocks") > 0)
+    return bodies.select(
+        "doc_id", E.body_text(F.col("blocks")).alias("body_text"), F.size("blocks").alias("block_count")
+    )
 
 
 def content_quality_reject(spark, folder):
     """Deduped lines of each document judged against tight settings."""
-    bodies = E.join_bodies(E.dedupe_blocks(_lines(spark, folder), "doc_id"), "doc_id")
-    every = table(spark, folder, "documents").select("doc_id").join(bodies, "doc_id", "left")
+    bodies = _line_blocks(spark, folder).select("doc_id", "blocks", E.body_text(F.col("blocks")).alias("body_text"))
     cfg = F.struct(
         F.array(F.lit("the "), F.lit("und ")).alias("markers"),
         F.lit(200).alias("min_text_chars"), F.lit(2).alias("min_blocks"),
     )
-    blocks = F.array_repeat(F.lit(1), F.coalesce("block_count", F.lit(0)))
-    return every.select(
-        "doc_id", E.content_rejection(F.col("body_text"), blocks, cfg).alias("reason")
+    return bodies.select(
+        "doc_id", E.content_rejection(F.col("body_text"), F.col("blocks"), cfg).alias("reason")
     )
 
 

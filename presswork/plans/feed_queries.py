@@ -150,6 +150,19 @@ def fetch_requests_build(spark, folder):
     return asked.withColumn("ingest_date", F.col("ingest_date").cast("string"))
 
 
+def feed_state_after_poll(spark, folder):
+    """The items remembered once the poll is over."""
+    return scan(spark, folder).items.select(*X.ITEM, "record_hash", "is_new")
+
+
+def feed_checkpoints_after_poll(spark, folder):
+    kept = scan(spark, folder).checkpoints
+    return kept.select(
+        *X.FEED, "content_hash", F.date_format("observed_at", "yyyy-MM-dd").alias("observed_on"),
+        "events_published", "etag", "last_modified", "payload_uri",
+    )
+
+
 def dedupe_by_event_id(spark, folder):
     """Every request sent twice, as a retry would; ids tell the copies apart."""
     asked = X.fetch_requests(
@@ -168,5 +181,6 @@ QUERIES = {
         feed_item_diff, feed_semantic_hash, feed_change_status, feed_run_rollup,
         conditional_request, first_wins_dedupe, item_map_merge, checkpoint_retention,
         checkpoint_upsert, discovery_events_build, fetch_requests_build, dedupe_by_event_id,
+        feed_state_after_poll, feed_checkpoints_after_poll,
     )
 }

@@ -33,26 +33,33 @@ def scan_feeds(
     remembered: item hashes of earlier polls. checkpoints: content_hash,
     observed_at, events_published, etag and last_modified per feed.
     """
-    classified = X.classify_items(raw)
-    # Hashed before the dedupe: what only needs hashes then shuffles no text.
-    hashed = X.dedupe_items(X.with_hashes(classified.filter("valid")))
-    hashes = X.semantic_hash(hashed)
-    changed = X.diff_items(hashed, remembered)
-    outcomes = X.feed_status(
-        responses, X.item_counts(classified), hashes, changed, checkpoints,
-        X.off_domain_feeds(hashed, domains),
-    )
-    published = outcomes.filter(F.col("status") == "published").select(*X.FEED)
-    seen = X.observed_at(hashes, checkpoints, now).join(published, X.FEED, "left_semi")
-    seen = seen.withColumn(
+    # Items are matched once, by hash, with what is remembered of them; counts, hash,
+    # off-domain items and news of a feed are sums over the result.
+    items = X.poll_items(raw, remembered)
+    totals = X.poll_totals(items, domains)
+    outcomes = X.poll_outcomes(responses, totals, checkpoints)
+    published = outcomes.filter(F.col("status") == "published").select(*X.FEED, "content_hash")
+    seen = X.observed_at(published, checkpoints, now).withColumn(
         "payload_uri", feed_payload_uri(F.col("source_id"), F.col("feed_id"),
                                         F.to_date("observed_at"), F.col("run_id"))
     )
-    news = changed.join(seen.drop("content_hash"), X.FEED).withColumn(
-        "category", F.lit("news") if category is None else category
+    changed = items.filter(
+        F.col("record_hash").isNotNull() & ~F.col("known_hash").eqNullSafe(F.col("record_hash"))
+    ).select(*X.ITEM, "known_hash").join(seen.drop("content_hash"), X.FEED)
+    # only now the texts, of the items that are news
+    texts = X.dedupe_items(X.with_hashes(X.classify_items(raw).filter("valid")))
+    news = texts.join(changed, X.ITEM).withColumns({
+        "change": F.when(F.col("known_hash").isNull(), F.lit("new")).otherwise("changed"),
+        "category": F.lit("news") if category is None else category,
+    })
+    fresh = items.filter(F.col("feed_item_id").isNotNull()).join(
+        published.select(*X.FEED, F.lit(True).alias("_new")), X.FEED, "left"
+    ).withColumn("record_hash", F.when(F.col("_new"), F.col("record_hash")))
+    merged = fresh.filter(F.coalesce("record_hash", "known_hash").isNotNull()).select(
+        *X.ITEM, F.coalesce("record_hash", "known_hash").alias("record_hash"),
+        F.col("known_hash").isNull().alias("is_new"), "pos",
     )
-    current = hashed.join(published, X.FEED, "left_semi")
-    state = X.retain_items(X.merge_items(remembered, current), keep)
+    state = X.retain_items(merged, keep)
     old = [c for c in ("content_hash", "observed_at", "events_published", "etag", "last_modified",
                        "payload_uri") if c in checkpoints.columns]
     # Only an accepted poll brings new validators: a rejected, empty or 304 answer, or

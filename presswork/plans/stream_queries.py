@@ -11,7 +11,6 @@ from presswork.plans.article_queries import fetched_pages, site_config
 from presswork.plans.metric_queries import day, metric_records
 from presswork.operators.extraction import compile_config
 from presswork.sources import carriers as C
-from presswork.sources.state import read_latest
 from presswork.sources.tables import stream_events
 from presswork.session import new_run_folder
 from presswork.streaming import jobs
@@ -59,7 +58,8 @@ def stream_retry_state(spark, folder):
         *jobs.RETRY_KEY, F.col("event_id").alias("seq"), "route"
     )
     jobs.retry_state_stream(tries, root, checkpoint)
-    return read_latest(spark, root, jobs.RETRY_STATE)
+    state = jobs.retry_runs(root)
+    return state.read(spark, state.latest(spark))
 
 
 def stream_feed_diff(spark, folder):

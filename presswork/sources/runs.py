@@ -28,16 +28,21 @@ WRITTEN = f"{SEQ} bigint, {GONE} boolean"
 
 @dataclass(frozen=True)
 class KeyedRuns:
-    """State below ``root``: ``schema`` holds the key columns and the values."""
+    """State below ``root``: ``schema`` holds the key columns and the values.
+
+    ``group``: the leading key columns that buckets are made of, for readers that look
+    whole groups up (all items of some feeds); by default the whole key.
+    """
 
     root: str
     keys: tuple[str, ...]
     schema: str
     buckets: int = 16
     fan: int = 4
+    group: tuple[str, ...] = ()
 
     def _bucket(self):
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(*(self.group or self.keys)), F.lit(self.buckets)).cast("int")
 
     def _run_folder(self, level: int, run: int) -> str:
         return f"{self.root}/runs/run_level={level}/run_number={run:012d}"
@@ -71,11 +76,12 @@ class KeyedRuns:
         return rows.groupBy(BUCKET, *self.keys).agg(newest).select(BUCKET, *self.keys, "_newest.*")
 
     def read(self, spark: SparkSession, version: int, of: DataFrame | None = None) -> DataFrame:
-        """The state at a version, or its rows for the keys of ``of``."""
+        """The state at a version, or its rows for the keys (or groups) of ``of``."""
         rows = self._rows(spark, self.live(spark, version))
         if of is not None:
-            wanted = of.select(*self.keys).distinct().withColumn(BUCKET, self._bucket())
-            rows = rows.join(wanted, [BUCKET, *self.keys], "left_semi")
+            on = [c for c in self.keys if c in of.columns]
+            wanted = of.select(*on).distinct().withColumn(BUCKET, self._bucket())
+            rows = rows.join(wanted, [BUCKET, *on], "left_semi")
         names = spark.createDataFrame([], self.schema).columns
         return self._newest(rows).filter(~F.col(GONE)).select(*names)
 

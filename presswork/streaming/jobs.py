@@ -1,8 +1,8 @@
 """Streaming jobs: the batch operators applied to micro-batches.
 
-State that has to outlive a batch sits in keyed state tables (sources.state),
-versioned by batch id, so any executor can be lost at any time and a repeated
-batch reads the same previous version and writes the same next one.
+State that has to outlive a batch sits in keyed runs (sources.runs), versioned by
+batch id, so any executor can be lost at any time and a repeated batch reads the
+same previous version and writes the same next one.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from presswork.functions.errors import consumer_retry_delay
 from presswork.operators import bus, feeds, fetching, metrics, routing
 from presswork.plans import article_flow, extract_flow, fetch_flow
-from presswork.sources.state import read_deltas, read_version, write_version
+from presswork.sources.runs import KeyedRuns
 from presswork.streaming import manifest
 from presswork.streaming.runner import run_batches, write_batch
 
@@ -104,13 +104,28 @@ def retry_attempts(state: DataFrame, tries: DataFrame) -> DataFrame:
     )
 
 
+def retry_runs(root: str) -> KeyedRuns:
+    """Open attempts per record."""
+    return KeyedRuns(root, tuple(RETRY_KEY), RETRY_STATE)
+
+
+def changed_rows(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """What turns the looked-up rows ``before`` into ``after``, for KeyedRuns.write."""
+    ended = before.join(after.select(*keys), keys, "left_anti").withColumn("gone", F.lit(True))
+    new = after.select(*before.columns).subtract(before)
+    return new.withColumn("gone", F.lit(False)).unionByName(ended)
+
+
 def retry_state_stream(
     tries: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> None:
-    """Keeps the attempts table up to date, one version per batch."""
+    """Keeps the open attempts per record (retry_runs) up to date: a batch reads and
+    writes the records it has tries of."""
+    state = retry_runs(root)
+
     def update(batch: DataFrame, batch_id: int) -> None:
-        state = read_version(batch.sparkSession, root, batch_id - 1, RETRY_STATE)
-        write_version(retry_attempts(state, batch), root, batch_id)
+        before = state.read(batch.sparkSession, batch_id - 1, batch)
+        state.write(changed_rows(before, retry_attempts(before, batch), RETRY_KEY), batch_id)
 
     run_batches(tries, checkpoint, update, trigger)
 
@@ -122,13 +137,17 @@ def feed_diff_stream(
     items: DataFrame, root: str, out: str, checkpoint: str, keep: int | None = None,
     trigger: dict | None = None,
 ) -> None:
-    """New and changed items of every poll against what earlier polls saw."""
+    """New and changed items of every poll against what earlier polls saw. A batch reads
+    the remembered items of its feeds and writes those that changed."""
+    state = KeyedRuns(root, tuple(feeds.ITEM), ITEM_STATE, group=tuple(feeds.FEED))
+
     def diff(batch: DataFrame, batch_id: int) -> None:
-        before = read_version(batch.sparkSession, root, batch_id - 1, ITEM_STATE)
+        before = state.read(batch.sparkSession, batch_id - 1, batch.select(*feeds.FEED))
         current = feeds.with_hashes(batch)
         write_batch(feeds.diff_items(current, before).drop("known_hash"), out, batch_id)
         after = feeds.retain_items(feeds.merge_items(before, current), keep)
-        write_version(after.select(*feeds.ITEM, "record_hash"), root, batch_id)
+        after = after.select(*feeds.ITEM, "record_hash")
+        state.write(changed_rows(before, after, feeds.ITEM), batch_id)
 
     run_batches(items, checkpoint, diff, trigger)
 
@@ -140,16 +159,17 @@ def completion_stream(
     requests: DataFrame, root: str, out: str, checkpoint: str, trigger: dict | None = None
 ) -> None:
     """First request per (article, revision) is processed; later ones answer
-    already_processed. The state is insert-only: a batch adds its own firsts."""
+    already_processed. For fetches with an outcome see fetch_requests."""
+    state = KeyedRuns(root, tuple(fetching.COMPLETION), COMPLETION_STATE)
+
     def complete(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = read_deltas(spark, root, batch_id, COMPLETION_STATE)
+        done = state.read(spark, batch_id - 1, batch)
         firsts = fetching.new_fetches(batch, done).select(
             *fetching.COMPLETION, F.col("event_id").alias("completed_by")
         )
-        write_version(firsts, root, batch_id)
-        state = read_deltas(spark, root, batch_id + 1, COMPLETION_STATE)
-        answered = batch.join(state, fetching.COMPLETION).withColumn(
+        state.write(firsts, batch_id)
+        answered = batch.join(state.read(spark, batch_id, batch), fetching.COMPLETION).withColumn(
             "status",
             F.when(F.col("completed_by") == F.col("event_id"), F.lit("published"))
             .otherwise("already_processed"),
