@@ -17,6 +17,7 @@ addressed AS (SELECT *, 'landing/articles/source_id=' || source_id || '/ingest_d
     || '/article_id=' || article_id || '/source_document_id=' || source_document_id AS payload_uri
   FROM fetched)"""
 
+# Texts of challenge and error pages.
 _MARKERS = (
     "<title>just a moment", "checking your browser before accessing",
     "/cdn-cgi/challenge-platform/", "cf-chl-", "__jsl_clearance", "<title>access denied</title>",

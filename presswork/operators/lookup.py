@@ -24,7 +24,7 @@ def lookup_id(article_id: str | None, url: str | None) -> Column:
     if article_id:
         return F.lit(article_id)
     if not url:
-        raise ValueError("article_id or url is required")
+        raise ValueError("a lookup needs an id or an address")
     return ids.article_id(urls.norm_url(F.lit(url)))
 
 

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Where a local session without spark.checkpoint.dir, which cannot be set later, keeps its files.
+OWN_FOLDER = "spark.presswork.folder"
+
+
 def local_session(cpus: int | str = 8, name: str = "presswork") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     return (
@@ -37,10 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="presswork-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get(OWN_FOLDER, None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="presswork-")
+        spark.conf.set(OWN_FOLDER, folder)
     return folder
 
 
