@@ -15,3 +15,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     would even run once per array element. A one-element transform binds it.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def _literal(value: str | int | bool) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower()
+
+
+def literal_array(values) -> Column:
+    """An array of fixed texts, numbers or flags, made in one call."""
+    return F.expr(f"array({', '.join(map(_literal, values))})")
+
+
+def literal_map(pairs) -> Column:
+    """A map of fixed keys and values, made in one call."""
+    return F.expr(f"map({', '.join(_literal(x) for pair in pairs for x in pair)})")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presswork.functions.binding import literal_map
+
 # Stage -> does an untyped failure in it get retried?
 STAGES = {
     "config_load": False,
@@ -32,7 +34,7 @@ STAGES = {
 
 def stage_retryable(stage: Column) -> Column:
     """Default retry flag of a stage; unknown stages are not retried."""
-    flags = F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv])
+    flags = literal_map(STAGES.items())
     return F.coalesce(F.try_element_at(flags, stage), F.lit(False))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.functions.binding import let
+from presswork.functions.binding import let, literal_array, literal_map
 
 # Python's str whitespace: Unicode White_Space plus the four separators.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -112,8 +112,8 @@ def rfc2822_datetime(value: Column) -> Column:
     a date without a usable zone counts as UTC.
     """
 
-    months = F.array(*[F.lit(m) for m in MONTHS])
-    zones = F.create_map(*[F.lit(x) for kv in RFC2822_ZONES.items() for x in kv])
+    months = literal_array(MONTHS)
+    zones = literal_map(RFC2822_ZONES.items())
 
     def year(p):
         number = p.try_cast("int")
@@ -183,11 +183,15 @@ def iso_datetime(value: Column) -> Column:
     )
 
 
+def first_datetime(values: Column) -> Column:
+    """First readable date of an array of candidates, ISO before RFC 2822."""
+    read = F.transform(values, lambda v: F.coalesce(iso_datetime(v), rfc2822_datetime(v)["at"]))
+    return F.get(F.array_compact(read), F.lit(0))
+
+
 def article_datetime(*values: Column) -> Column:
-    """First readable date among several candidates, ISO before RFC 2822."""
-    return F.coalesce(
-        *[F.coalesce(iso_datetime(v), rfc2822_datetime(v)["at"]) for v in values]
-    )
+    """first_datetime() of several columns."""
+    return first_datetime(F.array(*values))
 
 
 def iso_micros(ts: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions import frames
+from presswork.functions.binding import literal_array, literal_map
 from presswork.functions.dims import event_dimensions
 from presswork.functions.ids import stable_id
 from presswork.functions.text import iso_micros
@@ -50,7 +51,7 @@ TOPIC_PREFIX = "news."
 
 
 def _literal_map(pairs) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+    return literal_map(pairs)
 
 
 def topic_name(topic_key: Column) -> Column:
@@ -71,7 +72,7 @@ def required_fields(version: Column) -> Column:
     pairs = [
         x
         for name, fields in REQUIRED_FIELDS.items()
-        for x in (F.lit(name), F.array(*[F.lit(f) for f in fields]))
+        for x in (F.lit(name), literal_array(fields))
     ]
     return F.try_element_at(F.create_map(*pairs), version)
 

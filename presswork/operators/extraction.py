@@ -477,7 +477,6 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         body.alias("body"),
     )
     fallback = F.when(~F.col("require_canonical"), F.col("fallback_url"))
-    dates = [F.get("meta.dates", F.lit(i)) for i in range(4)]
     return settle(
         found,
         rejection_reason=content_rejection(
@@ -489,7 +488,7 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         tx.clean_title(F.col("meta.title")).alias("title"),
         F.col("meta.summary").alias("summary"),
         F.col("meta.author").alias("author"),
-        tx.article_datetime(*dates).alias("published_at"),
+        tx.first_datetime(F.col("meta.dates")).alias("published_at"),
         "content_blocks", "images",
         F.when(F.col("rejection_reason").isNull(), F.col("body")).alias("body_text"),
         "rejection_reason",

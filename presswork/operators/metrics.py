@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presswork.functions.binding import literal_map
 from presswork.functions.dims import (
     clean_dimension,
     clean_dimensions,
@@ -46,7 +47,7 @@ def flush_window(ts: Column, interval: str = "1 day") -> Column:
 
 def rename_metrics(observed: DataFrame) -> DataFrame:
     """Keeps the metrics that are published and gives them their public name."""
-    names = F.create_map(*[F.lit(x) for kv in METRIC_NAMES.items() for x in kv])
+    names = literal_map(METRIC_NAMES.items())
     return observed.withColumn("metric_name", F.try_element_at(names, "metric_name")).filter(
         F.col("metric_name").isNotNull()
     )
@@ -60,7 +61,7 @@ def observations(records: DataFrame) -> DataFrame:
     that do not apply to a topic may be null.
     """
     topic = F.col("topic_key")
-    names = F.create_map(*[F.lit(x) for kv in METRIC_NAMES.items() for x in kv])
+    names = literal_map(METRIC_NAMES.items())
     observed_name = F.try_element_at(names, "metric_name")
     is_dlq, is_metric = topic == "dlq", topic == "pipeline_metric"
     family = (

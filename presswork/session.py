@@ -28,6 +28,9 @@ def local_session(cpus: int | str = 8, name: str = "presswork") -> SparkSession:
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.presswork.spread", str(cpus))
+        # plans are built in many small calls; their call sites are not asked for
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
 

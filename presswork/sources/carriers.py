@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions import text, urls
+from presswork.functions.binding import literal_array, literal_map
 from presswork.functions.frames import frame
 from presswork.sources.tables import events, spread_table, table
 
@@ -24,7 +25,7 @@ TOPIC_BY_EVENT_TYPE = {
 
 def pick(index: Column, *values: str) -> Column:
     """values[index] as a Column, cycling."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+    return F.element_at(literal_array(values), (index % len(values) + 1).cast("int"))
 
 
 def bus_events(spark: SparkSession, folder: str, *topics: str) -> DataFrame:
@@ -43,7 +44,7 @@ def bus_events(spark: SparkSession, folder: str, *topics: str) -> DataFrame:
 
 def as_bus_events(rows: DataFrame) -> DataFrame:
     """Batch or streaming rows of events as bus records."""
-    topics = F.create_map(*[F.lit(x) for kv in TOPIC_BY_EVENT_TYPE.items() for x in kv])
+    topics = literal_map(TOPIC_BY_EVENT_TYPE.items())
     k = F.get_json_object("props", "$.k").cast("int")
     return rows.select(
         "event_id",
@@ -271,7 +272,7 @@ def crawl_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def as_crawl_log(pe: DataFrame) -> DataFrame:
     status = F.element_at(
-        F.array(*[F.lit(s) for s in (200, 200, 200, 304, 404, 408, 425, 428, 429, 500, 503)]),
+        literal_array((200, 200, 200, 304, 404, 408, 425, 428, 429, 500, 503)),
         (F.col("k") % 11 + 1).cast("int"),
     )
     return pe.select(
