@@ -2,6 +2,8 @@
 
 from checks.article_sql import TEXT, _clean
 from checks.duck_views import stable_id, url_host
+from checks.event_sql import _AT, _ROUTED
+from checks.event_sql import SQL as EVENT_SQL
 from checks.fetch_sql import _MARKER_LIST, PAGES
 
 _BODY = """'{"article_id":"' || article_id || '","content_hash":' ||
@@ -113,6 +115,16 @@ again AS (SELECT *, unnest(CASE WHEN o[3] LIKE 'not_https%' OR o[2] = 'ValueErro
     WHEN digit = 6 THEN [['TransportError', NULL]] ELSE [] END) AS t FROM fetches)"""
 
 SQL = {
+    "route_flow_dead_letters": f"""WITH {_ROUTED} SELECT 'news.dlq.v1' AS schema_version,
+        {stable_id('event', "'news.dlq.v1'", "'news.article_fetch_requested'", 'user_id % 3', 'event_id',
+                   "'HTTPStatusError'", "'status ' || status")} AS event_id, {_AT} AS event_time,
+        'news.article_fetch_requested' AS source_topic, CAST(user_id % 3 AS INTEGER) AS source_partition,
+        event_id AS source_offset, 'HTTPStatusError' AS error_class, 'status ' || status AS error_message,
+        '{{"failed_event":{{"encoding":"json","value":{{"event_id":' || event_id
+          || '}}}},"service":"fetcher","stage":"article_fetch"}}' AS payload FROM routed WHERE route = 'dlq'""",
+    "route_flow_retry_metrics": EVENT_SQL["retry_metric_emit"],
+    "route_flow_sinks": f"""WITH {_ROUTED} SELECT event_id AS "offset", CASE route WHEN 'ok' THEN 'accepted'
+        WHEN 'dlq' THEN 'dead' WHEN 'retry' THEN 'retries' ELSE 'parked' END AS sink FROM routed""",
     "fetch_flow_answers": f"""WITH {_FETCH}, rows AS (
         SELECT *, CAST(0 AS BIGINT) AS batch, CAST(2 * page_id AS BIGINT) AS "offset", CAST(1 AS BIGINT) AS attempts,
           'published' AS won FROM ended

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.operators import bus
+from presswork.operators import bus, dlq
 
 ROUTES = ("ok", "dlq", "retry", "stop")
 
@@ -32,6 +32,17 @@ def with_route(records: DataFrame) -> DataFrame:
     )
 
 
+def dead_letters(routed: DataFrame, service: str) -> DataFrame:
+    """Dead letters of the records routed there.
+
+    routed: topic, partition, offset, value, error, route, observed_at."""
+    failures = routed.filter(F.col("route") == "dlq").select(
+        F.col("topic").alias("source_topic"), F.col("partition").alias("source_partition"),
+        F.col("offset").alias("source_offset"), "value", "error.*", "observed_at",
+    )
+    return dlq.dlq_events(failures, F.lit(service), F.col("observed_at"))
+
+
 def retry_metrics(retried: DataFrame, metric_name: str, service: Column) -> DataFrame:
     """One metric event per retried record.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.errors import error_struct
-from presswork.operators import bus, dlq, routing
+from presswork.operators import bus, routing
 from presswork.operators.records import POSITION, RECORD, decoded_events, failed, with_source
 from presswork.plans import article_flow
 from presswork.sources.landing import absent_payloads
@@ -91,11 +91,7 @@ def side_rows(judged: DataFrame, before: DataFrame) -> DataFrame:
 
 def dead_rows(judged: DataFrame) -> DataFrame:
     """Dead letters of records that can never succeed."""
-    failures = judged.filter("route = 'dlq'").select(
-        F.col("topic").alias("source_topic"), F.col("partition").alias("source_partition"),
-        F.col("offset").alias("source_offset"), "value", "error.*", "observed_at",
-    )
-    return dlq.dlq_events(failures, F.lit(SERVICE), F.col("observed_at"))
+    return routing.dead_letters(judged, SERVICE)
 
 
 def retry_rows(judged: DataFrame) -> DataFrame:

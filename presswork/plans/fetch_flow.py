@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions import errors, frames
-from presswork.operators import bus, dlq, fetching, routing
+from presswork.operators import bus, fetching, routing
 from presswork.operators.ordering import first_per_key
 from presswork.operators.records import POSITION, RECORD, decoded_events, failed, with_source
 from presswork.operators.screening import document_verdict, size_verdict
@@ -189,11 +189,7 @@ def event_rows(judged: DataFrame) -> DataFrame:
 
 
 def dead_rows(judged: DataFrame) -> DataFrame:
-    failures = judged.filter("route = 'dlq'").select(
-        F.col("topic").alias("source_topic"), F.col("partition").alias("source_partition"),
-        F.col("offset").alias("source_offset"), "value", "error.*", "observed_at",
-    )
-    return dlq.dlq_events(failures, F.lit(SERVICE), F.col("observed_at"))
+    return routing.dead_letters(judged, SERVICE)
 
 
 def retry_rows(judged: DataFrame) -> DataFrame:

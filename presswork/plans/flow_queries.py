@@ -11,10 +11,12 @@ from presswork.functions.frames import canonical_json, frame
 from presswork.operators.extraction import compile_config
 from presswork.plans import extract_flow, fetch_flow
 from presswork.plans.article_queries import now, site_config
+from presswork.plans.event_queries import as_consumed
 from presswork.plans.fetch_queries import sites
 from presswork.session import new_run_folder
 from presswork.sources import carriers as C
 from presswork.sources.landing import article_payload_uri
+from presswork.sources.tables import stream_events
 from presswork.streaming import jobs, manifest
 
 #: Bytes an extracted event may have on the bus here, so that many pages exceed it.
@@ -206,10 +208,40 @@ def fetch_flow_retry_metrics(spark, folder):
     return metrics.groupBy("metric_name", "dimensions").agg(F.count(F.lit(1)).alias("observations"))
 
 
+@_once
+def _routed(spark, folder):
+    """Runs the routing job over the crawl log, as records whose body is their number."""
+    root = new_run_folder(spark, "route-flow")
+    log = as_consumed(C.as_crawl_log(C.as_bus_events(stream_events(spark, folder)))).drop("observed_at")
+    body = frame(F.lit(1), F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit("}")))
+    jobs.route_records(log.withColumn("value", body), root, "fetcher", F.col("ts"), park_unclaimed=True)
+    return root
+
+
+def route_flow_dead_letters(spark, folder):
+    return manifest.committed(spark, _routed(spark, folder), "dead", extract_flow.DEAD).drop("batch")
+
+
+def route_flow_retry_metrics(spark, folder):
+    return manifest.committed(spark, _routed(spark, folder), "metrics", extract_flow.METRICS).drop("batch")
+
+
+def route_flow_sinks(spark, folder):
+    """Records by the sink they ended in."""
+    root, schema = _routed(spark, folder), "topic string, offset bigint"
+    rows = [
+        manifest.committed(spark, root, sink, schema).select("offset", F.lit(sink).alias("sink"))
+        for sink in ("accepted", "retries", "parked")
+    ]
+    dead = manifest.committed(spark, root, "dead", extract_flow.DEAD).select(
+        F.col("source_offset").alias("offset"), F.lit("dead").alias("sink"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(dead)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         extract_flow_events, extract_flow_side_payloads, extract_flow_dead_letters, extract_flow_retries,
-        fetch_flow_answers, fetch_flow_events, fetch_flow_landing, fetch_flow_states, fetch_flow_retry_metrics,
+        route_flow_dead_letters, route_flow_retry_metrics, route_flow_sinks, fetch_flow_answers, fetch_flow_events, fetch_flow_landing, fetch_flow_states, fetch_flow_retry_metrics,
     )
 }

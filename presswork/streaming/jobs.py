@@ -72,6 +72,42 @@ def route_stream(
     run_batches(records, checkpoint, split, trigger)
 
 
+def route_records(
+    records: DataFrame, root: str, service: str, observed_at: Column | None = None,
+    park_unclaimed: bool = False, trigger: dict | None = None,
+) -> None:
+    """Processed records to what becomes of them: accepted ones, dead letters, records to
+    be tried again with their retry metrics, and parked ones (sinks of ``root``, shown
+    together).
+
+    records: topic, partition, offset, value, source_id, error, untyped. An unclaimed
+    error stops the stream before anything of its batch is shown, unless
+    ``park_unclaimed`` sets it aside; the batch is judged once in either case.
+    """
+    at = F.current_timestamp() if observed_at is None else observed_at
+
+    def judge(batch: DataFrame, batch_id: int) -> DataFrame:
+        return routing.with_route(batch.withColumn("observed_at", at))
+
+    def parked(judged: DataFrame, batch_id: int) -> DataFrame:
+        stray = judged.filter("route = 'stop'")
+        if not park_unclaimed and not stray.isEmpty():
+            raise StreamStopped(f"unclaimed errors in batch {batch_id}")
+        return stray
+
+    def metric_rows(judged: DataFrame, batch_id: int) -> DataFrame:
+        emitted = routing.retry_metrics(judged.filter("route = 'retry'"), "consumer_retry_count", F.lit(service))
+        return emitted.withColumn("dimensions", F.to_json("dimensions"))
+
+    manifest.run_judged(records, root, judge, {
+        "parked": parked,
+        "accepted": lambda judged, _: judged.filter("route = 'ok'"),
+        "dead": lambda judged, _: routing.dead_letters(judged, service),
+        "retries": lambda judged, _: judged.filter("route = 'retry'"),
+        "metrics": metric_rows,
+    }, trigger=trigger)
+
+
 RETRY_KEY = ["topic", "partition", "offset"]
 RETRY_STATE = "topic string, partition int, offset bigint, attempts bigint, delay_seconds double"
 

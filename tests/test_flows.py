@@ -93,7 +93,7 @@ def test_extraction_survives_kills_and_retries(spark, monkeypatch):
     for root in (calm, hurt):
         records(spark, f"{root}/in", "news.article_fetched", *events)
     extraction(spark, calm, landed)
-    for step in ("judged", "side", "visible"):
+    for step in ("side", "visible"):
         with monkeypatch.context() as patch:
             die_at(patch, step)
             with pytest.raises(Exception, match=f"killed at {step}"):
@@ -215,3 +215,25 @@ def test_keyed_runs_match_a_dictionary(spark):
     whole = KeyedRuns(new_run_folder(spark, "whole"), state.keys, state.schema)
     whole.write(spark.createDataFrame([(*k, *v) for k, v in want.items()], state.schema), 0)
     assert read(whole.read(spark, 0)) == want
+
+
+def test_unclaimed_errors_stop_before_anything_is_shown(spark):
+    from presswork.functions.errors import error_struct
+
+    root = new_run_folder(spark, "routes")
+    rows = spark.createDataFrame(
+        [(1, "ok"), (2, "retry"), (3, "dlq"), (4, "stray")], "offset bigint, kind string")
+    rows.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), "offset", "kind").write.parquet(f"{root}/in")
+    source = spark.readStream.schema("topic string, partition int, offset bigint, kind string").parquet(f"{root}/in")
+    error = error_struct(F.lit("article_fetch"), F.lit("E"), F.lit("m"), F.col("kind") == "retry")
+    consumed = source.select(
+        "topic", "partition", "offset", frame(F.lit(1), F.lit("{}")).alias("value"), F.lit("s").alias("source_id"),
+        (F.col("kind") == "stray").alias("untyped"), F.when(F.col("kind") != "ok", error).alias("error"))
+    with pytest.raises(Exception, match="unclaimed errors"):
+        jobs.route_records(consumed, root, "svc", at())
+    assert manifest.visible_upto(spark, root) == -1
+    jobs.route_records(consumed, root, "svc", at(), park_unclaimed=True)
+    kept = lambda sink: [r.offset for r in committed(spark, root, sink, "offset bigint").collect()]
+    assert (kept("accepted"), kept("retries"), kept("parked")) == ([1], [2], [4])
+    assert [r.source_offset for r in committed(spark, root, "dead", extract_flow.DEAD).collect()] == [3]
+    assert committed(spark, root, "metrics", extract_flow.METRICS).count() == 1
