@@ -135,14 +135,15 @@ def document_marker(
 ) -> Column:
     """First marker of a challenge or error page, in list order, else null.
 
-    Looked for in the first ``window`` bytes, None for the whole payload.
+    Looked for in the first ``window`` bytes, None for the whole payload. Markers of
+    ``extra`` count as written, with the blanks around them; blank ones are left out.
     """
     head = payload if window is None else F.substring(payload, 1, window)
     sample = F.lower(head.cast("string"))
     marker = F.lit(None).cast("string")
     if extra is not None:
         named = F.filter(extra, lambda m: strip(m) != "")
-        marker = F.get(F.filter(named, lambda m: sample.contains(F.lower(strip(m)))), F.lit(0))
+        marker = F.get(F.filter(named, lambda m: sample.contains(F.lower(m))), F.lit(0))
     fixed = F.coalesce(*[F.when(sample.contains(m), F.lit(m)) for m in INVALID_DOCUMENT_MARKERS])
     return F.coalesce(fixed, marker)
 

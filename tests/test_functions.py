@@ -207,6 +207,14 @@ def test_documents(spark):
     assert got == ["marker: <title>just a moment", "not_html: application/json", "marker: Custom-Marker", None]
 
 
+def test_markers_keep_their_blanks(spark):
+    """A blank at a marker's end is part of it: 'Is ' is not the start of 'Island'."""
+    pages = [bytearray(b"<h1>Island news</h1>"), bytearray(b"<H1>Is it so</H1>"), bytearray(b"nothing")]
+    extra = F.array(F.lit(" "), F.lit("<h1>Is "))
+    got = apply(spark, pages, lambda p: document_verdict(F.lit("text/html"), p, extra), "v binary")
+    assert got == [None, "marker: <h1>Is ", None]
+
+
 def test_sizes(spark):
     frame = spark.createDataFrame(
         [(1, "11", b"x"), (2, "soon", b"x" * 11), (3, None, b""), (4, "10", b"x" * 10)], "i int, d string, p binary")
