@@ -237,3 +237,13 @@ def test_unclaimed_errors_stop_before_anything_is_shown(spark):
     assert (kept("accepted"), kept("retries"), kept("parked")) == ([1], [2], [4])
     assert [r.source_offset for r in committed(spark, root, "dead", extract_flow.DEAD).collect()] == [3]
     assert committed(spark, root, "metrics", extract_flow.METRICS).count() == 1
+
+
+def test_a_fetch_is_judged_by_markers_as_written(spark):
+    rows = [(bytearray(b"<h1>Island news</h1>"),), (bytearray(b"<h1>is it so</h1>"),)]
+    answers = spark.createDataFrame(rows, "payload binary").selectExpr(
+        "payload", "200 AS status_code", "CAST(null AS string) AS verdict", "'ok' AS kind",
+        "CAST(null AS string) AS declared_length", "'text/html' AS content_type",
+        "array('<h1>Is ', ' ') AS invalid_document_markers")
+    wrong = fetch_flow._fetch_error(1000)["error_message"]
+    assert [r[0] for r in answers.select(wrong).collect()] == [None, "marker: <h1>Is "]
