@@ -20,4 +20,4 @@ def summary_text(fragment: Column) -> Column:
     References are resolved twice, as feeds escape markup that is escaped already.
     """
     bare = F.regexp_replace(F.regexp_replace(fragment, _SPACING, " "), _MARKUP, "")
-    return F.nullif(norm_text(html_unescape(html_unescape(bare))), F.lit(""))
+    return F.nullif(norm_text(html_unescape(bare, times=2)), F.lit(""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +43,28 @@ def norm_text(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), UNEVEN_SPACE, " "))
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+#: Texts that a worker holds as Python objects.
+TEXTS_AT_ONCE = 64
+
+
+def html_unescape(value: Column, times: int = 1) -> Column:
+    """Python's html.unescape, ``times`` times over.
+
+    Texts without a reference stay where they are, and Python holds few of the others
+    at a time: its workers do not grow with the rows of an Arrow batch.
+    """
+
+    @F.arrow_udf(T.StringType())
+    def resolved(values: pa.Array) -> pa.Array:
+        done = [pa.array([], pa.string())]
+        for at in range(0, len(values), TEXTS_AT_ONCE):
+            texts = values[at : at + TEXTS_AT_ONCE].to_pylist()
+            for _ in range(times):
+                texts = [t and html.unescape(t) for t in texts]
+            done.append(pa.array(texts, pa.string()))
+        return pa.concat_arrays(done)
+
+    return F.coalesce(resolved(let(value, lambda v: F.when(v.contains("&"), v))), value)
 
 
 def norm_html_text(value: Column) -> Column:

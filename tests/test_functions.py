@@ -207,6 +207,16 @@ def test_documents(spark):
     assert got == ["marker: <title>just a moment", "not_html: application/json", "marker: Custom-Marker", None]
 
 
+def test_unescape_keeps_plain_texts_out_of_python(spark):
+    """Twice over in one pass, for more texts than a worker holds; texts without a reference stay in the JVM."""
+    values = [v for n in range(90) for v in (None, "", f"plain {n}", f"R&amp;amp;D &#x{n + 33:x} &notit; &amp;lt {n}")]
+    want = [v and html.unescape(html.unescape(v)) for v in values]
+    assert apply(spark, values, lambda v: text.html_unescape(v, times=2)) == want
+    plan = spark.createDataFrame([("a",)], "v string").select(text.html_unescape(F.col("v"), times=2))
+    python = [line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "ArrowEvalPython" in line]
+    assert len(python) == 1 and "Contains(" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_markers_keep_their_blanks(spark):
     """A blank at a marker's end is part of it: 'Is ' is not the start of 'Island'."""
     pages = [bytearray(b"<h1>Island news</h1>"), bytearray(b"<H1>Is it so</H1>"), bytearray(b"nothing")]
