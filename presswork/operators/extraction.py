@@ -96,6 +96,8 @@ IMAGE_SOURCES = (
     "srcset",
 )
 MAX_CONTEXTS = 4
+#: Pages whose findings a worker holds as Python objects.
+PAGES_AT_ONCE = 64
 
 CONFIG_FIELDS = (
     "content_selectors", "exclude_selectors", "unwrap_selectors", "boilerplate_markers",
@@ -143,6 +145,7 @@ _CONTENT = _struct(
     images=T.ArrayType(_struct(sources=T.ArrayType(_TEXT), alt=_TEXT, tries=T.ArrayType(_INT))),
     captions=T.ArrayType(_TEXT),
 )
+_PICTURES = T.StructType([f for f in _CONTENT if f.name in ("images", "captions")])
 _HOMES = T.ArrayType(_struct(place=_INT, tag=_TEXT, text=_TEXT))
 _SHOWN = _struct(removed_nodes=_INT, remaining=_TEXT)
 
@@ -272,6 +275,12 @@ def _content(payload: bytes | None, rules: _Rules) -> dict:
     return {"head": head, "blocks": page.blocks(homes), "images": images, "captions": captions}
 
 
+def _pictures(payload: bytes | None, rules: _Rules) -> dict:
+    page = _Page(Tree(payload), rules)
+    images, captions = page.images(page.homes())
+    return {"images": images, "captions": captions}
+
+
 def _homes(payload: bytes | None, rules: _Rules) -> list[dict]:
     page = _Page(Tree(payload), rules)
     return [{"place": place, "tag": page.tree.tags[n], "text": page.tree.text(n)} for place, n in page.homes()]
@@ -288,13 +297,17 @@ def _of_pages(make, kind: T.DataType):
 
     @F.arrow_udf(kind)
     def found(payloads: pa.Array, settings: pa.Array) -> pa.Array:
-        rules, rows = {}, []
-        for payload, own in zip(payloads.to_pylist(), settings.to_pylist()):
-            key = repr(own)
-            if key not in rules:
-                rules[key] = _Rules(own)
-            rows.append(make(payload, rules[key]))
-        return pa.array(rows, arrow)
+        rules, done = {}, [pa.array([], arrow)]
+        # Python objects take many times the room of what Arrow holds: few pages at a time
+        for at in range(0, len(payloads), PAGES_AT_ONCE):
+            rows, some = [], slice(at, at + PAGES_AT_ONCE)
+            for payload, own in zip(payloads[some].to_pylist(), settings[some].to_pylist()):
+                key = repr(own)
+                if key not in rules:
+                    rules[key] = _Rules(own)
+                rows.append(make(payload, rules[key]))
+            done.append(pa.array(rows, arrow))
+        return pa.concat_arrays(done)
 
     own = ("content", "exclude", "unwrap")
     return lambda payload, cfg: found(payload, F.struct(*[cfg[f].alias(f) for f in own]))
@@ -430,31 +443,18 @@ def quality_verdict(chars: Column, blocks: Column, marker_hits: Column, cfg: Col
     )
 
 
-def extract_articles(pages: DataFrame) -> DataFrame:
-    """Article columns for pages.
-
-    pages: any columns plus payload (binary), fallback_url, extraction (see
-    compile_config) and require_canonical. Adds canonical_url, title, summary,
-    author, published_at, content_blocks, images, body_text and
-    rejection_reason; drops payload and extraction.
-    """
-    rest = [c for c in pages.columns if c not in ("payload", "extraction")]
-    walked = pages.select(
-        *rest, "extraction", _content_of(F.col("payload"), F.col("extraction")).alias("page")
-    )
-    # inline() turns the struct into plain columns: whatever follows reads stored
-    # values and cannot make Spark evaluate the extraction again.
-    parts = walked.select(*rest, "extraction", F.inline(F.array(F.struct(
-        page_metadata(F.col("page.head")).alias("meta"),
-        _blocks(F.col("page.blocks")).alias("content_blocks"),
-        _images(F.col("page.images"), F.col("page.captions")).alias("found_images"),
-    ))))
-    resolved = parts.withColumn(
+def _with_urls(parts: DataFrame) -> DataFrame:
+    """Pages with the addresses of their ``found_images``."""
+    return parts.withColumn(
         "image_urls",
         urls.resolve_first_usable(
             F.col("fallback_url"), F.transform("found_images", lambda i: i["sources"])
         ),
     )
+
+
+def _placed_images() -> Column:
+    """Images with an address, the first of equal ones, of pages _with_urls()."""
     placed = F.zip_with(
         "found_images", "image_urls",
         lambda i, url: F.struct(url.alias("url"), i["alt"].alias("alt"), i["caption"].alias("caption")),
@@ -469,12 +469,31 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         lambda i, at: F.struct(i["url"].alias("url"), i["alt"].alias("alt"),
                                i["caption"].alias("caption"), at.alias("ordinal")),
     )
+    return F.coalesce(images, F.array().cast("array<struct<url:string,alt:string,caption:string,ordinal:int>>"))
+
+
+def extract_articles(pages: DataFrame) -> DataFrame:
+    """Article columns for pages.
+
+    pages: any columns plus payload (binary), fallback_url, extraction (see
+    compile_config) and require_canonical. Adds canonical_url, title, summary,
+    author, published_at, content_blocks, images, body_text and
+    rejection_reason; drops payload and extraction.
+    """
+    rest = [c for c in pages.columns if c not in ("payload", "extraction")]
+    walked = pages.select(
+        *rest, "extraction", _content_of(F.col("payload"), F.col("extraction")).alias("page")
+    )
+    # inline() turns the struct into plain columns: whatever follows reads stored
+    # values and cannot make Spark evaluate the extraction again.
+    parts = walked.select(*rest, "extraction", F.inline(F.array(F.struct(
+        page_metadata(F.col("page.head")).alias("meta"),
+        _blocks(F.col("page.blocks")).alias("content_blocks"),
+        _images(F.col("page.images"), F.col("page.captions")).alias("found_images"),
+    ))))
     body = body_text(F.col("content_blocks"))
-    found = resolved.select(
-        *rest, "extraction", "meta", "content_blocks",
-        F.coalesce(images, F.array().cast(
-            "array<struct<url:string,alt:string,caption:string,ordinal:int>>")).alias("images"),
-        body.alias("body"),
+    found = _with_urls(parts).select(
+        *rest, "extraction", "meta", "content_blocks", _placed_images().alias("images"), body.alias("body"),
     )
     fallback = F.when(~F.col("require_canonical"), F.col("fallback_url"))
     return settle(
@@ -519,6 +538,15 @@ def container_rows(pages: DataFrame) -> DataFrame:
     return rows.withColumn("text", tx.norm_text(F.col("text")))
 
 
+def article_images(pages: DataFrame) -> DataFrame:
+    """The ``images`` of extract_articles() alone: neither texts nor metadata are judged."""
+    rest = _rest(pages)
+    walked = pages.select(*rest, _pictures_of(F.col("payload"), F.col("extraction")).alias("page"))
+    parts = walked.select(*rest, F.inline(F.array(F.struct(
+        _images(F.col("page.images"), F.col("page.captions")).alias("found_images")))))
+    return _with_urls(parts).select(*rest, _placed_images().alias("images"))
+
+
 def metadata(pages: DataFrame) -> DataFrame:
     """Metadata columns of pages, without their content."""
     walked = pages.select(*_rest(pages), _head_of(F.col("payload"), F.col("extraction")).alias("head"))
@@ -526,4 +554,5 @@ def metadata(pages: DataFrame) -> DataFrame:
 
 
 _content_of, _homes_of, _shown_of = _of_pages(_content, _CONTENT), _of_pages(_homes, _HOMES), _of_pages(_shown, _SHOWN)
+_pictures_of = _of_pages(_pictures, _PICTURES)
 _head_of = _of_pages(lambda payload, _: _head(Tree(payload)), _HEAD)

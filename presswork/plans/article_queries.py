@@ -111,12 +111,12 @@ def content_blocks(spark, folder):
 
 
 def article_images(spark, folder):
-    found = E.extract_articles(document_pages(spark, folder))
+    found = E.article_images(document_pages(spark, folder))
     return found.select("doc_id", F.inline("images")).select("doc_id", "url", "alt", "ordinal")
 
 
 def image_captions(spark, folder):
-    found = E.extract_articles(document_pages(spark, folder))
+    found = E.article_images(document_pages(spark, folder))
     return found.select("doc_id", F.inline("images")).select("doc_id", "url", "caption")
 
 
