@@ -68,10 +68,17 @@ def sketches(items: DataFrame, keys: list[str], rung: int) -> DataFrame:
     """(keys, kind, wide, cell, c, k, h) from rows (keys, kind, wide, sign, k): the
     cells of every kind of sketch that are not empty."""
     rows = items.select("*", F.explode(F.array(*[F.lit(i).cast("long") for i in range(3)])).alias("row"))
-    return (
-        rows.groupBy(*keys, "kind", "wide", _cell(F.col("k"), F.col("row"), F.col("wide"), rung).alias("cell"))
-        .agg(F.sum("sign").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor(_check(F.col("k"))).alias("h"))
-        .filter("c <> 0 OR k <> 0 OR h <> 0 OR kind IS NULL")
+    # kind (two bits), wide (its power of two, six bits) and cell are one number, as cells are held by the million
+    cell = _cell(F.col("k"), F.col("row"), F.col("wide"), rung)
+    place = cell * 256 + F.bit_count(F.col("wide") - 1) * 4 + F.col("kind")
+    made = rows.groupBy(*keys, place.alias("place")).agg(
+        F.sum("sign").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor(_check(F.col("k"))).alias("h")
+    ).filter("c <> 0 OR k <> 0 OR h <> 0 OR place IS NULL")
+    power = F.shiftright("place", 2).bitwiseAND(63).cast("int")
+    return made.select(
+        *keys, F.col("place").bitwiseAND(3).cast("int").alias("kind"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), power).alias("wide"),
+        F.shiftright("place", 8).alias("cell"), "c", "k", "h",
     )
 
 
