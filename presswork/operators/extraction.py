@@ -181,7 +181,7 @@ class _Page:
         return [(0, n) for n, tag in enumerate(self.tree.tags) if tag == "body" and self.alive[n]][:1]
 
     def blocks(self, homes: list[tuple[int, int]]) -> list[dict]:
-        """Outermost block elements of each home."""
+        """Outermost block elements of each home, white space of their texts as norm_text() leaves it."""
         tree = self.tree
         wanted = [tag in BLOCK_TAGS and alive for tag, alive in zip(tree.tags, self.alive)]
         in_caption = tree.within(["caption" in c and not gone for c, gone in zip(self.named, self.gone)])
@@ -193,7 +193,7 @@ class _Page:
             return "caption" if tag == "figcaption" or in_caption[n] else "paragraph"
 
         return [
-            {"type": kind(n), "text": tree.text(n)}
+            {"type": kind(n), "text": " ".join(tree.text(n).split())}
             for _, home in homes for n in tree.outermost(wanted, home + 1, tree.ends[home])
         ]
 
@@ -360,12 +360,17 @@ def distinct_blocks(blocks: Column) -> Column:
     first of equal texts kept, with their place in the array and a dense ordinal."""
     names = ("type", "text")
     numbered = F.transform(blocks, lambda b, i: F.struct(i.alias("pos"), *[b[n].alias(n) for n in names]))
-    keyed = F.transform(
-        F.filter(numbered, lambda b: ~tx.block_skip(b["text"])),
-        lambda b: F.struct(b["pos"], tx.block_key(b["text"]).alias("key"), *[b[n].alias(n) for n in names]),
-    )
+    plain = lambda b: F.struct(b["pos"], *[b[n].alias(n) for n in names])
+
+    def firsts(kept):
+        keyed = F.transform(
+            kept, lambda b: F.struct(b["pos"], tx.block_key(b["text"]).alias("key"), *[b[n].alias(n) for n in names]))
+        # a lone block equals no other and needs no key
+        return F.when(F.size(kept) < 2, F.transform(kept, plain)).otherwise(
+            F.transform(first_in_array(keyed, "key"), plain))
+
     return F.transform(
-        first_in_array(keyed, "key"),
+        let(F.filter(numbered, lambda b: ~tx.block_skip(b["text"])), firsts),
         lambda b, i: F.struct(
             b["type"].alias("type"), b["text"].alias("text"), i.alias("ordinal"), b["pos"].alias("pos")),
     )
@@ -377,9 +382,8 @@ def body_text(blocks: Column) -> Column:
 
 
 def _blocks(found: Column) -> Column:
-    """Text blocks of a page."""
-    every = F.transform(found, lambda b: F.struct(b["type"].alias("type"), tx.norm_text(b["text"]).alias("text")))
-    return F.transform(let(every, distinct_blocks), lambda b: F.struct(b["type"], b["text"], b["ordinal"]))
+    """Text blocks of a page; the walk has normalised their texts."""
+    return F.transform(distinct_blocks(found), lambda b: F.struct(b["type"], b["text"], b["ordinal"]))
 
 
 def _images(found: Column, captions: Column) -> Column:

@@ -148,7 +148,7 @@ def event_json(events: DataFrame, **replaced: Column) -> Column:
 
 
 def split_oversize(events: DataFrame, limit: int = MAX_INLINE_BYTES) -> DataFrame:
-    """Events small enough for the bus; what does not fit is in ``side_json``.
+    """Events small enough for the bus, as ``json``; what does not fit is in ``side_json``.
 
     An oversize event keeps empty text, blocks and images and points to its
     full JSON by address and hash. One that is still too large gets a verdict.
@@ -174,11 +174,9 @@ def split_oversize(events: DataFrame, limit: int = MAX_INLINE_BYTES) -> DataFram
             "images": F.when(F.col("_big"), F.slice("images", 1, empty)).otherwise(F.col("images")),
         }
     )
-    wire = F.when(F.col("_big"), frames.wire_bytes(event_json(slim))).otherwise(
-        frames.wire_bytes(F.col("_full"))
-    )
     return (
-        slim.withColumn("inline_event_bytes", wire)
+        slim.withColumn("json", F.when(F.col("_big"), event_json(slim)).otherwise(F.col("_full")))
+        .withColumn("inline_event_bytes", frames.wire_bytes(F.col("json")))
         .withColumn("side_json", F.when(F.col("_big"), F.col("_full")))
         .withColumn(
             "size_verdict",

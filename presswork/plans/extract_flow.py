@@ -60,7 +60,7 @@ def judge(
     sized = article_flow.split_oversize(events, limit)
     too_large = failed("article_extract", F.col("size_verdict"), "IngestionError", False)
     error = F.coalesce("error", F.when(F.col("size_verdict").isNotNull(), too_large))
-    whole = sized.withColumn("json", article_flow.event_json(sized)).withColumn("error", error)
+    whole = sized.withColumn("error", error)
     good = F.col("error").isNull()
     shown = whole.select(
         *records.columns, "source_id", "ingest_date", "article_id", "error",

@@ -508,3 +508,20 @@ def test_poll_in_one_pass_equals_single_steps(spark):
     now = [r for r in current.collect() if (r.source_id, r.feed_id) in published]
     state = {r[2]: r[3] for r in seen} | {r.feed_item_id: r.record_hash for r in now}
     assert {r.feed_item_id: r.record_hash for r in scan.items.collect()} == state
+
+
+def test_oversize_split_makes_the_json_once(spark):
+    """The bus JSON comes with the split: as a whole where it fits, slim where it does not."""
+    block = "array<struct<type:string,text:string,ordinal:int>>"
+    image = "array<struct<url:string,alt:string,caption:string,ordinal:int>>"
+    rows = [("a", "x" * 900, [("paragraph", "x" * 900, 0)]), ("b", "short", [("paragraph", "short", 0)])]
+    table = spark.createDataFrame(rows, f"article_id string, body_text string, content_blocks {block}").select(
+        "*", *[F.lit("x").alias(c) for c in (
+            "run_id", "source_id", "ingest_date", "requested_url", "canonical_url", "title", "summary", "author",
+            "source_document_id", "payload_uri", "extractor_version")],
+        F.array().cast(image).alias("images"), F.lit(None).cast("timestamp").alias("published_at"))
+    split = article_flow.split_oversize(article_flow.extracted_events(table, F.lit("2026-06-01").cast("timestamp")), 1500)
+    got = {r.article_id: r for r in split.withColumn("again", article_flow.event_json(split)).collect()}
+    assert all(r.json == r.again and r.inline_event_bytes == len(r.json.encode()) + 5 for r in got.values())
+    assert json.loads(got["a"].json)["body_text"] == "" and json.loads(got["b"].json)["body_text"] == "short"
+    assert got["a"].side_json is not None and got["b"].side_json is None

@@ -142,3 +142,12 @@ def test_selector_places():
     assert some.first("p", "b", [], {}) == 3
     assert some.first("a", "", ["d", "c"], {}) == 4
     assert some.first("a", "", ["d"], {}) is None
+
+
+def test_block_texts_leave_the_walk_normalised():
+    """Every kind of white space that norm_text() knows, inside a block and around it."""
+    codes = [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    odd = "".join(map(chr, codes))
+    page = f"<article><p>{odd}one{odd}two&nbsp;&#x3000;<b>{odd}three</b>\u200bfour</p></article>"
+    blocks = E._content(page.encode(), E._Rules(None))["blocks"]
+    assert blocks == [{"type": "paragraph", "text": "one two three \u200bfour"}]
