@@ -77,8 +77,9 @@ class KeyedRuns:
 
     def read(self, spark: SparkSession, version: int, of: DataFrame | None = None) -> DataFrame:
         """The state at a version, or its rows for the keys (or groups) of ``of``."""
-        rows = self._rows(spark, self.live(spark, version))
-        if of is not None:
+        runs = self.live(spark, version)
+        rows = self._rows(spark, runs)
+        if of is not None and runs:
             on = [c for c in self.keys if c in of.columns]
             wanted = of.select(*on).distinct().withColumn(BUCKET, self._bucket())
             rows = rows.join(wanted, [BUCKET, *on], "left_semi")

@@ -247,3 +247,26 @@ def test_a_fetch_is_judged_by_markers_as_written(spark):
         "array('<h1>Is ', ' ') AS invalid_document_markers")
     wrong = fetch_flow._fetch_error(1000)["error_message"]
     assert [r[0] for r in answers.select(wrong).collect()] == [None, "marker: <h1>Is "]
+
+
+def test_only_the_deciding_answer_brings_its_content(spark):
+    page = lambda text: bytearray(text.encode())
+    rows = [
+        ("u1", 1, 503, None, "text/html", None, page("busy")), ("u1", 2, 200, None, "text/html", "4", page("page")),
+        ("u1", 3, 200, None, "text/html", None, page("late")), ("u2", 1, 404, None, "text/html", None, page("gone")),
+        ("u3", 1, None, None, None, None, None), ("u4", 4, 200, None, "text/html", None, page("too late")),
+        ("u5", 1, 302, "u1", None, None, page("moved")), ("u6", 1, 204, None, "text/html", None, page("")),
+    ]
+    edges, answers, content = fetch_flow._apart(spark.createDataFrame(rows, fetch_flow.RESPONSE), 3)
+    assert [f.name for f in answers.schema["answers"].dataType.elementType] == ["attempt", "status_code"]
+    assert sorted(bytes(r.payload) for r in content.collect()) == [b"", b"late", b"page"]
+    requests = spark.createDataFrame(
+        [("t", 0, i, url, verdict) for i, (url, verdict) in enumerate(
+            [("u1", None), ("u2", None), ("u3", None), ("u4", None), ("u1", "not_https"), ("u6", None), ("u1", None)])],
+        "topic string, partition int, offset bigint, final_url string, verdict string",
+    ).selectExpr("*", "CAST(null AS string) AS error", "CAST(null AS string) AS done", "array(451) AS blocked_status_codes")
+    got = {r.offset: r for r in fetch_flow._with_answer(requests, answers, content).collect()}
+    assert {o: (r.kind, r.status_code, r.payload and bytes(r.payload), len(r.retried or [])) for o, r in got.items()} == {
+        0: ("ok", 200, b"page", 1), 1: ("permanent", 404, None, 0), 2: ("transport", None, None, 0), 3: (None, None, None, 0),
+        4: (None, None, None, 0), 5: ("ok", 204, bytearray(), 0), 6: ("ok", 200, b"page", 1)}
+    assert got[0].declared_length == "4" and [e.from_url for e in edges.collect()] == ["u5"]
