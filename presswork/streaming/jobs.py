@@ -280,7 +280,7 @@ def extract_records(
 def fetch_requests(
     records: DataFrame, responses: DataFrame, settings: DataFrame, root: str,
     observed_at: Column | None = None, registry: DataFrame | None = None, attempts: int = 3,
-    max_bytes: int = 5_000_000, trigger: dict | None = None,
+    max_bytes: int = 5_000_000, trigger: dict | None = None, empty_ok: bool = False,
 ) -> None:
     """Framed article_fetch_requested records to landed payloads, fetched events, answers,
     dead letters, retries and retry metrics (sinks of ``root``), and the state of every
@@ -300,7 +300,7 @@ def fetch_requests(
         return fetch_flow.judge(
             new.unionByName(again.select(*new.columns)),
             lambda events: fetch_flow.completions(root).read(spark, batch_id - 1, events),
-            settings, responses, at, registry, attempts, max_bytes,
+            settings, responses, at, registry, attempts, max_bytes, empty_ok,
         )
 
     def landing(judged: DataFrame, batch_id: int) -> DataFrame:

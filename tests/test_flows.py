@@ -270,3 +270,12 @@ def test_only_the_deciding_answer_brings_its_content(spark):
         0: ("ok", 200, b"page", 1), 1: ("permanent", 404, None, 0), 2: ("transport", None, None, 0), 3: (None, None, None, 0),
         4: (None, None, None, 0), 5: ("ok", 204, bytearray(), 0), 6: ("ok", 200, b"page", 1)}
     assert got[0].declared_length == "4" and [e.from_url for e in edges.collect()] == ["u5"]
+
+
+def test_empty_pages_are_refused_unless_the_caller_takes_them(spark):
+    answers = spark.createDataFrame([(bytearray(b""),), (bytearray(b"<p>x</p>"),)], "payload binary").selectExpr(
+        "payload", "200 AS status_code", "CAST(null AS string) AS verdict", "'ok' AS kind",
+        "CAST(null AS string) AS declared_length", "'text/html' AS content_type",
+        "array('marker') AS invalid_document_markers")
+    said = lambda *how: [r[0] for r in answers.select(fetch_flow._fetch_error(1000, *how)["error_message"]).collect()]
+    assert said() == ["empty", None] and said(True) == [None, None]
